@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel
@@ -131,6 +131,10 @@ class FittedEncoder:
             VectorAssembler(inputCols=inner, outputCol=features),
         ]
 
+    def unscaled(self) -> FittedEncoder:
+        """The same fit without the scaling step."""
+        return replace(self, centers={})
+
     def model(self, features: str = "features") -> PipelineModel:
         return PipelineModel(self.stages(features))
 
@@ -203,9 +207,10 @@ class TabularEncoder(Estimator):
         self.features = features
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        return fit_encoder(dataset, **self.settings).model(self.features)
+        return self.fit_state(dataset).model(self.features)
 
-    def fit_encoder(self, dataset: DataFrame) -> FittedEncoder:
+    def fit_state(self, dataset: DataFrame) -> FittedEncoder:
+        """The fitted numbers in place of a model."""
         return fit_encoder(dataset, **self.settings)
 
 
@@ -216,7 +221,7 @@ def matrix_long(df: DataFrame, key: str, encoder: FittedEncoder) -> DataFrame:
 
 def encoder_to_json(encoder: FittedEncoder) -> str:
     """Fitted numbers as JSON, to keep beside a saved model."""
-    return json.dumps(encoder.__dict__, ensure_ascii=False)
+    return json.dumps(asdict(encoder), ensure_ascii=False)
 
 
 def encoder_from_json(text: str) -> FittedEncoder:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A lookup side is broadcast only after it was counted and found to hold at most this
@@ -15,10 +15,6 @@ HOT_KEYS = 256
 HOT_TRACKED = 10_000
 
 
-class DuplicateKeyError(ValueError):
-    """A join side that must be unique on its key is not."""
-
-
 def small_table(spark: SparkSession, df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
     """Computed copy of ``df`` if it has at most ``limit`` rows, else ``df`` itself.
 
@@ -42,11 +38,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], side: str = "table") -> DataFrame:
-    """``df`` itself, or DuplicateKeyError naming one repeated key."""
-    bad = duplicate_keys(df.select(*keys), keys).limit(1).collect()
-    if bad:
-        raise DuplicateKeyError(f"{side} is not unique on {list(keys)}: {bad[0].asDict()}")
-    return df
+    """``df`` itself; the job that reads it fails if a key occurs twice.
+
+    The check runs inside the plan: rows are numbered within their key, on the partitioning
+    that a join or aggregation on the key needs anyway, so nothing is read twice.
+    """
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    text = F.concat(F.lit(f"{side} is not unique on {list(keys)}: "), F.to_json(F.struct(*keys)))
+    unique = F.when(F.col("_place") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    return df.withColumn("_place", place).where(unique).drop("_place")
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], hot: int = HOT_KEYS) -> list[int]:
@@ -63,15 +63,22 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     small_rows: int = SMALL_ROWS,
+    pin: bool = False,
 ) -> DataFrame:
     """m:1 join onto ``right``, which is unique on ``on`` (``how`` is left or inner).
 
     A small right side is broadcast. Otherwise the left rows of the most frequent keys
     meet a broadcast of just their lookup rows (one per key, so at most HOT_KEYS), and
     only the remaining, thinly spread keys are shuffled. Every row is kept either way.
+    ``pin`` keeps the rows read for the size check, for a right side that is costly to
+    compute and narrow.
     """
     on = list(on)
-    if is_small(right, small_rows):
+    if pin:
+        right, small = small_table(left.sparkSession, right, small_rows)
+    else:
+        small = is_small(right, small_rows)
+    if small:
         return left.join(F.broadcast(right), on, how)
     hot = hot_key_hashes(left, on)
     if not hot:
@@ -90,13 +97,12 @@ def checked_join(
     validate: str = "1:1",
     small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """Equi-join after checking the promised cardinality ("1:1" or "m:1")."""
+    """Equi-join that fails where the promised cardinality ("1:1" or "m:1") does not hold."""
     if validate not in ("1:1", "m:1"):
         raise ValueError(f"unsupported cardinality: {validate}")
-    require_unique(right, on, "right side")
+    right = require_unique(right, on, "right side")
     if validate == "1:1":
-        require_unique(left, on, "left side")
-        return left.join(right, list(on), how)
+        return require_unique(left, on, "left side").join(right, list(on), how)
     return lookup_join(left, right, on, how, small_rows)
 
 
@@ -119,8 +125,7 @@ def enrich(base: DataFrame, key: str, slices: Sequence[DataFrame]) -> DataFrame:
     """
     out = base.select(key).distinct()
     for part in slices:
-        require_unique(part, [key], "slice")
-        out = out.join(part, [key], "left")
+        out = out.join(require_unique(part, [key], "slice"), [key], "left")
     return out
 
 

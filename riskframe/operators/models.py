@@ -19,7 +19,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.encode import TabularEncoder
+from riskframe.operators.encode import FittedEncoder, TabularEncoder, fit_encoder
 from riskframe.operators.evaluate import cv_report, evaluate, ranking_metrics
 from riskframe.operators.sampling import stratified_folds, with_group_folds
 from riskframe.sources.io import shared_folder
@@ -30,12 +30,14 @@ DUMMY, LOGREG, GBT, FOREST, GBT_SUB = "dummy", "logreg", "hist_gb", "random_fore
 PRESETS = {
     "unit": {
         "balanced": True,
+        LOGREG: dict(iterations=2000),
         GBT: dict(iterations=300, rate=0.08, leaves=31, min_rows=200),
         FOREST: dict(trees=300, min_rows=50),
         GBT_SUB: dict(iterations=400, rate=0.06, leaves=31, min_rows=200, rows=0.9, columns=0.8),
     },
     "entity": {
         "balanced": False,
+        LOGREG: dict(iterations=2000),
         GBT: dict(iterations=300, rate=0.08, leaves=15, min_rows=50),
         FOREST: dict(trees=300, min_rows=20),
         GBT_SUB: dict(iterations=400, rate=0.06, leaves=15, min_rows=50, rows=0.9, columns=0.8),
@@ -153,15 +155,21 @@ class Candidate(Estimator):
     def _counts(self, df: DataFrame) -> dict[int, int]:
         return {r[self.label]: r["n"] for r in class_weights(df, self.label).collect()}
 
-    def _prepared(self, df: DataFrame):
+    def _prepared(self, df: DataFrame, state: FittedEncoder | None = None):
         """(encoder model, encoded rows, rows per class)."""
         counts = self._counts(df)
-        encoder = self.encoder.fit(df)
+        encoder = (state or self.encoder.fit_state(df)).model(self.encoder.features)
         rows = encoder.transform(df).select(
             "features", F.col(self.label).cast("double").alias("label"), self._weight(counts).alias("weight")
         )
         return encoder, rows, counts
 
+    def fit_encoded(self, df: DataFrame, state: FittedEncoder) -> PipelineModel:
+        """Fit with preprocessing already fitted, on the same rows, with scaling."""
+        if self.classifier is None:
+            return self.fit(df)
+        return self._fit_classifier(*self._prepared(df, state if self.encoder.settings["scale"] else state.unscaled()))
+
     def _weight(self, counts: Mapping[int, int]) -> Column:
         if not self.balanced or len(counts) < 2:
             return F.lit(1.0)
@@ -235,7 +243,7 @@ def make_candidates(
 
     balanced = preset["balanced"]
     forest = preset[FOREST]
-    linear = LogisticRegression(maxIter=2000, tol=1e-8, elasticNetParam=0.0, standardization=False)
+    linear = LogisticRegression(maxIter=preset[LOGREG]["iterations"], tol=1e-6, elasticNetParam=0.0, standardization=False)
     trees = RandomForestClassifier(
         numTrees=forest["trees"], minInstancesPerNode=forest["min_rows"], maxDepth=forest.get("depth", UNLIMITED_DEPTH),
         featureSubsetStrategy="sqrt", seed=seed,
@@ -297,15 +305,21 @@ def random_search(
 def out_of_fold(candidates: Mapping[str, Candidate], df: DataFrame, fold: str, folds: int) -> DataFrame:
     """Scores (candidate, fold, part, y, p) of every fold by models fitted on the others.
 
-    ``part`` is 'test' for the held-out fold and 'train' for the rows fitted on. The scores
+    The candidates have the same columns. ``part`` is 'test' for the held-out fold and
+    'train' for the rows fitted on. The scores
     are written to the checkpoint folder, so metrics do not score again.
     """
     shared_folder(df.sparkSession)
     parts = []
-    for name, candidate in candidates.items():
-        for i in range(folds):
-            model = candidate.fit(df.where(F.col(fold) != i))
-            part = F.when(F.col(fold) == i, "test").otherwise("train")
+    for i in range(folds):
+        rows = df.where(F.col(fold) != i)
+        part = F.when(F.col(fold) == i, "test").otherwise("train")
+        state = None
+        for name, candidate in candidates.items():
+            if candidate.classifier is not None and state is None:
+                # All candidates share their columns, so one preprocessing fit per fold.
+                state = fit_encoder(rows, **{**candidate.encoder.settings, "scale": True})
+            model = candidate.fit_encoded(rows, state) if candidate.classifier is not None else candidate.fit(rows)
             parts.append(
                 score(model, df).select(
                     F.lit(name).alias("candidate"), F.lit(i).alias("fold"), part.alias("part"),
@@ -357,9 +371,10 @@ def learning_curve(
     """Rows (size, train_auc, test_auc) of refits with a growing number of trees."""
     shared_folder(train.sparkSession)
     name = "maxIter" if candidate.classifier.hasParam("maxIter") else "numTrees"
+    state = fit_encoder(train, **{**candidate.encoder.settings, "scale": True})
     parts = []
     for size in sizes:
-        model = candidate.fit(train, {candidate.param(name): int(size)})
+        model = candidate.copy({candidate.param(name): int(size)}).fit_encoded(train, state)
         for part, rows in (("train", train), ("test", test)):
             parts.append(
                 score(model, rows).select(

@@ -120,11 +120,13 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     buckets: int | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles as rows (by, prob, quantile).
 
     NULL and NaN are left out. First only counts per range are shuffled; they say which
     ranges hold the wanted ranks, and only rows of those ranges are shuffled and ordered.
+    ``few_groups`` promises that the number of groups does not grow with the data.
     """
     by = list(by)
     probs = sorted({float(p) for p in probs})
@@ -166,7 +168,10 @@ def quantiles(
             F.col("_w.place").alias("_rank"),
         )
     )
-    wanted, is_small = small_table(spark, wanted)
+    # Two ranks per group and step: bounded if the groups are, else counted.
+    is_small = few_groups or not by
+    if not is_small:
+        wanted, is_small = small_table(spark, wanted)
     hint = F.broadcast if is_small else (lambda x: x)
 
     spans_needed = wanted.select(*[f"_w_{k}" for k in [*by, BUCKET]]).distinct()
@@ -213,4 +218,6 @@ def column_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Quantiles of many columns in one pass: rows (by, feature, prob, quantile)."""
-    return quantiles(unpivot_numeric(df, columns, by), "value", probs, [*by, "feature"])
+    return quantiles(
+        unpivot_numeric(df, columns, by), "value", probs, [*by, "feature"], few_groups=not by
+    )

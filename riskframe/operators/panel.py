@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import reached
-from riskframe.operators.joins import checked_join, lookup_join, require_unique, small_table
+from riskframe.operators.joins import checked_join, require_unique
 from riskframe.operators.roles import Roles, drop_dated
 
 HISTORY = ["outcome_t1", "outcome_t2", "delta_t1", "goal_t", "effort_t", "reached_t1"]
@@ -85,6 +85,8 @@ def yoy_delta(long: DataFrame, key: str, year: str, value: str, years: Sequence[
 
 
 def region_lookup(df: DataFrame, group: str, regions: DataFrame) -> DataFrame:
-    """``df`` with the columns of a (group, region) table; NULL for an unknown group."""
-    table, small = small_table(df.sparkSession, regions)
-    return df.join(F.broadcast(table), [group], "left") if small else lookup_join(df, regions, [group])
+    """``df`` with the columns of a (group, region) table; NULL for an unknown group.
+
+    No hint: Spark broadcasts the table if its files are small and shuffles it if not.
+    """
+    return df.join(regions, [group], "left")

@@ -67,7 +67,7 @@ def box_stats(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
     cuts = describe_by(df, by, column).select(*by, "q25", "q50", "q75")
     x, reach = F.col(column), 1.5 * (F.col("q75") - F.col("q25"))
     inside = (x >= F.col("q25") - reach) & (x <= F.col("q75") + reach)
-    seen = lookup_join(df.select(*by, column).where(x.isNotNull()), cuts, by, "inner")
+    seen = lookup_join(df.select(*by, column).where(x.isNotNull()), cuts, by, "inner", pin=True)
     return seen.groupBy(*by).agg(
         F.first("q25").alias("q25"), F.first("q50").alias("q50"), F.first("q75").alias("q75"),
         F.min(F.when(inside, x)).alias("whisker_low"),
@@ -90,8 +90,9 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> Dat
 def spearman_pairs(long: DataFrame, by: Sequence[str], x: str = "x", y: str = "y") -> DataFrame:
     """Spearman correlation of x and y per group over complete pairs, mean ranks on ties.
 
-    Pairs are counted first. Ranks are computed on the distinct values of each side and
-    joined back, with values that fill much of the table handled apart by the join.
+    Equal pairs are counted first. Ranks are computed on the distinct values of each side
+    and joined back. A value that fills much of one side makes a large join partition;
+    adaptive execution splits it, since each join is followed by an exchange of its own.
     """
     group = list(by) or ["_g"]
     base = long if by else long.withColumn("_g", F.lit(0))
@@ -102,14 +103,13 @@ def spearman_pairs(long: DataFrame, by: Sequence[str], x: str = "x", y: str = "y
     counted = pairs.groupBy(*group, "_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
     x_ranks = average_ranks(pairs, "_x", group, "_rx")
     y_ranks = average_ranks(pairs, "_y", group, "_ry")
-    ranked = lookup_join(lookup_join(counted, x_ranks, [*group, "_x"], "inner"), y_ranks, [*group, "_y"], "inner")
-    n, rx, ry = F.col("_n").cast("double"), F.col("_rx"), F.col("_ry")
-    sums = ranked.groupBy(*group).agg(
-        F.sum("_n").alias("n"), F.sum(n * rx).alias("sx"), F.sum(n * ry).alias("sy")
-    ).select(*group, "n", (F.col("sx") / F.col("n")).alias("mx"), (F.col("sy") / F.col("n")).alias("my"))
-    # Centred second pass: ranks run up to the row count, so raw products would lose digits.
-    centred = lookup_join(ranked, sums, group, "inner")
-    dx, dy = F.col("_rx") - F.col("mx"), F.col("_ry") - F.col("my")
+    ranked = counted.join(x_ranks, [*group, "_x"]).join(y_ranks, [*group, "_y"])
+    # The mean of n ranks is (n + 1) / 2 whatever the ties; centring by it keeps digits that
+    # raw products of large ranks would lose.
+    sizes = pairs.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    centred = lookup_join(ranked, sizes, group, "inner", pin=True)
+    middle = (F.col("n") + 1) / 2
+    dx, dy = F.col("_rx") - middle, F.col("_ry") - middle
     out = centred.groupBy(*group).agg(
         F.first("n").alias("n"),
         F.try_divide(
@@ -169,7 +169,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()
     x = F.col(column).cast("double")
     rows = df.select(*by, x.alias("_x")).where(x.isNotNull())
     ends = rows.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    ranged = lookup_join(rows, ends, by, "inner") if by else rows.join(F.broadcast(ends))
+    ranged = lookup_join(rows, ends, by, "inner", pin=True) if by else rows.join(F.broadcast(ends))
     width = (F.col("_hi") - F.col("_lo")) / bins
     place = F.coalesce(F.floor(F.try_divide(F.col("_x") - F.col("_lo"), width)), F.lit(0))
     binned = ranged.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))

@@ -84,7 +84,7 @@ def first_by_hash(
     )
     order = Window.partitionBy(STRATUM).orderBy(HASH, key)
     cuts = (
-        lookup_join(narrow, wanted, [STRATUM, RANGE], "inner")
+        lookup_join(narrow, wanted, [STRATUM, RANGE], "inner", pin=True)
         .withColumn("_local", F.row_number().over(order))
         .where(F.col("_local") == F.col("_place"))
         .select(STRATUM, F.col(HASH).alias("_cut_hash"), F.col(key).alias("_cut_key"))
@@ -92,7 +92,7 @@ def first_by_hash(
     at_or_before = (F.col(HASH) < F.col("_cut_hash")) | (
         (F.col(HASH) == F.col("_cut_hash")) & (F.col(key) <= F.col("_cut_key"))
     )
-    flagged = lookup_join(placed, cuts, [STRATUM], "left")
+    flagged = lookup_join(placed, cuts, [STRATUM], "left", pin=True)
     return flagged.withColumn(out, F.coalesce(at_or_before, F.lit(False))).drop(
         STRATUM, RANGE, HASH, "_cut_hash", "_cut_key"
     )
@@ -142,7 +142,7 @@ def group_folds(df: DataFrame, group: str, k: int = 5, seed: int = 42, out: str
         "n", F.coalesce(F.sum("_groups").over(larger), F.lit(0)).alias("_before")
     )
     ranked = hash_rank(sizes, group, seed, ["n"], "_rank")
-    placed = lookup_join(ranked, starts, ["n"], "inner")
+    placed = lookup_join(ranked, starts, ["n"], "inner", pin=True)
     place = F.col("_before") + F.col("_rank") - 1
     step, lap = F.pmod(place, F.lit(k)), F.floor(place / F.lit(k))
     fold = F.when(lap % 2 == 0, step).otherwise(F.lit(k - 1) - step)

@@ -7,6 +7,8 @@ percentage of its present units with label 1; the target year is 2000.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +40,14 @@ UNIT_TASK = Task(
 )
 
 
+# Plans are kept per session and folder, so that schemas are read once; no data is kept.
+plan = lru_cache(maxsize=None)
+
+
+@plan
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet", columns or None)
+    whole = table(spark, sf, name) if columns else None
+    return whole.select(*columns) if columns else read_table(spark, f"{sf}/{name}.parquet")
 
 
 def in_year(c: str, year: int) -> Column:
@@ -49,6 +57,7 @@ def in_year(c: str, year: int) -> Column:
     )
 
 
+@plan
 def units(spark: SparkSession, sf: str) -> DataFrame:
     """All units with label and leaked score."""
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate")
@@ -63,11 +72,13 @@ def units(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@plan
 def present_units(spark: SparkSession, sf: str) -> DataFrame:
     """Units that were present, with a label."""
     return units(spark, sf).where((F.col("status") != "P") & F.col("raw_score").isNotNull())
 
 
+@plan
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Present units with label ``y`` and a fixed score ``p`` on a grid of 1/1000, so ties occur."""
     noise = (md5_number(F.col("unit_id")) % 1000).cast("double")
@@ -76,6 +87,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return present_units(spark, sf).select("unit_id", "entity_id", "network", F.col("label").alias("y"), p.alias("p"))
 
 
+@plan
 def yearly(spark: SparkSession, sf: str) -> DataFrame:
     """Outcome per entity and year, with unit counts."""
     here, one = F.col("status") != "P", lambda c: c.cast("long")
@@ -91,6 +103,7 @@ def yearly(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@plan
 def outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """Long panel (entity_id, yr, outcome) of the years with present units."""
     return yearly(spark, sf).where(F.col("outcome").isNotNull()).select("entity_id", "yr", "outcome")
@@ -100,6 +113,7 @@ def goal(year: int) -> Column:
     return (F.lit(45) + F.col("entity_id") % 11 + F.lit(2 * (year - 1998))).cast("double")
 
 
+@plan
 def gold(spark: SparkSession, sf: str) -> DataFrame:
     """One row per entity: names, outcomes, goals, site counts up to 1999 and columns dated 2000."""
     customer = table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -124,6 +138,7 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@plan
 def groups(spark: SparkSession, sf: str) -> DataFrame:
     """(group_code, group_name, region_name)."""
     nation = table(spark, sf, "nation", "n_nationkey", "n_name", "n_regionkey")
@@ -159,6 +174,7 @@ def external_slices(spark: SparkSession, sf: str) -> list[DataFrame]:
     return [size, output, sectors, profile]
 
 
+@plan
 def externals(spark: SparkSession, sf: str) -> DataFrame:
     """Outside sources per distinct entity key."""
     keys = table(spark, sf, "customer", "c_custkey").withColumnRenamed("c_custkey", "entity_id")
@@ -174,6 +190,7 @@ RATIOS = {
 }
 
 
+@plan
 def store(spark: SparkSession, sf: str) -> DataFrame:
     """Entity table with derived features, targets not yet taken out."""
     joined = checked_join(gold(spark, sf), externals(spark, sf), ["entity_id"], "left", "1:1")
@@ -182,6 +199,7 @@ def store(spark: SparkSession, sf: str) -> DataFrame:
     return size_features(derived, "population", "log_population", "size_band")
 
 
+@plan
 def features_and_targets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return split_targets(store(spark, sf), "entity_id", TARGETS, DATED, ROLES, allow=["entity_name"])
 
@@ -194,18 +212,21 @@ def targets(spark: SparkSession, sf: str) -> DataFrame:
     return features_and_targets(spark, sf)[1]
 
 
+@plan
 def matrix(spark: SparkSession, sf: str, t: int) -> DataFrame:
     """Relative matrix for target year ``t`` (2000 with label, 2001 for projection)."""
     feats, tgts = features_and_targets(spark, sf)
     return relative_matrix(feats, tgts, "entity_id", t, BASE_YEAR, ROLES, allow=["entity_name"])
 
 
+@plan
 def unit_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """Present units with the context of their entity."""
     rows = present_units(spark, sf).select("unit_id", "entity_id", "network", "label")
     return checked_join(rows, features(spark, sf), ["entity_id"], "inner", "m:1")
 
 
+@plan
 def projected(spark: SparkSession, sf: str) -> DataFrame:
     """The projection matrix with a fixed risk on a grid of 1/1000 in place of a model's."""
     m = matrix(spark, sf, 2001)

@@ -683,6 +683,7 @@ def permuted_column(spark, sf):
 
 # Short settings, so that a query takes seconds on small data.
 SMALLER = {
+    models.LOGREG: dict(iterations=20),
     models.GBT: dict(iterations=8, rate=0.2, leaves=7, min_rows=20),
     models.FOREST: dict(trees=10, min_rows=20, depth=5),
     models.GBT_SUB: dict(iterations=8, rate=0.2, leaves=7, min_rows=20),
@@ -847,5 +848,7 @@ def permutation_importance(spark, sf):
     columns = ["outcome_t1", "effort_t", "share_rural", "population", "region_name", "size_band"]
     rows = df.select("entity_id", "reached_2000", *columns)
     roles_kept = demo.ROLES.feature_columns(rows, "reached_2000")
-    small = models.make_candidates(*roles_kept, "reached_2000", "entity", demo.ROLES.log_scaled)[models.LOGREG]
+    small = models.make_candidates(
+        *roles_kept, "reached_2000", "entity", demo.ROLES.log_scaled, smaller=SMALLER
+    )[models.LOGREG]
     return explain.permutation_importance(small.fit(rows), rows, "entity_id", "reached_2000", columns, repeats=3)
