@@ -17,7 +17,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.ordered import column_quantiles, unpivot_numeric
+from riskframe.operators.ordered import column_quantiles
 
 INFREQUENT = "infrequent"
 # A categorical column with more distinct values is an error, not silently cut.
@@ -36,13 +36,18 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(fixed).drop(*[c for c in columns if c not in found])
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (feature, value, n) over the non-NULL values, as text, of several columns."""
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (feature, value, n) over the values, as text, of several columns, NULL included."""
     text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = text.unpivot([], list(columns), "feature", "value").where(F.col("value").isNotNull())
+    long = text.unpivot([], list(columns), "feature", "value")
     return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (feature, value, n) over the non-NULL values, as text, of several columns."""
+    return _value_counts(df, columns).where(F.col("value").isNotNull())
+
+
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows (feature, mode, n): the most frequent value, the smallest on ties."""
     best = F.min_by("value", F.struct(-F.col("n"), F.col("value")))
@@ -58,9 +63,13 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (feature, mean, sd) with the population sd, one pass for all columns."""
-    long = unpivot_numeric(df, columns)
-    return long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"))
+    """Rows (feature, mean, sd) with the population sd; one aggregate row is turned upright."""
+    pair = lambda c: F.struct(
+        F.lit(c).alias("feature"), F.avg(F.col(c).cast("double")).alias("mean"),
+        F.stddev_pop(F.col(c).cast("double")).alias("sd"),
+    )
+    wide = df.agg(F.array(*[pair(c) for c in columns]).alias("_all"))
+    return wide.select(F.inline("_all"))
 
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -176,18 +185,18 @@ def fit_encoder(
 
 def _fit_categories(df: DataFrame, columns: Sequence[str], min_frequency: int, encoder: FittedEncoder) -> None:
     """Fill value, kept and pooled categories. Filled rows count towards the mode."""
-    counts = category_counts(df, columns)
+    counts = _value_counts(df, columns)
     limit = MAX_CATEGORIES * len(columns)
     rows = counts.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} categories in {list(columns)}")
-    total = df.count()
     for c in columns:
         n = {r["value"]: r["n"] for r in rows if r["feature"] == c}
+        missing = n.pop(None, 0)
         if not n:
             continue
         fill = min(n, key=lambda v: (-n[v], v))
-        n[fill] += total - sum(n.values())
+        n[fill] += missing
         encoder.categorical.append(c)
         encoder.fills[c] = fill
         encoder.kept[c] = sorted(v for v in n if n[v] >= min_frequency)

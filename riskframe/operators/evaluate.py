@@ -117,8 +117,8 @@ def pr_curve(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ())
 # -- metrics at a threshold --------------------------------------------------------------
 
 
-def _cell_counts(threshold: float, y: str, p: str) -> list[Column]:
-    flagged, one = F.col(p) >= F.lit(float(threshold)), F.col(y) == 1
+def _cell_counts(threshold: Column, y: str, p: str) -> list[Column]:
+    flagged, one = F.col(p) >= threshold, F.col(y) == 1
     cells = {"tn": ~one & ~flagged, "fp": ~one & flagged, "fn": one & ~flagged, "tp": one & flagged}
     return [F.sum(c.cast("long")).alias(name) for name, c in cells.items()]
 
@@ -132,11 +132,11 @@ def _mean_errors(y: str, p: str) -> list[Column]:
     ]
 
 
-def _in_words(cells: DataFrame, threshold: float) -> DataFrame:
+def _in_words(cells: DataFrame, threshold: Column) -> DataFrame:
     n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
     return cells.withColumns(
         {
-            "threshold": F.lit(float(threshold)),
+            "threshold": threshold,
             "n": n,
             "prevalence": F.try_divide((F.col("fn") + F.col("tp")).cast("double"), n),
             "miss_risk": F.col("fp"),
@@ -152,8 +152,8 @@ def confusion(
     df: DataFrame, threshold: float = 0.5, y: str = "y", p: str = "p", by: Sequence[str] = ()
 ) -> DataFrame:
     """Per group: tn, fp, fn, tp at ``p >= threshold``, in words too, with n and prevalence."""
-    cells = df.groupBy(*by).agg(*_cell_counts(threshold, y, p))
-    return _in_words(cells, threshold).select(*by, *CELLS)
+    cut = F.lit(float(threshold))
+    return _in_words(df.groupBy(*by).agg(*_cell_counts(cut, y, p)), cut).select(*by, *CELLS)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -191,8 +191,9 @@ def evaluate(
     df: DataFrame, threshold: float = 0.5, y: str = "y", p: str = "p", by: Sequence[str] = ()
 ) -> DataFrame:
     """Every metric of METRIC_ORDER plus the confusion cells, one row per group."""
-    sums = df.groupBy(*by).agg(*_cell_counts(threshold, y, p), *_mean_errors(y, p))
-    at_cut = with_rates(_in_words(sums, threshold))
+    cut = F.lit(float(threshold))
+    sums = df.groupBy(*by).agg(*_cell_counts(cut, y, p), *_mean_errors(y, p))
+    at_cut = with_rates(_in_words(sums, cut))
     ranking = ranking_metrics(df, y, p, by)
     keys = list(by) or ["_one"]
     if not by:
@@ -200,6 +201,24 @@ def evaluate(
     return at_cut.join(ranking, keys).select(*by, *METRIC_ORDER, *CELLS)
 
 
+def evaluate_at(
+    df: DataFrame, name: str, cuts: Sequence[tuple[str, str, float]], y: str = "y", p: str = "p"
+) -> DataFrame:
+    """Metrics of several scorers at several cuts: rows (label, metrics).
+
+    ``cuts`` lists (scorer, label, threshold); ``name`` is the column that names the scorer.
+    Scores are ordered once per scorer, since ranking metrics do not depend on the cut.
+    """
+    listed = F.array(
+        *[F.struct(F.lit(a).alias("_of"), F.lit(b).alias("label"), F.lit(float(t)).alias("_cut")) for a, b, t in cuts]
+    )
+    mine = F.filter(listed, lambda c: c["_of"] == F.col(name))
+    rows = df.select(name, y, p, F.explode(mine).alias("_c")).select(name, y, p, "_c.label", "_c._cut")
+    sums = rows.groupBy(name, "label", "_cut").agg(*_cell_counts(F.col("_cut"), y, p), *_mean_errors(y, p))
+    at_cut = with_rates(_in_words(sums, F.col("_cut")))
+    return at_cut.join(ranking_metrics(df, y, p, [name]), [name]).select("label", *METRIC_ORDER, *CELLS)
+
+
 def confusion_pct(cells: DataFrame) -> DataFrame:
     """Confusion cells as rows (actual, predicted, n, pct of the actual class)."""
     rows = F.explode(

@@ -42,11 +42,12 @@ def size_features(df: DataFrame, size: str, log_name: str, band_name: str) -> Da
 
 
 def spread_years(
-    long: DataFrame, key: str, year: str, years: Sequence[int], columns: Mapping[str, Column]
+    long: DataFrame, key: str, year: str, years: Sequence[int], columns: Mapping[str, Column],
+    totals: Sequence[Column] = (),
 ) -> DataFrame:
-    """Long yearly table to one row per key with ``<name>_<year>`` columns.
+    """Long yearly table to one row per key with ``<name>_<year>`` columns, and totals over years.
 
-    The (key, year) pairs must be unique. One aggregation, so one shuffle for any number of
+    The (key, year) pairs are unique. One aggregation, so one shuffle for any number of
     years; a year without a row gives NULL.
     """
     wide = [
@@ -54,4 +55,4 @@ def spread_years(
         for name, value in columns.items()
         for y in years
     ]
-    return long.where(F.col(year).isin(*years)).groupBy(key).agg(*wide)
+    return long.groupBy(key).agg(*wide, *totals)

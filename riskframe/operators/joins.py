@@ -109,7 +109,7 @@ def checked_join(
 def join_drop_report(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row: rows before and after an inner m:1 join, and the share dropped in percent."""
     keys = right.select(*on).distinct().withColumn("_met", F.lit(True))
-    joined = lookup_join(left.select(*on), keys, on, "left")
+    joined = lookup_join(left.select(*on), keys, on, "left", pin=True)
     before, after = F.count(F.lit(1)), F.count("_met")
     return joined.agg(
         before.alias("rows_before"),

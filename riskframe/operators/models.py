@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.encode import FittedEncoder, TabularEncoder, fit_encoder
-from riskframe.operators.evaluate import cv_report, evaluate, ranking_metrics
+from riskframe.operators.evaluate import cv_report, evaluate_at, ranking_metrics
 from riskframe.operators.sampling import stratified_folds, with_group_folds
 from riskframe.sources.io import shared_folder
 
@@ -351,18 +351,15 @@ def best_candidate(report: DataFrame, metric: str = "roc_auc") -> DataFrame:
     return rows.orderBy(F.desc_nulls_last("mean"), "candidate").limit(1).select("candidate", "mean")
 
 
-def holdout_table(scores: DataFrame, best: str, cuts: Mapping[str, float], y: str = "y", p: str = "p") -> DataFrame:
-    """Metrics per candidate at 0.5, then of the best one at each named threshold.
+def holdout_table(
+    scores: DataFrame, names: Sequence[str], best: str, cuts: Mapping[str, float], y: str = "y", p: str = "p"
+) -> DataFrame:
+    """Rows (name, metrics): every named candidate at 0.5, the best one at each named cut too.
 
-    ``scores`` holds rows (candidate, y, p). The ranking metrics do not depend on a cut, so
-    all copies are evaluated together with their cut as a column.
+    ``scores`` holds rows (candidate, y, p).
     """
-    rows = scores.select(F.col("candidate").alias("name"), y, p)
-    table = evaluate(rows, 0.5, y, p, ["name"])
-    for cut, t in cuts.items():
-        at_cut = rows.where(F.col("name") == best).withColumn("name", F.lit(f"{best}@{cut}"))
-        table = table.unionByName(evaluate(at_cut, t, y, p, ["name"]))
-    return table
+    wanted = [(n, n, 0.5) for n in names] + [(best, f"{best}@{cut}", t) for cut, t in cuts.items()]
+    return evaluate_at(scores, "candidate", wanted, y, p).withColumnRenamed("label", "name")
 
 
 def learning_curve(

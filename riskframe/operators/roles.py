@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.operators.ordered import unpivot_numeric
-
 # Names that must never be features.
 # Unit-level columns that encode the outcome or the presence filter.
 LEAKED_UNIT_COLUMNS = [
@@ -121,14 +119,17 @@ def split_targets(
 
 def leakage_scan(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """Columns that separate the two classes by a cut: rows (feature, bounds, separates)."""
-    low, high = F.col(label) == 0, F.col(label) == 1
-    long = unpivot_numeric(df, columns, [label]).where(F.col("value").isNotNull())
-    bounds = long.groupBy("feature").agg(
-        F.min(F.when(low, F.col("value"))).alias("min_neg"),
-        F.max(F.when(low, F.col("value"))).alias("max_neg"),
-        F.min(F.when(high, F.col("value"))).alias("min_pos"),
-        F.max(F.when(high, F.col("value"))).alias("max_pos"),
-    )
+    def bounds_of(c: str):
+        x = F.col(c).cast("double")
+        neg, pos = F.when(F.col(label) == 0, x), F.when(F.col(label) == 1, x)
+        return F.struct(
+            F.lit(c).alias("feature"), F.min(neg).alias("min_neg"), F.max(neg).alias("max_neg"),
+            F.min(pos).alias("min_pos"), F.max(pos).alias("max_pos"),
+        )
+
+    # One aggregate row for all columns, turned upright.
+    wide = df.agg(F.array(*[bounds_of(c) for c in columns]).alias("_all"))
+    bounds = wide.select(F.inline("_all"))
     separates = (F.col("max_neg") <= F.col("min_pos")) | (F.col("max_pos") <= F.col("min_neg"))
     return bounds.withColumn("separates", F.coalesce(separates, F.lit(False)))
 

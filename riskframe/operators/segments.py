@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import segment_name
-from riskframe.operators.joins import checked_join
+from riskframe.operators.joins import checked_join, small_table
 from riskframe.operators.ordered import quantiles
 from riskframe.operators.profile import rate_by
 from riskframe.operators.roles import numeric_columns
@@ -124,6 +124,8 @@ def segment_names(profile: DataFrame, segment: str, level: str, rural: str, size
 
     A segment is of high level at or above the median over the segments.
     """
+    # One row per segment; computed once for its median and its names.
+    profile, _ = small_table(profile.sparkSession, profile.select(segment, level, rural, size))
     middle = quantiles(profile, level, [0.5]).select("quantile").first()
     high = F.col(level) >= F.lit(middle["quantile"] if middle else None)
     return profile.select(segment, segment_name(high, rural, size).alias("segment_name"))

@@ -8,19 +8,18 @@ percentage of its present units with label 1; the target year is 2000.
 from __future__ import annotations
 
 from functools import lru_cache
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import md5_number
-from riskframe.operators.features import (
-    goal_features, ratio_features, size_features, spread_years,
-)
+from riskframe.operators.features import goal_features, ratio_features, size_features, spread_years
 from riskframe.operators.joins import checked_join, enrich, lookup_join
 from riskframe.operators.panel import region_lookup, relative_matrix
 from riskframe.operators.roles import Roles, split_targets
 from riskframe.plans.training import Task
-from riskframe.sources.io import read_table
+from riskframe.sources.io import materialize, read_table, shared_folder
 
 BASE_YEAR = 2000
 CUT = 250_000
@@ -121,12 +120,13 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_custkey").alias("entity_id"), F.col("c_name").alias("entity_name"),
         F.col("c_nationkey").alias("group_code"), F.col("c_mktsegment").alias("segment"),
     )
-    early = F.col("yr") <= 1999
-    history = yearly(spark, sf).groupBy("entity_id").agg(
-        *[F.max(F.when(F.col("yr") == y, F.col("outcome"))).alias(f"outcome_{y}") for y in (1998, 1999, 2000)],
-        *[F.sum(F.when(early, F.col(c))).alias(out) for c, out in (
-            ("n_sites", "n_sites"), ("n_rural", "n_sites_rural"), ("n_private", "n_sites_private"))],
-        F.sum(F.when(F.col("yr") == 2000, F.col("n_present"))).alias("units_2000"),
+    until = lambda c, out: F.sum(F.when(F.col("yr") <= 1999, F.col(c))).alias(out)
+    history = spread_years(
+        yearly(spark, sf), "entity_id", "yr", (1998, 1999, 2000), {"outcome": F.col("outcome")},
+        totals=[
+            until("n_sites", "n_sites"), until("n_rural", "n_sites_rural"), until("n_private", "n_sites_private"),
+            F.sum(F.when(F.col("yr") == 2000, F.col("n_present"))).alias("units_2000"),
+        ],
     )
     out = checked_join(base, history, ["entity_id"], "left", "1:1")
     out = out.withColumns({f"goal_{y}": goal(y) for y in range(1999, 2004)})
@@ -152,11 +152,14 @@ def groups(spark: SparkSession, sf: str) -> DataFrame:
 def external_slices(spark: SparkSession, sf: str) -> list[DataFrame]:
     """Outside sources, each filtered to its year and unique on the entity."""
     in_1999 = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate").where(in_year("o_orderdate", 1999))
-    lines = table(spark, sf, "lineitem", "l_orderkey", "l_quantity")
+    # Lines are summed per order before they move, so an order with very many is one row.
+    lines = table(spark, sf, "lineitem", "l_orderkey", "l_quantity").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("items"), F.count(F.lit(1)).alias("lines")
+    )
     size = (
         in_1999.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy(F.col("o_custkey").alias("entity_id"))
-        .agg(F.sum("l_quantity").alias("items"), F.count(F.lit(1)).alias("lines"))
+        .agg(F.sum("items").alias("items"), F.sum("lines").alias("lines"))
         .withColumn("population", F.col("items") * 1000)
     )
     by_year = yearly(spark, sf)
@@ -199,9 +202,19 @@ def store(spark: SparkSession, sf: str) -> DataFrame:
     return size_features(derived, "population", "log_population", "size_band")
 
 
+@plan
+def saved_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The store written once per application to the shared folder and read back.
+
+    Fits and profiles pass over it several times.
+    """
+    name = f"store-{md5(sf.encode()).hexdigest()[:8]}-{spark.sparkContext.applicationId}"
+    return materialize(spark, lambda: store(spark, sf), f"{shared_folder(spark)}/riskframe/{name}")
+
+
 @plan
 def features_and_targets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return split_targets(store(spark, sf), "entity_id", TARGETS, DATED, ROLES, allow=["entity_name"])
+    return split_targets(saved_store(spark, sf), "entity_id", TARGETS, DATED, ROLES, allow=["entity_name"])
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,9 +259,3 @@ def with_group(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
     customer = table(spark, sf, "customer", "c_custkey", "c_nationkey").toDF("entity_id", "group_code")
     return lookup_join(rows, region_lookup(customer, "group_code", groups(spark, sf)), ["entity_id"], "inner")
 
-
-__all__ = [
-    "units", "present_units", "scored", "yearly", "outcomes", "gold", "groups", "externals",
-    "external_slices", "store", "features", "targets", "features_and_targets", "matrix",
-    "unit_dataset", "projected", "with_group", "spread_years",
-]

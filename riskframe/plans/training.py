@@ -118,9 +118,8 @@ def _compare_and_tune(train: DataFrame, task: Task, cfg: TrainConfig):
 def _holdout(candidates, best: str, model: PipelineModel, train: DataFrame, test: DataFrame, task: Task, cfg: TrainConfig):
     """(thresholds, metric table) on the held-out rows, baselines beside the best."""
     scored = None
-    for name in dict.fromkeys([DUMMY, LOGREG, best]):
-        if name not in candidates:
-            continue
+    shown = [n for n in dict.fromkeys([DUMMY, LOGREG, best]) if n in candidates]
+    for name in shown:
         fitted = model if name == best else candidates[name].fit(train)
         rows = score(fitted, test).select(
             F.lit(name).alias("candidate"), F.col(task.label).cast("int").alias("y"), "p"
@@ -135,7 +134,7 @@ def _holdout(candidates, best: str, model: PipelineModel, train: DataFrame, test
         held = score(refit, inner.where("split = 'test'")).withColumn("y", F.col(task.label).cast("int"))
         cuts = pick_thresholds(held.select("y", "p").checkpoint(), "y")
     named = {"f1": cuts["f1"], "cost": cuts["cost"]}
-    table, _ = small_table(train.sparkSession, holdout_table(scored, best, named))
+    table, _ = small_table(train.sparkSession, holdout_table(scored, shown, best, named))
     return cuts, table
 
 
