@@ -5,17 +5,17 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.base import _FitMultipleIterator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,8 +124,7 @@ def majority_scores(df: DataFrame, label: str, out: str = "p") -> DataFrame:
 class Candidate(Estimator):
     """Preprocessing plus classifier; fits to a plain PipelineModel.
 
-    The encoder is fitted on the rows given to ``fit``, so inside cross-validation it never
-    sees the held-out fold, and it is fitted once per fold for all searched settings.
+    The encoder is fitted on the rows given to ``fit``.
     ``inversePenalty`` is the inverse L2 strength relative to the sum of the loss.
     """
 
@@ -152,24 +151,10 @@ class Candidate(Estimator):
         """The tunable parameter of that name, own or of the classifier."""
         return self.getParam(name) if name == "inversePenalty" else self.classifier.getParam(name)
 
-    def _counts(self, df: DataFrame) -> dict[int, int]:
+    def counts(self, df: DataFrame) -> dict[int, int]:
+        """Rows per class."""
         return {r[self.label]: r["n"] for r in class_weights(df, self.label).collect()}
 
-    def _prepared(self, df: DataFrame, state: FittedEncoder | None = None):
-        """(encoder model, encoded rows, rows per class)."""
-        counts = self._counts(df)
-        encoder = (state or self.encoder.fit_state(df)).model(self.encoder.features)
-        rows = encoder.transform(df).select(
-            "features", F.col(self.label).cast("double").alias("label"), self._weight(counts).alias("weight")
-        )
-        return encoder, rows, counts
-
-    def fit_encoded(self, df: DataFrame, state: FittedEncoder) -> PipelineModel:
-        """Fit with preprocessing already fitted, on the same rows, with scaling."""
-        if self.classifier is None:
-            return self.fit(df)
-        return self._fit_classifier(*self._prepared(df, state if self.encoder.settings["scale"] else state.unscaled()))
-
     def _weight(self, counts: Mapping[int, int]) -> Column:
         if not self.balanced or len(counts) < 2:
             return F.lit(1.0)
@@ -177,27 +162,43 @@ class Candidate(Estimator):
         heavy = F.when(F.col(self.label).cast("int") == 1, n / (2 * counts[1]))
         return heavy.otherwise(n / (2 * counts[0]))
 
-    def _fit_classifier(self, encoder: PipelineModel, rows: DataFrame, counts: Mapping[int, int]) -> PipelineModel:
+    def fit_encoded(self, rows: DataFrame, counts: Mapping[int, int]):
+        """Classifier fitted on rows that hold the feature vector and the label already."""
         classifier = self.classifier.copy()
         if isinstance(classifier, LogisticRegression):
             # Weights of either kind add up to the row count.
             strength = self.getOrDefault("inversePenalty") * sum(counts.values())
             classifier.setRegParam(1.0 / strength)
-        classifier.setFeaturesCol("features").setLabelCol("label").setWeightCol("weight")
-        return PipelineModel([*encoder.stages, classifier.fit(rows)])
+        classifier.setFeaturesCol("features").setLabelCol("_label").setWeightCol("_weight")
+        return classifier.fit(
+            rows.select(
+                "features", F.col(self.label).cast("double").alias("_label"), self._weight(counts).alias("_weight")
+            )
+        )
+
+    def fit_with(self, df: DataFrame, state: FittedEncoder) -> PipelineModel:
+        """Fit with preprocessing that was fitted on the same rows, with scaling."""
+        encoder = (state if self.scaled else state.unscaled()).model()
+        return PipelineModel([*encoder.stages, self.fit_encoded(encoder.transform(df), self.counts(df))])
+
+    @property
+    def scaled(self) -> bool:
+        return self.encoder.settings["scale"]
+
+    def constant(self, counts: Mapping[int, int]) -> float:
+        """Score of the majority classifier: 1.0 if class 1 is the more frequent one."""
+        return 1.0 if counts.get(1, 0) > counts.get(0, 0) else 0.0
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         if self.classifier is None:
-            counts = self._counts(dataset)
-            top = 1 if counts.get(1, 0) > counts.get(0, 0) else 0
-            return PipelineModel([SQLTransformer(statement=f"SELECT *, {top}.0D AS p FROM __THIS__")])
-        return self._fit_classifier(*self._prepared(dataset))
+            p = self.constant(self.counts(dataset))
+            return PipelineModel([SQLTransformer(statement=f"SELECT *, {p!r}D AS p FROM __THIS__")])
+        return self.fit_with(dataset, fit_state(self, dataset))
 
-    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[Mapping]):
-        encoder, rows, counts = self._prepared(dataset)
-        rows = rows.persist()
-        fits = lambda i: self.copy(paramMaps[i])._fit_classifier(encoder, rows, counts)
-        return _FitMultipleIterator(fits, len(paramMaps))
+
+def fit_state(candidate: Candidate, df: DataFrame) -> FittedEncoder:
+    """Fitted preprocessing with scaling; ``unscaled`` gives the form for trees."""
+    return fit_encoder(df, **{**candidate.encoder.settings, "scale": True})
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
@@ -283,53 +284,71 @@ def _as_params(candidate: Candidate, setting: Mapping) -> dict[Param, object]:
 
 def random_search(
     candidate: Candidate, grid: Mapping[str, list], df: DataFrame, key: str,
-    n_iter: int = 25, folds: int = 5, seed: int = 42, parallelism: int = 2,
+    n_iter: int = 25, folds: int = 5, seed: int = 42, parallelism: int = 4,
 ) -> tuple[Candidate, dict, DataFrame]:
     """(candidate with the best settings, those settings, table of all settings with mean AUC)."""
+    shared_folder(df.sparkSession)
     settings = draw_settings(grid, n_iter, seed) if grid else [{}]
-    folded = stratified_folds(df, key, candidate.label, folds, seed, "_fold")
-    folded = folded.withColumn("label", F.col(candidate.label).cast("double"))
     maps = [_as_params(candidate, s) for s in settings]
-    search = CrossValidator(
-        estimator=candidate, estimatorParamMaps=maps, numFolds=folds, foldCol="_fold",
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0),
-        parallelism=parallelism, seed=seed,
-    )
-    aucs = search.fit(folded).avgMetrics
+    folded = stratified_folds(df, key, candidate.label, folds, seed, "_fold").checkpoint()
+    tried = {str(i): candidate.copy(m) for i, m in enumerate(maps)}
+    oof = out_of_fold(tried, folded, "_fold", folds, ["test"], parallelism)
+    means = ranking_metrics(oof, by=["candidate", "fold"]).groupBy("candidate").agg(F.avg("roc_auc").alias("auc"))
+    aucs = {int(r["candidate"]): r["auc"] for r in means.collect()}
     best = max(range(len(settings)), key=lambda i: aucs[i])
-    rows = [(i, ", ".join(f"{k}={v}" for k, v in s.items()), float(a), i == best) for i, (s, a) in enumerate(zip(settings, aucs))]
+    rows = [
+        (i, ", ".join(f"{k}={v}" for k, v in s.items()), float(aucs[i]), i == best) for i, s in enumerate(settings)
+    ]
     table = df.sparkSession.createDataFrame(rows, "setting int, params string, roc_auc double, best boolean")
     return candidate.copy(maps[best]), settings[best], table
 
 
-def out_of_fold(candidates: Mapping[str, Candidate], df: DataFrame, fold: str, folds: int) -> DataFrame:
+def out_of_fold(
+    candidates: Mapping[str, Candidate], df: DataFrame, fold: str, folds: int,
+    parts: Sequence[str] = ("test", "train"), parallelism: int = 4,
+) -> DataFrame:
     """Scores (candidate, fold, part, y, p) of every fold by models fitted on the others.
 
-    The candidates have the same columns. ``part`` is 'test' for the held-out fold and
-    'train' for the rows fitted on. The scores
-    are written to the checkpoint folder, so metrics do not score again.
+    The candidates have the same columns, so preprocessing is fitted once per fold, on the
+    rows outside it. ``part`` is 'test' for the held-out fold and 'train' for the rows
+    fitted on. Scores are written to the checkpoint folder, so metrics do not score again.
     """
     shared_folder(df.sparkSession)
-    parts = []
+    fitted = [c for c in candidates.values() if c.classifier is not None]
+    any_one = next(iter(candidates.values()))
+    label = any_one.label
+    out = None
     for i in range(folds):
-        rows = df.where(F.col(fold) != i)
-        part = F.when(F.col(fold) == i, "test").otherwise("train")
-        state = None
-        for name, candidate in candidates.items():
-            if candidate.classifier is not None and state is None:
-                # All candidates share their columns, so one preprocessing fit per fold.
-                state = fit_encoder(rows, **{**candidate.encoder.settings, "scale": True})
-            model = candidate.fit_encoded(rows, state) if candidate.classifier is not None else candidate.fit(rows)
-            parts.append(
-                score(model, df).select(
-                    F.lit(name).alias("candidate"), F.lit(i).alias("fold"), part.alias("part"),
-                    F.col(candidate.label).cast("int").alias("y"), "p",
-                )
-            )
-    scores = parts[0]
-    for p in parts[1:]:
-        scores = scores.unionByName(p)
-    return scores.checkpoint()
+        train = df.where(F.col(fold) != i)
+        counts = any_one.counts(train)
+        encoded = {}
+        if fitted:
+            state = fit_state(fitted[0], train)
+            for scaled in {c.scaled for c in fitted}:
+                encoder = (state if scaled else state.unscaled()).model()
+                encoded[scaled] = encoder.transform(df).select(fold, label, "features").persist()
+
+        def scores_of(item, i=i, counts=counts, encoded=encoded):
+            name, candidate = item
+            if candidate.classifier is None:
+                rows, p = df, F.lit(candidate.constant(counts))
+            else:
+                rows = encoded[candidate.scaled]
+                rows = candidate.fit_encoded(rows.where(F.col(fold) != i), counts).transform(rows)
+                p = vector_to_array("probability")[1]
+            part = F.when(F.col(fold) == i, "test").otherwise("train")
+            return rows.select(
+                F.lit(name).alias("candidate"), F.lit(i).alias("fold"), part.alias("part"),
+                F.col(label).cast("int").alias("y"), p.alias("p"),
+            ).where(F.col("part").isin(*parts))
+
+        with ThreadPool(min(parallelism, len(candidates))) as pool:
+            found = pool.map(inheritable_thread_target(df.sparkSession)(scores_of), candidates.items())
+        scores = reduce(DataFrame.unionByName, found).checkpoint()
+        for rows in encoded.values():
+            rows.unpersist()
+        out = scores if out is None else out.unionByName(scores)
+    return out
 
 
 def cross_validate(
@@ -368,10 +387,10 @@ def learning_curve(
     """Rows (size, train_auc, test_auc) of refits with a growing number of trees."""
     shared_folder(train.sparkSession)
     name = "maxIter" if candidate.classifier.hasParam("maxIter") else "numTrees"
-    state = fit_encoder(train, **{**candidate.encoder.settings, "scale": True})
+    state = fit_state(candidate, train)
     parts = []
     for size in sizes:
-        model = candidate.copy({candidate.param(name): int(size)}).fit_encoded(train, state)
+        model = candidate.copy({candidate.param(name): int(size)}).fit_with(train, state)
         for part, rows in (("train", train), ("test", test)):
             parts.append(
                 score(model, rows).select(
@@ -379,9 +398,7 @@ def learning_curve(
                     F.col(candidate.label).cast("int").alias("y"), "p",
                 )
             )
-    scores = parts[0]
-    for p in parts[1:]:
-        scores = scores.unionByName(p)
-    aucs = ranking_metrics(scores.checkpoint(), by=["size", "part"])
+    scores = reduce(DataFrame.unionByName, parts).checkpoint()
+    aucs = ranking_metrics(scores, by=["size", "part"])
     at = lambda part: F.max(F.when(F.col("part") == part, F.col("roc_auc")))
     return aucs.groupBy("size").agg(at("train").alias("train_auc"), at("test").alias("test_auc"))

@@ -695,7 +695,7 @@ SHORT_GRIDS = {
     models.GBT_SUB: {"maxIter": [5, 8], "subsamplingRate": [0.85]},
 }
 SHORT = training.TrainConfig(
-    cv_folds=3, n_iter=2, group_folds=3, curve_sizes=(2, 4, 8), smaller=SMALLER, grids=SHORT_GRIDS,
+    cv_folds=2, n_iter=2, group_folds=2, curve_sizes=(2, 4, 8), smaller=SMALLER, grids=SHORT_GRIDS,
     candidates=(models.DUMMY, models.LOGREG, models.GBT),
 )
 
@@ -800,9 +800,10 @@ def train_units(spark, sf):
 
 @query
 def ablation(spark, sf):
-    df = _entity_rows(spark, sf)
-    cfg = replace(SHORT, candidates=(models.DUMMY, models.LOGREG))
-    return training.train_entities(df, demo.ENTITY_TASK, cfg).ablation
+    split = sampling.stratified_holdout(_entity_rows(spark, sf), "entity_id", "reached_2000").checkpoint()
+    train, test = split.where("split = 'train'"), split.where("split = 'test'")
+    tuned = _candidates(train)[models.LOGREG]
+    return training.ablate_history(train, test, demo.ENTITY_TASK, SHORT, models.LOGREG, tuned, tuned.fit(train))
 
 
 @query
