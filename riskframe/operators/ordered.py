@@ -67,12 +67,11 @@ def running_totals(
     that fills a third of the table is spread over all ranges.
     """
     by = list(by)
-    cells = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(*[F.sum(m).alias(m) for m in measures])
-    )
-    edges = value_edges(cells, value, buckets or default_buckets(df))
+    rows = df.where(F.col(value).isNotNull())
+    # The sketch reads one column and moves nothing. Cut at equal row counts, a range holds
+    # no more distinct values than its share of the rows.
+    edges = value_edges(rows, value, buckets or default_buckets(df))
+    cells = rows.groupBy(*by, value).agg(*[F.sum(m).alias(m) for m in measures])
     cells = with_bucket(cells, value, edges)
 
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -107,11 +106,14 @@ def running_totals(
 
 
 def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "rank") -> DataFrame:
-    """Distinct (by, value) with the 1-based rank, ties sharing the mean of their places."""
+    """Distinct (by, value) with the 1-based rank, ties sharing the mean of their places.
+
+    ``<out>_of`` is the number of ranked rows in the group.
+    """
     counted = df.select(*by, value, F.lit(1).cast("long").alias("_n"))
     totals = running_totals(counted, value, ["_n"], by)
     rank = F.col("_n_upto") - (F.col("_n") - F.lit(1)) / F.lit(2)
-    return totals.select(*by, value, rank.cast("double").alias(out))
+    return totals.select(*by, value, rank.cast("double").alias(out), F.col("_n_all").alias(f"{out}_of"))
 
 
 def quantiles(

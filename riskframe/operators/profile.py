@@ -102,16 +102,14 @@ def spearman_pairs(long: DataFrame, by: Sequence[str], x: str = "x", y: str = "y
     )
     counted = pairs.groupBy(*group, "_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
     x_ranks = average_ranks(pairs, "_x", group, "_rx")
-    y_ranks = average_ranks(pairs, "_y", group, "_ry")
+    y_ranks = average_ranks(pairs, "_y", group, "_ry").drop("_ry_of")
     ranked = counted.join(x_ranks, [*group, "_x"]).join(y_ranks, [*group, "_y"])
     # The mean of n ranks is (n + 1) / 2 whatever the ties; centring by it keeps digits that
     # raw products of large ranks would lose.
-    sizes = pairs.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    centred = lookup_join(ranked, sizes, group, "inner", pin=True)
-    middle = (F.col("n") + 1) / 2
+    middle = (F.col("_rx_of") + 1) / 2
     dx, dy = F.col("_rx") - middle, F.col("_ry") - middle
-    out = centred.groupBy(*group).agg(
-        F.first("n").alias("n"),
+    out = ranked.groupBy(*group).agg(
+        F.first("_rx_of").alias("n"),
         F.try_divide(
             F.sum(F.col("_n") * dx * dy),
             F.sqrt(F.sum(F.col("_n") * dx * dx)) * F.sqrt(F.sum(F.col("_n") * dy * dy)),

@@ -1,7 +1,7 @@
 """DuckDB SQL for the registered queries, written against the raw test tables.
 
-``select`` wraps a body so that doubles are rounded to 6 places and integers widened, as
-the registered queries do. A column spec reads ``name:kind`` with kind d, i, s or b.
+``select`` wraps a body so that doubles are shifted by 1e-9 and rounded to 6 places and
+integers widened, as the registered queries do. A column spec reads ``name:kind`` with kind d, i, s or b.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from riskframe.plans.queries import (
 )
 
 CASTS = {
-    "d": 'round(CAST("{c}" AS DOUBLE), 6) + 0e0 AS "{c}"',
+    "d": 'round(CAST("{c}" AS DOUBLE) + 1e-9, 6) + 0e0 AS "{c}"',
     "i": 'CAST("{c}" AS BIGINT) AS "{c}"',
     "s": 'CAST("{c}" AS VARCHAR) AS "{c}"',
     "b": 'CAST("{c}" AS BOOLEAN) AS "{c}"',

@@ -26,10 +26,14 @@ QUERIES: dict[str, Query] = {}
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Doubles to 6 places (no negative zero), integers to BIGINT."""
+    """Doubles to 6 places (no negative zero), integers to BIGINT.
+
+    The shift by 1e-9 makes exact halves in the seventh place round the same way whatever
+    the order in which an average was summed.
+    """
     def fix(name: str, kind: str) -> Column:
         if kind in ("double", "float"):
-            return (F.round(F.col(name).cast("double"), 6) + F.lit(0.0)).alias(name)
+            return (F.round(F.col(name).cast("double") + F.lit(1e-9), 6) + F.lit(0.0)).alias(name)
         if kind in ("int", "smallint", "tinyint", "bigint"):
             return F.col(name).cast("bigint").alias(name)
         return F.col(name)
@@ -313,8 +317,10 @@ def entity_aggregate(spark, sf):
 
 @query
 def entity_correlations(spark, sf):
+    io.shared_folder(spark)
     agg = prof.entity_aggregate(demo.with_group(spark, sf, demo.scored(spark, sf)), "entity_id", "group_name")
-    return prof.entity_correlations(agg, min_rows=8)
+    # Read several times, so written once.
+    return prof.entity_correlations(agg.checkpoint(), min_rows=8)
 
 
 @query
