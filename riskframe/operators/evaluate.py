@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.joins import side_by_side
 from riskframe.operators.ordered import quantiles, running_totals, with_bucket
 
 # Order of the metric columns in result tables.
@@ -195,10 +196,8 @@ def evaluate(
     sums = df.groupBy(*by).agg(*_cell_counts(cut, y, p), *_mean_errors(y, p))
     at_cut = with_rates(_in_words(sums, cut))
     ranking = ranking_metrics(df, y, p, by)
-    keys = list(by) or ["_one"]
-    if not by:
-        at_cut, ranking = at_cut.withColumn("_one", F.lit(1)), ranking.withColumn("_one", F.lit(1))
-    return at_cut.join(ranking, keys).select(*by, *METRIC_ORDER, *CELLS)
+    both = at_cut.join(ranking, list(by)) if by else side_by_side(at_cut, ranking)
+    return both.select(*by, *METRIC_ORDER, *CELLS)
 
 
 def evaluate_at(

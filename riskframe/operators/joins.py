@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -106,6 +107,12 @@ def checked_join(
     return lookup_join(left, right, on, how, small_rows)
 
 
+def side_by_side(*tables: DataFrame) -> DataFrame:
+    """One-row tables with different columns as one row."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def join_drop_report(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row: rows before and after an inner m:1 join, and the share dropped in percent."""
     keys = right.select(*on).distinct().withColumn("_met", F.lit(True))

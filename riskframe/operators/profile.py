@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.joins import lookup_join
+from riskframe.operators.joins import lookup_join, side_by_side
 from riskframe.operators.ordered import (
     average_ranks, column_quantiles, quantiles, unpivot_numeric, with_bucket,
 )
@@ -167,7 +167,10 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()
     x = F.col(column).cast("double")
     rows = df.select(*by, x.alias("_x")).where(x.isNotNull())
     ends = rows.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    ranged = lookup_join(rows, ends, by, "inner", pin=True) if by else rows.join(F.broadcast(ends))
+    if by:
+        ranged = lookup_join(rows, ends, by, "inner", pin=True)
+    else:
+        ranged = rows.withColumns({c: ends.select(c).scalar() for c in ("_lo", "_hi")})
     width = (F.col("_hi") - F.col("_lo")) / bins
     place = F.coalesce(F.floor(F.try_divide(F.col("_x") - F.col("_lo"), width)), F.lit(0))
     binned = ranged.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
@@ -215,7 +218,7 @@ def entity_correlations(agg: DataFrame, min_rows: int = 30) -> DataFrame:
         F.avg(F.abs("error")).alias("mae"), F.avg("error").alias("mean_error"),
     )
     ranked = spearman(agg, "predicted", "observed").select(F.col("rho").alias("spearman"))
-    return linear.withColumn("_one", F.lit(1)).join(ranked.withColumn("_one", F.lit(1)), ["_one"]).drop("_one")
+    return side_by_side(linear, ranked)
 
 
 def quality_gates(

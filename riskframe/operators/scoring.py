@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.joins import side_by_side
 from riskframe.operators.models import score
 from riskframe.operators.profile import spearman
 from riskframe.sources.io import shared_folder
@@ -73,5 +74,4 @@ def ranking_sanity(ranking: DataFrame, risk: str = "risk", effort: str = "effort
         F.avg(F.when(F.col(reached) == 1, F.col(risk))).alias("risk_met"),
     )
     rho = spearman(ranking, risk, effort).select(F.col("rho").alias("spearman_risk_effort"))
-    one = F.lit(1)
-    return rho.withColumn("_one", one).join(means.withColumn("_one", one), ["_one"]).drop("_one")
+    return side_by_side(rho, means)

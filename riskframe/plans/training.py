@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.encode import TabularEncoder
@@ -20,11 +20,11 @@ from riskframe.operators.panel import HISTORY
 from riskframe.operators.profile import crosstab, entity_aggregate, entity_correlations, medians_by
 from riskframe.operators.roles import Roles
 from riskframe.operators.sampling import stratified_holdout, stratified_sample, subsample
-from riskframe.operators.scoring import project, risk_ranking
+from riskframe.operators.scoring import project, ranking_sanity, risk_ranking
 from riskframe.operators.segments import (
     K_RANGE, RESTARTS, cluster_matrix, kmeans_best_of, segment_names, segment_outcome, select_k,
 )
-from riskframe.sources.io import shared_folder
+from riskframe.sources.io import load_model, shared_folder, write_csv
 
 
 @dataclass(frozen=True)
@@ -210,6 +210,16 @@ def project_and_rank(model: PipelineModel, matrix: DataFrame, key: str, name: st
     return risk_ranking(project(model, matrix, key, name, group), key, "risk")
 
 
+def projection_job(
+    spark: SparkSession, model_path: str, matrix: DataFrame, key: str, name: str, group: str, out: str
+) -> DataFrame:
+    """Score with a saved model, write the ranked list as CSV, and return the checks on it."""
+    model, _ = load_model(spark, model_path)
+    ranking = project_and_rank(model, matrix, key, name, group).checkpoint()
+    write_csv(ranking, out, ["position"])
+    return ranking_sanity(ranking)
+
+
 @dataclass
 class Segmentation:
     """Segments per entity and the tables that describe them."""

@@ -133,6 +133,19 @@ def test_saved_model_scores_the_same(spark, df, tmp_path):
     assert all(0 <= r["p"] <= 1 for r in a)
 
 
+def test_projection_job_writes_and_checks(spark, df, tmp_path):
+    from riskframe.plans.training import projection_job
+
+    io.save_model(_candidates(df)[M.LOGREG].fit(df), str(tmp_path / "m"), {})
+    ahead = df.withColumn("reached_t1", (F.col("id") % 2).cast("double"))
+    checks = projection_job(spark, str(tmp_path / "m"), ahead, "id", "name", "grp", str(tmp_path / "r")).first()
+    assert checks["spearman_risk_effort"] > 0.5
+    lines = spark.read.option("header", True).csv(str(tmp_path / "r")).toPandas()
+    assert sorted(lines["position"].astype(int)) == list(range(1, 601))
+    by_place = lines.assign(position=lines["position"].astype(int)).sort_values("position")["risk"].astype(float)
+    assert by_place.is_monotonic_decreasing
+
+
 def test_settings_are_drawn_reproducibly():
     grid = M.param_grid(M.GBT, "unit")
     assert M.draw_settings(grid, 5, 1) == M.draw_settings(grid, 5, 1)
