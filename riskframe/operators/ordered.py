@@ -8,6 +8,7 @@ cut points come from a sketch; they decide how even the ranges are, never the re
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -31,7 +32,7 @@ def value_edges(df: DataFrame, value: str, buckets: int) -> list[float]:
     """Approximate equal-count cut points of ``value``; at most ``buckets - 1`` numbers."""
     probs = [i / buckets for i in range(1, buckets)]
     cuts = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10 * buckets)).first()[0]
-    return sorted(set(cuts or []))
+    return sorted({c for c in cuts or [] if math.isfinite(c)})
 
 
 def with_bucket(df: DataFrame, value: str, edges: Sequence[float], out: str = BUCKET) -> DataFrame:
@@ -176,7 +177,7 @@ def quantiles(
         wanted, is_small = small_table(spark, wanted)
     hint = F.broadcast if is_small else (lambda x: x)
 
-    spans_needed = wanted.select(*[f"_w_{k}" for k in [*by, BUCKET]]).distinct()
+    spans_needed = wanted.select(*[f"_w_{k}" for k in [*by, BUCKET]])
     meets = binned[BUCKET] == F.col(f"_w_{BUCKET}")
     for k in by:
         meets = meets & binned[k].eqNullSafe(F.col(f"_w_{k}"))

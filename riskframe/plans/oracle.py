@@ -10,7 +10,7 @@ import numpy as np
 
 from riskframe.operators.evaluate import CV_METRICS, GRID_STEPS, METRIC_ORDER
 from riskframe.plans.queries import (
-    HOLDOUT_CUTS, OPERATING_CUTS, PROFILE_COLUMNS, SHAP_WEIGHTS,
+    HOLDOUT_CUTS, IMPORTANCE_WEIGHTS, OPERATING_CUTS, PROFILE_COLUMNS, SHAP_WEIGHTS,
 )
 
 CASTS = {
@@ -674,6 +674,27 @@ def oracle() -> dict[str, str]:
         "feature:s mean_abs:d",
         f"SELECT feature, avg(abs(phi)) AS mean_abs FROM ({shap_rows()}) GROUP BY feature ORDER BY mean_abs DESC, feature LIMIT 15", "store",
     )
+    names = list(IMPORTANCE_WEIGHTS)
+    known = "(SELECT * FROM store WHERE reached_2000 IS NOT NULL)"
+    base = "SELECT entity_id, reached_2000 AS y, " + ", ".join(
+        f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM {known})) AS {c}" for c in names
+    ) + f" FROM {known}"
+    to = f"SELECT *, {hash_place('entity_id', '42/to')} AS place FROM base"
+    copies = ["SELECT '' AS feature, -1 AS rep, y, " + ", ".join(names) + " FROM base"]
+    for r in range(3):
+        give = f"SELECT *, {hash_place('entity_id', f'42/from/{r}')} AS place FROM base"
+        for f in names:
+            mixed = ", ".join(f"{'b' if c == f else 'a'}.{c}" for c in names)
+            copies.append(f"SELECT '{f}', {r}, a.y, {mixed} FROM ({to}) a JOIN ({give}) b USING (place)")
+    logit = " + ".join(f"{w!r}::DOUBLE * {c}" for c, w in IMPORTANCE_WEIGHTS.items())
+    sql["permutation_importance"] = select(
+        "feature:s importance_mean:d importance_sd:d",
+        f"""SELECT feature, avg(gain) AS importance_mean, stddev_pop(gain) AS importance_sd FROM (
+        SELECT feature, (SELECT roc_auc FROM aucs WHERE feature = '') - roc_auc AS gain FROM aucs WHERE feature <> '') GROUP BY feature""",
+        "store", base=base, copies=" UNION ALL ".join(copies),
+        rated=f"SELECT feature, rep, y, floor(1e3 / (1e0 + exp(-({logit}))) + 5e-1) / 1e3 AS p FROM copies",
+        aucs=ranking("rated", "feature, rep"),
+    )
     sql["permuted_column"] = select(
         "unit_id:i raw_score:d permuted:d",
         f"""SELECT a.unit_id, a.raw_score, b.raw_score AS permuted
