@@ -13,7 +13,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.joins import side_by_side
 from riskframe.operators.ordered import quantiles, running_totals, with_bucket
 
 # Order of the metric columns in result tables.
@@ -73,24 +72,27 @@ def _per_pair(c: Column) -> Column:
     return F.try_divide(c, pairs)
 
 
-def ranking_metrics(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
-    """ROC-AUC and both average precisions per group, all from one ordering of the scores.
-
-    Ties count one half in the AUC. ``pr_auc`` steps through the scores from the top for
-    class 1, ``pr_auc_risk`` from the bottom for class 0. NULL where a class is absent.
-    """
-    totals = score_totals(df, y, p, by)
+def _ranking_sums() -> list[Column]:
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     won = neg * (_above("pos").cast("double") + pos / 2)
     tp, fp = _above("pos") + F.col("pos"), _above("neg") + F.col("neg")
     step = pos / F.col("pos_all") * tp / (tp + fp)
     step_risk = neg / F.col("neg_all") * F.col("neg_upto") / (F.col("neg_upto") + F.col("pos_upto"))
     two_classes = (F.col("pos_all") > 0) & (F.col("neg_all") > 0)
-    return totals.groupBy(*by).agg(
+    return [
         _per_pair(F.sum(won)).alias("roc_auc"),
         F.sum(F.when(two_classes, step)).alias("pr_auc"),
         F.sum(F.when(two_classes, step_risk)).alias("pr_auc_risk"),
-    )
+    ]
+
+
+def ranking_metrics(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
+    """ROC-AUC and both average precisions per group, all from one ordering of the scores.
+
+    Ties count one half in the AUC. ``pr_auc`` steps through the scores from the top for
+    class 1, ``pr_auc_risk`` from the bottom for class 0. NULL where a class is absent.
+    """
+    return score_totals(df, y, p, by).groupBy(*by).agg(*_ranking_sums())
 
 
 def roc_curve(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
@@ -118,19 +120,29 @@ def pr_curve(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ())
 # -- metrics at a threshold --------------------------------------------------------------
 
 
-def _cell_counts(threshold: Column, y: str, p: str) -> list[Column]:
-    flagged, one = F.col(p) >= threshold, F.col(y) == 1
-    cells = {"tn": ~one & ~flagged, "fp": ~one & flagged, "fn": one & ~flagged, "tp": one & flagged}
-    return [F.sum(c.cast("long")).alias(name) for name, c in cells.items()]
+# Counts and errors are sums over rows or, with the class counts ``pos`` and ``neg`` of
+# each distinct score at hand, over distinct scores.
+
+
+def _cell_counts(threshold: Column, p: str, pos: Column, neg: Column) -> list[Column]:
+    flagged = F.col(p) >= threshold
+    zero = F.lit(0).cast("long")
+    cells = {"tn": (neg, ~flagged), "fp": (neg, flagged), "fn": (pos, ~flagged), "tp": (pos, flagged)}
+    return [F.sum(F.when(where, c).otherwise(zero)).alias(name) for name, (c, where) in cells.items()]
 
 
-def _mean_errors(y: str, p: str) -> list[Column]:
-    label, score = F.col(y).cast("double"), F.col(p).cast("double")
+def _mean_errors(p: str, pos: Column, neg: Column) -> list[Column]:
+    score = F.col(p).cast("double")
     kept = F.greatest(F.lit(CLIP), F.least(F.lit(1 - CLIP), score))
-    return [
-        F.avg((score - label) * (score - label)).alias("brier"),
-        F.avg(F.when(label == 1, -F.log(kept)).otherwise(-F.log(1 - kept))).alias("log_loss"),
-    ]
+    squares = pos * (1 - score) * (1 - score) + neg * score * score
+    losses = -pos * F.log(kept) - neg * F.log(1 - kept)
+    n = F.sum(pos + neg)
+    return [F.try_divide(F.sum(squares), n).alias("brier"), F.try_divide(F.sum(losses), n).alias("log_loss")]
+
+
+def _classes(y: str) -> tuple[Column, Column]:
+    """1 and 0 as counts of the two classes in one row."""
+    return F.col(y).cast("long"), (1 - F.col(y)).cast("long")
 
 
 def _in_words(cells: DataFrame, threshold: Column) -> DataFrame:
@@ -154,7 +166,7 @@ def confusion(
 ) -> DataFrame:
     """Per group: tn, fp, fn, tp at ``p >= threshold``, in words too, with n and prevalence."""
     cut = F.lit(float(threshold))
-    return _in_words(df.groupBy(*by).agg(*_cell_counts(cut, y, p)), cut).select(*by, *CELLS)
+    return _in_words(df.groupBy(*by).agg(*_cell_counts(cut, p, *_classes(y))), cut).select(*by, *CELLS)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -185,19 +197,21 @@ def with_rates(cells: DataFrame) -> DataFrame:
 
 def brier_logloss(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """Mean squared error and mean negative log-likelihood of the scores."""
-    return df.groupBy(*by).agg(*_mean_errors(y, p))
+    return df.groupBy(*by).agg(*_mean_errors(p, *_classes(y)))
 
 
 def evaluate(
     df: DataFrame, threshold: float = 0.5, y: str = "y", p: str = "p", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Every metric of METRIC_ORDER plus the confusion cells, one row per group."""
-    cut = F.lit(float(threshold))
-    sums = df.groupBy(*by).agg(*_cell_counts(cut, y, p), *_mean_errors(y, p))
-    at_cut = with_rates(_in_words(sums, cut))
-    ranking = ranking_metrics(df, y, p, by)
-    both = at_cut.join(ranking, list(by)) if by else side_by_side(at_cut, ranking)
-    return both.select(*by, *METRIC_ORDER, *CELLS)
+    """Every metric of METRIC_ORDER plus the confusion cells, one row per group.
+
+    All from the distinct scores with their class counts: one aggregation after one ordering.
+    """
+    cut, counts = F.lit(float(threshold)), (F.col("pos"), F.col("neg"))
+    sums = score_totals(df, y, p, by).groupBy(*by).agg(
+        *_ranking_sums(), *_cell_counts(cut, p, *counts), *_mean_errors(p, *counts)
+    )
+    return with_rates(_in_words(sums, cut)).select(*by, *METRIC_ORDER, *CELLS)
 
 
 def evaluate_at(
@@ -206,16 +220,18 @@ def evaluate_at(
     """Metrics of several scorers at several cuts: rows (label, metrics).
 
     ``cuts`` lists (scorer, label, threshold); ``name`` is the column that names the scorer.
-    Scores are ordered once per scorer, since ranking metrics do not depend on the cut.
+    Scores are ordered once per scorer; only the distinct ones meet the cuts.
     """
     listed = F.array(
         *[F.struct(F.lit(a).alias("_of"), F.lit(b).alias("label"), F.lit(float(t)).alias("_cut")) for a, b, t in cuts]
     )
     mine = F.filter(listed, lambda c: c["_of"] == F.col(name))
-    rows = df.select(name, y, p, F.explode(mine).alias("_c")).select(name, y, p, "_c.label", "_c._cut")
-    sums = rows.groupBy(name, "label", "_cut").agg(*_cell_counts(F.col("_cut"), y, p), *_mean_errors(y, p))
-    at_cut = with_rates(_in_words(sums, F.col("_cut")))
-    return at_cut.join(ranking_metrics(df, y, p, [name]), [name]).select("label", *METRIC_ORDER, *CELLS)
+    totals = score_totals(df, y, p, [name]).withColumn("_c", F.explode(mine)).select("*", "_c.label", "_c._cut")
+    counts = (F.col("pos"), F.col("neg"))
+    sums = totals.groupBy("label", "_cut").agg(
+        *_ranking_sums(), *_cell_counts(F.col("_cut"), p, *counts), *_mean_errors(p, *counts)
+    )
+    return with_rates(_in_words(sums, F.col("_cut"))).select("label", *METRIC_ORDER, *CELLS)
 
 
 def confusion_pct(cells: DataFrame) -> DataFrame:
