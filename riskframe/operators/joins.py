@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A lookup side is broadcast only after it was counted and found to hold at most this
@@ -50,9 +50,23 @@ def require_unique(df: DataFrame, keys: Sequence[str], side: str = "table") -> D
     return df.withColumn("_place", place).where(unique).drop("_place")
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], hot: int = HOT_KEYS) -> list[int]:
+def _common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> dict[str, str]:
+    """Types under which the two sides' keys are compared."""
+    return dict(left.select(*on).unionByName(right.select(*on)).dtypes)
+
+
+def key_hash(types: Mapping[str, str]) -> Column:
+    """Hash that is equal wherever the keys join: same type, one zero."""
+    parts = []
+    for name, kind in types.items():
+        c = F.col(name).cast(kind)
+        parts.append(c + F.lit(0.0).cast(kind) if kind in ("double", "float") else c)
+    return F.xxhash64(*parts)
+
+
+def hot_key_hashes(df: DataFrame, types: Mapping[str, str], hot: int = HOT_KEYS) -> list[int]:
     """Hashes of the most frequent key values, from one bounded sketch over the key columns."""
-    row = df.select(F.xxhash64(*keys).alias("h")).agg(
+    row = df.select(key_hash(types).alias("h")).agg(
         F.expr(f"approx_top_k(h, {hot}, {HOT_TRACKED})").alias("top")
     ).first()
     return [r["item"] for r in row["top"]]
@@ -81,10 +95,11 @@ def lookup_join(
         small = is_small(right, small_rows)
     if small:
         return left.join(F.broadcast(right), on, how)
-    hot = hot_key_hashes(left, on)
+    types = _common_types(left, right, on)
+    hot = hot_key_hashes(left, types)
     if not hot:
         return left.join(right, on, how)
-    is_hot = F.xxhash64(*on).isin(hot)
+    is_hot = key_hash(types).isin(hot)
     hot_rows = left.where(is_hot).join(F.broadcast(right.where(is_hot)), on, how)
     other_rows = left.where(~is_hot).join(right.where(~is_hot), on, how)
     return hot_rows.unionByName(other_rows)

@@ -82,6 +82,14 @@ def missingness(df: DataFrame) -> DataFrame:
     return shares.unpivot([], list(df.columns), "feature", "missing").where("missing > 0")
 
 
+def listed_values(df: DataFrame, column: str, limit: int = 1_000) -> list:
+    """Distinct non-NULL values in order; ValueError if there are more than a table can have columns."""
+    rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{column} has more than {limit} values")
+    return sorted(r[0] for r in rows)
+
+
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     """Row counts per (row, column value), one column per listed value, 0 where empty."""
     return df.groupBy(row).pivot(column, list(values)).count().na.fill(0, list(values))

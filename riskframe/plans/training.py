@@ -17,7 +17,9 @@ from riskframe.operators.models import (
     learning_curve, make_candidates, param_grid, random_search, score,
 )
 from riskframe.operators.panel import HISTORY
-from riskframe.operators.profile import crosstab, entity_aggregate, entity_correlations, medians_by
+from riskframe.operators.profile import (
+    crosstab, entity_aggregate, entity_correlations, listed_values, medians_by,
+)
 from riskframe.operators.roles import Roles
 from riskframe.operators.sampling import stratified_holdout, stratified_sample, subsample
 from riskframe.operators.scoring import project, ranking_sanity, risk_ranking
@@ -267,7 +269,7 @@ def segment_entities(
     profile = medians_by(described, ["segment_id"], list(dict.fromkeys([level, rural, size, *numeric])))
     profile, _ = small_table(spark, profile)
     named = segment_names(profile, "segment_id", level, rural, size)
-    regions = [r[0] for r in features.where(F.col(region).isNotNull()).select(region).distinct().orderBy(region).collect()]
+    regions = listed_values(features, region)
     out = features.select(key, name).join(segments, [key]).join(F.broadcast(named), ["segment_id"])
     return Segmentation(
         choice, out, profile,

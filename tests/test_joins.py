@@ -28,8 +28,18 @@ def test_lookup_join_gives_the_same_rows_on_every_path(fact, dim, how, pin):
 
 
 def test_hot_keys_found(fact):
-    zero = fact.where("k = 0").select(F.xxhash64("k").alias("h")).first()["h"]
-    assert zero in J.hot_key_hashes(fact, ["k"], hot=3)
+    types = {"k": "bigint"}
+    zero = fact.where("k = 0").select(J.key_hash(types).alias("h")).first()["h"]
+    assert zero in J.hot_key_hashes(fact, types, hot=3)
+
+
+def test_hot_keys_of_other_types_still_meet(fact, dim):
+    """Keys of another width, and negative zero, must not be lost between hot and other rows."""
+    narrow = fact.withColumn("k", F.col("k").cast("int"))
+    assert J.lookup_join(narrow, dim, ["k"], "inner", small_rows=5).count() == fact.join(dim, ["k"]).count()
+    signed = fact.withColumn("k", F.when(F.col("id") % 2 == 0, -F.col("k").cast("double")).otherwise(F.col("k").cast("double")))
+    wide = dim.withColumn("k", F.col("k").cast("double"))
+    assert J.lookup_join(signed, wide, ["k"], "inner", small_rows=5).count() == signed.join(wide, ["k"]).count()
 
 
 def test_checked_join_fails_on_repeated_keys(fact, dim):
