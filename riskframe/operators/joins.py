@@ -79,6 +79,7 @@ def lookup_join(
     how: str = "left",
     small_rows: int = SMALL_ROWS,
     pin: bool = False,
+    nulls_match: bool = False,
 ) -> DataFrame:
     """m:1 join onto ``right``, which is unique on ``on`` (``how`` is left or inner).
 
@@ -86,9 +87,14 @@ def lookup_join(
     meet a broadcast of just their lookup rows (one per key, so at most HOT_KEYS), and
     only the remaining, thinly spread keys are shuffled. Every row is kept either way.
     ``pin`` keeps the rows read for the size check, for a right side that is costly to
-    compute and narrow.
+    compute and narrow. ``nulls_match`` lets NULL keys meet, as in a group table.
     """
     on = list(on)
+    if nulls_match:
+        # Structs are equal where their NULL fields coincide.
+        keyed = left.withColumn("_key", F.struct(*on))
+        table = right.select(F.struct(*on).alias("_key"), *[c for c in right.columns if c not in on])
+        return lookup_join(keyed, table, ["_key"], how, small_rows, pin).drop("_key")
     if pin:
         right, small = small_table(left.sparkSession, right, small_rows)
     else:

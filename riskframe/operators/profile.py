@@ -67,7 +67,7 @@ def box_stats(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
     cuts = describe_by(df, by, column).select(*by, "q25", "q50", "q75")
     x, reach = F.col(column), 1.5 * (F.col("q75") - F.col("q25"))
     inside = (x >= F.col("q25") - reach) & (x <= F.col("q75") + reach)
-    seen = lookup_join(df.select(*by, column).where(x.isNotNull()), cuts, by, "inner", pin=True)
+    seen = lookup_join(df.select(*by, column).where(x.isNotNull()), cuts, by, "inner", pin=True, nulls_match=True)
     return seen.groupBy(*by).agg(
         F.first("q25").alias("q25"), F.first("q50").alias("q50"), F.first("q75").alias("q75"),
         F.min(F.when(inside, x)).alias("whisker_low"),
@@ -102,8 +102,9 @@ def spearman_pairs(long: DataFrame, by: Sequence[str], x: str = "x", y: str = "y
     and joined back. A value that fills much of one side makes a large join partition;
     adaptive execution splits it, since each join is followed by an exchange of its own.
     """
-    group = list(by) or ["_g"]
-    base = long if by else long.withColumn("_g", F.lit(0))
+    # One struct column, so that NULL groups meet in the joins below.
+    group = ["_g"]
+    base = long.withColumn("_g", F.struct(*by) if by else F.struct(F.lit(0)))
     pairs = (
         base.select(*group, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
         .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
@@ -123,7 +124,7 @@ def spearman_pairs(long: DataFrame, by: Sequence[str], x: str = "x", y: str = "y
             F.sqrt(F.sum(F.col("_n") * dx * dx)) * F.sqrt(F.sum(F.col("_n") * dy * dy)),
         ).alias("rho"),
     )
-    return out.select(*by, "n", "rho")
+    return out.select(*[F.col("_g")[b].alias(b) for b in by], "n", "rho")
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -176,7 +177,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()
     rows = df.select(*by, x.alias("_x")).where(x.isNotNull())
     ends = rows.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     if by:
-        ranged = lookup_join(rows, ends, by, "inner", pin=True)
+        ranged = lookup_join(rows, ends, by, "inner", pin=True, nulls_match=True)
     else:
         ranged = rows.withColumns({c: ends.select(c).scalar() for c in ("_lo", "_hi")})
     width = (F.col("_hi") - F.col("_lo")) / bins

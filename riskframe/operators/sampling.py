@@ -129,12 +129,12 @@ def stratified_folds(
 
 
 def group_folds(df: DataFrame, group: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    """One row (group, n, fold) per group: groups by falling size, dealt back and forth.
+    """One row (group, n, fold) per non-NULL group: groups by falling size, dealt back and forth.
 
     Sizes are ordered among themselves and groups of one size by hash, so the group table
     is never ordered as a whole.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    sizes = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     # Distinct sizes: sizes that differ add up to at most the row count, so there are at
     # most sqrt(2 * rows) of them.
     larger = Window.partitionBy(F.lit(0)).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
@@ -150,7 +150,7 @@ def group_folds(df: DataFrame, group: str, k: int = 5, seed: int = 42, out: str
 
 
 def with_group_folds(df: DataFrame, group: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    """``df`` with the fold of its group."""
+    """``df`` with the fold of its group; rows without a group are left out."""
     return lookup_join(df, group_folds(df, group, k, seed, out).drop("n"), [group], "inner")
 
 

@@ -75,6 +75,18 @@ def test_spearman_of_a_constant_is_null(spark):
     assert spearman_pairs(df, ["g"]).first()["rho"] is None
 
 
+def test_null_groups_are_kept(spark):
+    from riskframe.operators.profile import box_stats, describe_by, histogram
+
+    rows = [(None, 1.0, 1.0), (None, 2.0, 4.0), (None, 3.0, 9.0), ("a", 1.0, 2.0), ("a", 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    assert {r["g"]: r["rho"] for r in spearman_pairs(df, ["g"]).collect()} == pytest.approx({None: 1.0, "a": -1.0})
+    assert {r["g"]: r["q50"] for r in box_stats(df, ["g"], "x").collect()} == {None: 2.0, "a": 1.5}
+    assert {r["g"]: r["q50"] for r in describe_by(df, ["g"], "x").collect()} == {None: 2.0, "a": 1.5}
+    assert sum(r["n"] for r in histogram(df, "x", 2, ["g"]).collect()) == 5
+    assert {r["g"]: r["x"] for r in medians_by(df, ["g"], ["x"]).collect()} == {None: 2.0, "a": 1.5}
+
+
 def test_plans_have_no_python_and_no_bare_cross_join(spark, skewed):
     df = spark.createDataFrame(skewed)
     for out in (O.quantiles(df, "v", [0.5], ["g"]), O.running_totals(df, "v", ["w"]), O.average_ranks(df, "v")):
