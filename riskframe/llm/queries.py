@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import substring_dedup
+from riskframe.llm import substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +48,8 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
   sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256
 FROM kept
 """
+
+
+@query
+def op8_suffix_dedup(spark, sf):
+    return suffix_dedup.kept_digest(suffix_dedup.remove_repeats(table(spark, sf, "documents")))

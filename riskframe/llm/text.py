@@ -145,10 +145,8 @@ def gram_starts(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def covered(length: int, starts: np.ndarray, width: int) -> np.ndarray:
     """True where any span of ``width`` that begins at ``starts`` lies."""
-    change = np.zeros(length + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + width, -1)
-    return np.cumsum(change[:-1]) > 0
+    change = np.bincount(starts, minlength=length + 1) - np.bincount(starts + width, minlength=length + 1)
+    return np.cumsum(change[:length]) > 0
 
 
 def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
