@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import substring_dedup, suffix_dedup
+from riskframe.llm import decontaminate, language, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +53,13 @@ FROM kept
 @query
 def op8_suffix_dedup(spark, sf):
     return suffix_dedup.kept_digest(suffix_dedup.remove_repeats(table(spark, sf, "documents")))
+
+
+@query
+def op7_benchmark_decontamination(spark, sf):
+    return decontaminate.contaminated(decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
+@query
+def op10_language_id(spark, sf):
+    return language.identify(table(spark, sf, "documents"))

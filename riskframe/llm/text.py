@@ -82,12 +82,13 @@ def binary_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``most`` bytes, one row at least."""
+def slices(offsets: np.ndarray, most: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes and ``rows`` rows, one row at least."""
     low, n = 0, len(offsets) - 1
     while low < n:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + most, side="right")) - 1)
-        yield low, min(high, n)
+        high = min(high, low + rows, n)
+        yield low, high
         low = high
 
 
