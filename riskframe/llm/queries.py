@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, language, substring_dedup, suffix_dedup
+from riskframe.llm import decontaminate, language, pii, substring_dedup, suffix_dedup, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,3 +64,28 @@ def op7_benchmark_decontamination(spark, sf):
 @query
 def op10_language_id(spark, sf):
     return language.identify(table(spark, sf, "documents"))
+
+
+@query
+def op1_pii(spark, sf):
+    return pii.digest(pii.find(table(spark, sf, "documents")))
+
+
+@query
+def op9_exact_top_k(spark, sf):
+    vectors = topk.integers(table(spark, sf, "embeddings"))
+    return topk.search(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20)
+
+
+ORACLE["op9_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
