@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FLUSH = 2_000_000
+FLUSH = 500_000
 LOW = np.uint64(0xFFFFFFFF)
 HOT = np.uint64(1 << 63)
 ASKED = "bucket int, known boolean, ids binary, blks binary, counts binary"

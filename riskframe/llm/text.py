@@ -15,7 +15,7 @@ import pyarrow as pa
 # The white space that parts words (space and 0x09-0x0D).
 WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # Odd multipliers of the two rolling hashes (any odd numbers do).
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
