@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, language, pii, substring_dedup, suffix_dedup, topk
+from riskframe.llm import decontaminate, language, mixing, pii, scratch, substring_dedup, suffix_dedup, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,58 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op6_warc_packages(spark, sf):
+    records = warc.round_trip(table(spark, sf, "pages"), scratch.new_folder(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op6_warc_packages"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first_page FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((((strpos('0123456789abcdef', substr(h, (5 * i // 4 + 1)::INT, 1)) - 1) * 16
+      + strpos('0123456789abcdef', substr(h, (5 * i // 4 + 2)::INT, 1)) - 1) >> (3 - 5 * i % 4)::INT) & 31)::INT + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM f
+"""
+
+
+@query
+def op2_source_mix(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+ORACLE["op2_source_mix"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS k
+  FROM documents
+), s AS (
+  SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)
+), levels AS (
+  SELECT 0::DOUBLE AS now
+  UNION ALL
+  SELECT then_ FROM (
+    SELECT now, (SELECT (sum(source_size) - sum(CASE WHEN 3 * source_size < now * weight THEN 3 * source_size ELSE 0 END))::DOUBLE
+      / sum(CASE WHEN 3 * source_size < now * weight THEN 0 ELSE weight END) FROM s) AS then_ FROM levels
+  ) WHERE then_ > now
+), t AS (
+  SELECT source, source_size, least((3 * source_size)::DOUBLE, (SELECT max(now) FROM levels) * weight) AS target FROM s
+), b AS (
+  SELECT *, floor(target)::BIGINT // greatest(source_size, 1) AS epochs, floor(target)::BIGINT % greatest(source_size, 1) AS rest FROM t
+), r AS (
+  SELECT d.*, source_size, target, epochs, rest, coalesce(sum(size) OVER (
+    PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, size, source_size, target, (epochs * size + least(greatest(rest - before, 0), size))::BIGINT AS taken FROM r
+"""
