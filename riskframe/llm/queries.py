@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, language, mixing, pii, scratch, substring_dedup, suffix_dedup, topk, warc
+from riskframe.llm import decontaminate, language, licenses, mixing, pii, scratch, substring_dedup, suffix_dedup, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,3 +144,37 @@ WITH RECURSIVE d AS (
 )
 SELECT doc_id, size, source_size, target, (epochs * size + least(greatest(rest - before, 0), size))::BIGINT AS taken FROM r
 """
+
+
+@query
+def op4_license_scan(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+def _notices() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    return ", ".join(f"({quoted(k)}, {i}, {quoted(t)})" for k, texts in licenses.TEMPLATES.items() for i, t in enumerate(texts))
+
+
+ORACLE["op4_license_scan"] = rf"""
+WITH n AS (
+  SELECT license, template, string_split(trim(lower(regexp_replace(notice, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), ' ') AS w
+  FROM (VALUES {_notices()}) AS v(license, template, notice)
+), t AS (
+  SELECT license, template, len(w) - 1 AS m, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM n
+), d AS (
+  SELECT doc_id, unnest(list_distinct(list_concat(list_concat(string_split(text, chr(10)), string_split_regex(text, '\n[ \t\r]*\n')), [text]))) AS segment
+  FROM documents WHERE text IS NOT NULL
+), s AS (
+  SELECT doc_id, segment, string_split(trim(lower(regexp_replace(segment, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), ' ') AS w
+  FROM d WHERE regexp_matches(segment, '[\p{{L}}\p{{N}}]')
+), c AS (
+  SELECT doc_id, segment, len(w) - 1 AS n, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS h FROM s WHERE len(w) BETWEEN 2 AND 1000
+), hits AS (
+  SELECT doc_id, license, template, segment, round(2.0 * len(list_intersect(h, g)) / (n + m), 6) AS dice
+  FROM c JOIN t ON least(n, m) * 3 >= greatest(n, m) * 2 - 0.001
+)
+SELECT doc_id, license, dice::DOUBLE AS dice, template, segment FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, template, segment) AS place FROM hits WHERE dice >= 0.8
+) WHERE place = 1
+"""
