@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, language, licenses, mixing, pii, scratch, substring_dedup, suffix_dedup, topk, warc
+from riskframe.llm import decontaminate, language, licenses, mixing, ngram_join, pii, scratch, substring_dedup, suffix_dedup, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -178,3 +178,34 @@ SELECT doc_id, license, dice::DOUBLE AS dice, template, segment FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, template, segment) AS place FROM hits WHERE dice >= 0.8
 ) WHERE place = 1
 """
+
+
+@query
+def op5_ngram_jaccard_join(spark, sf):
+    return ngram_join.join(table(spark, sf, "documents"))
+
+
+ORACLE["op5_ngram_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), g AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY x, y
+), links AS (
+  SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION
+  SELECT reach.doc_id, edges.y FROM reach JOIN edges ON reach.other = edges.x
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+"""
