@@ -33,7 +33,7 @@ UNKNOWN = "und"
 TRAIN_ROWS = 5_000
 # Work tables of a slice: documents by kinds of n-grams, and kinds by dimensions.
 SLICE_BYTES, SLICE_ROWS, KINDS = 3 << 17, 128, 8_192
-PREDICTED = "lang_pred string, score double"
+PREDICTED = ("lang_pred", "score")
 
 
 @lru_cache(maxsize=1)
@@ -146,33 +146,33 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.
     return list(totals), (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
-def predict(docs: DataFrame, languages: list[str], vectors: np.ndarray) -> DataFrame:
-    """All columns of the documents and lang_pred, score (cosine, at least 0); reads nothing but text.
+def predict(docs: DataFrame, languages: list[str], vectors: np.ndarray, names: tuple[str, str] = PREDICTED) -> DataFrame:
+    """All columns of the documents, the language and the score (cosine, at least 0); reads nothing but text.
 
-    Input columns of these names are replaced.
+    Input columns with the two names are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*names)
     model = docs.sparkSession.sparkContext.broadcast((languages, vectors))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, known = model.value
+            langs, known = model.value
             lang, score = [], []
             for _, _, sums, lettered in text_vectors(batch.column("text")):
-                if not names:
+                if not langs:
                     lang += [UNKNOWN] * len(sums)
                     score += [0.0] * len(sums)
                     continue
                 size = np.maximum(np.linalg.norm(sums, axis=1), 1e-12)
                 cosine = (sums @ known.T) / size[:, None]
                 best = cosine.argmax(axis=1)
-                lang += [names[b] if x else UNKNOWN for b, x in zip(best.tolist(), lettered.tolist())]
+                lang += [langs[b] if x else UNKNOWN for b, x in zip(best.tolist(), lettered.tolist())]
                 near = np.clip(cosine[np.arange(len(best)), best].astype(np.float64), 0, 1)
                 score += np.where(lettered, near, 0.0).tolist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(find, f"{fields}, {PREDICTED}")
+    return docs.mapInArrow(find, f"{fields}, {names[0]} string, {names[1]} double")
 
 
 def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
