@@ -13,7 +13,7 @@ rows, so that what is sent to the tasks is bounded. A part returns at most k row
 those that reach the head's k-th score; they are merged by query.
 
 Defined results: rows with NULL vec_id, NULL vector, or a NULL, NaN or infinite component take no part, nor
-does one with a component of 2**24 / scale or more (its products would leave the exact range). A shorter vector
+does one with a component of 2**20 / scale or more (its products could leave the exact range). A shorter vector
 counts as filled with zeros. Rows that share the query's vec_id are its own and no candidates. Repeated rows of
 other ids are candidates each. Ties go to the smaller vec_id. Empty tables give an empty result.
 """
@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 64
-LARGEST = 1 << 24
+LARGEST = 1 << 20
 HEAD = 4_096
 QUERY_BLOCK = 16_384
-ITEM_BLOCK = 512
+QUERY_ROWS = ITEM_ROWS = 512
 FIRST_AXES = 0.25
 FOUND = "query_id long, vec_id long, score long"
 
@@ -94,39 +94,54 @@ class Block:
         self.length = np.linalg.norm(vectors, axis=1)
         self.least = np.full(len(ids), -np.inf)
 
-    def search(self, ids: np.ndarray, items: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query, ids, scores) of the best of these items, at most k and none below the known score."""
+    def search(self, ids: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Queries (by place), ids and scores of the best of these items, at most k for each query and none below
+        the known score. Work tables are ``QUERY_ROWS`` by ``ITEM_ROWS``, whatever the numbers of both."""
         length = np.linalg.norm(items, axis=1)
         order = np.argsort(-length, kind="stable")
         ids, items, length = ids[order], items[order], length[order]
-        least = self.least.copy()
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(self.ids)
+        turned = items @ self.axes
+        first, rest = turned[:, : self.cut].copy(), np.linalg.norm(turned[:, self.cut :], axis=1)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for low in range(0, len(self.ids), QUERY_ROWS):
+            found += self._search(slice(low, low + QUERY_ROWS), ids, items, length, first, rest)
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else none
+
+    def _search(self, own: slice, ids, items, length, first, rest) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        least, of_query = self.least[own].copy(), self.length[own]
+        best: list[tuple[np.ndarray, np.ndarray]] = [(ids[:0], length[:0])] * len(least)
         slack = 1e-6  # of the products of lengths: rounding of the turned sums
-        for low in range(0, len(ids), ITEM_BLOCK):
-            own, own_ids, own_length = items[low : low + ITEM_BLOCK], ids[low : low + ITEM_BLOCK], length[low : low + ITEM_BLOCK]
-            open_ = np.flatnonzero(self.length * own_length[0] * (1 + slack) + slack >= least)
+        for low in range(0, len(ids), ITEM_ROWS):
+            part = slice(low, low + ITEM_ROWS)
+            open_ = np.flatnonzero(of_query * length[low] * (1 + slack) + slack >= least)
             if not len(open_):
                 break  # no later item is longer
-            turned = own @ self.axes
-            rest = np.linalg.norm(turned[:, self.cut :], axis=1)
-            bound = self.first[open_] @ turned[:, : self.cut].T + np.outer(self.rest[open_], rest)
-            bound += np.outer(self.length[open_], own_length) * slack + slack
-            query, item = np.nonzero(bound >= least[open_][:, None])
-            query = open_[query]
-            score = np.einsum("ij,ij->i", self.vectors[query], own[item])
-            good = (score >= least[query]) & (self.ids[query] != own_ids[item])
+            bound = self.first[own][open_] @ first[part].T + np.outer(self.rest[own][open_], rest[part])
+            bound += np.outer(of_query[open_], length[part]) * slack + slack
+            left = bound >= least[open_][:, None]
+            # Whole numbers below 2**53: exact in any order of summing.
+            if left.mean() > 0.02:
+                score = self.vectors[own][open_] @ items[part].T
+                query, item = np.nonzero(left & (score >= least[open_][:, None]))
+                score = score[query, item]
+            else:
+                query, item = np.nonzero(left)
+                score = np.einsum("ij,ij->i", self.vectors[own][open_[query]], items[part][item])
+                good = score >= least[open_[query]]
+                query, item, score = query[good], item[good], score[good]
+            query, item = open_[query], item + low
+            good = self.ids[own][query] != ids[item]
             query, item, score = query[good], item[good], score[good]
             cuts = np.r_[np.flatnonzero(np.r_[True, query[1:] != query[:-1]]), len(query)] if len(query) else [0]
             for a, b in zip(cuts[:-1], cuts[1:]):
                 q = query[a]
-                found_ids, found = np.r_[best[q][0], own_ids[item[a:b]]], np.r_[best[q][1], score[a:b]]
+                found_ids, found = np.r_[best[q][0], ids[item[a:b]]], np.r_[best[q][1], score[a:b]]
                 keep = top(found, found_ids, self.k)
                 best[q] = found_ids[keep], found[keep]
                 if len(keep) == self.k:
                     least[q] = max(least[q], found[keep[-1]])
-        for q, (found_ids, found) in enumerate(best):
-            if len(found):
-                yield q, found_ids, found
+        return [(np.full(len(f), own.start + q), i, f) for q, (i, f) in enumerate(best) if len(f)]
 
 
 def search(queries: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
@@ -147,17 +162,19 @@ def search(queries: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
     for i in range(blocks):
         own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i).select("vec_id", "v").distinct().toArrow()
         block = Block(own.column("vec_id").to_numpy(), matrix(own.column("v"), width), axes, k)
-        for q, ids, scores in block.search(head_ids, head_vectors):
-            if len(scores) == k:
-                block.least[q] = scores[-1]
+        query, _, score = block.search(head_ids, head_vectors)
+        enough = np.flatnonzero(np.bincount(query, minlength=len(block.ids)) == k)
+        lowest = np.full(len(block.ids), np.inf)
+        np.minimum.at(lowest, query, score)
+        block.least[enough] = lowest[enough]
         sent = spark.sparkContext.broadcast(block)
 
         def look(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             block = sent.value
             for batch in batches:
-                for q, ids, scores in block.search(batch.column("vec_id").to_numpy(), matrix(batch.column("v"), width)):
-                    columns = (np.full(len(ids), block.ids[q]), ids, scores.astype(np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+                query, ids, scores = block.search(batch.column("vec_id").to_numpy(), matrix(batch.column("v"), width))
+                columns = (block.ids[query], ids, scores.astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
         part = items.select("vec_id", "v").mapInArrow(look, FOUND)
         found = part if found is None else found.unionAll(part)

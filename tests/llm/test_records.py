@@ -254,7 +254,8 @@ def test_broken_packages_raise(tmp_path):
 def test_top_k_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "HEAD", 40)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
-    monkeypatch.setattr(topk, "ITEM_BLOCK", 16)
+    monkeypatch.setattr(topk, "ITEM_ROWS", 16)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
     rng = np.random.default_rng(2)
     rows = [(i, (rng.standard_normal(12) * rng.choice([0.05, 1, 4])).tolist(), i) for i in range(400)]
     rows += [(i, rows[i - 400][1], 0) for i in range(400, 440)]  # ties
