@@ -8,6 +8,7 @@ an ordinary Spark ML PipelineModel that saves, loads and scores without Python.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field, replace
 
@@ -133,8 +134,9 @@ class FittedEncoder:
 
     def stages(self, features: str = "features") -> list:
         """SQLTransformer and VectorAssembler adding the feature vector."""
-        inner = [f"_f{i}" for i in range(len(self.feature_names()))]
-        selected = ", ".join(f"{e} AS {n}" for e, n in zip(self.expressions(), inner))
+        # The names travel with a saved pipeline; a dot or backtick in one would break its columns.
+        inner = [f"_f{i}:" + re.sub("[.`]", "_", n) for i, n in enumerate(self.feature_names())]
+        selected = ", ".join(f"{e} AS `{n}`" for e, n in zip(self.expressions(), inner))
         return [
             SQLTransformer(statement=f"SELECT *, {selected} FROM __THIS__"),
             VectorAssembler(inputCols=inner, outputCol=features),
@@ -152,6 +154,20 @@ class FittedEncoder:
         return df.selectExpr(*ids, *[f"{e} AS `{n}`" for e, n in zip(self.expressions(), self.feature_names())])
 
 
+def encoded_names(model: PipelineModel) -> list[str]:
+    """Names of the encoded features of a fitted or loaded pipeline, in the order of its feature vector."""
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    return [c.split(":", 1)[1] for c in assembler.getInputCols()]
+
+
+def encoded_columns(model: PipelineModel, df: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """The pipeline's encoded features as plain columns beside the ids, under positions ``_0``, ``_1``, ..."""
+    at = next(i for i, s in enumerate(model.stages) if isinstance(s, VectorAssembler))
+    inner = model.stages[at].getInputCols()
+    out = PipelineModel(model.stages[:at]).transform(df)
+    return out.select(*ids, *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(inner)])
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

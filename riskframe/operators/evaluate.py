@@ -13,7 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.ordered import quantiles, running_totals, with_bucket
+from riskframe.operators.ordered import running_totals, with_bucket
+from riskframe.sources.io import shared_folder
 
 # Order of the metric columns in result tables.
 METRIC_ORDER = [
@@ -42,12 +43,12 @@ def score_violations(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     )
 
 
-def require_scores(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """``df`` itself, or ValueError if a label or score is missing or out of range."""
-    found = score_violations(df, y, p).first()
-    if found["n_missing"] or found["n_bad_label"] or found["n_out_of_range"]:
-        raise ValueError(f"invalid labels or scores: {found.asDict()}")
-    return df
+def checked(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+    """``df`` itself; the job that reads its scores fails at a label other than 0 or 1, or a score that is
+    missing or outside [0, 1]. The check is part of the score column, so it takes no pass of its own."""
+    good = F.coalesce(F.col(y).isin(0, 1) & F.col(p).cast("double").between(0, 1), F.lit(False))
+    text = F.concat(F.lit("invalid label or score: "), F.to_json(F.struct(F.col(y), F.col(p))))
+    return df.withColumn(p, F.when(good, F.col(p)).otherwise(F.raise_error(text).cast(df.schema[p].dataType)))
 
 
 # -- ranking metrics ---------------------------------------------------------------------
@@ -55,12 +56,18 @@ def require_scores(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 def score_totals(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """Distinct (by, p) with ``pos`` and ``neg`` counts and their running totals from below."""
-    counts = df.select(
+    counts = checked(df, y, p).select(
         *by, p, F.col(y).cast("long").alias("pos"), (1 - F.col(y)).cast("long").alias("neg")
     )
     return running_totals(counts, p, ["pos", "neg"], by)
 
 
+def distinct_scores(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+    """``score_totals`` written to the shared folder: thresholds and bins then never read the scores again."""
+    shared_folder(df.sparkSession)
+    return score_totals(df, y, p).checkpoint()
+
+
 def _above(m: str) -> Column:
     """Rows of class ``m`` scored strictly higher."""
     return F.col(f"{m}_all") - F.col(f"{m}_upto")
@@ -166,7 +173,7 @@ def confusion(
 ) -> DataFrame:
     """Per group: tn, fp, fn, tp at ``p >= threshold``, in words too, with n and prevalence."""
     cut = F.lit(float(threshold))
-    return _in_words(df.groupBy(*by).agg(*_cell_counts(cut, p, *_classes(y))), cut).select(*by, *CELLS)
+    return _in_words(checked(df, y, p).groupBy(*by).agg(*_cell_counts(cut, p, *_classes(y))), cut).select(*by, *CELLS)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -197,7 +204,7 @@ def with_rates(cells: DataFrame) -> DataFrame:
 
 def brier_logloss(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """Mean squared error and mean negative log-likelihood of the scores."""
-    return df.groupBy(*by).agg(*_mean_errors(p, *_classes(y)))
+    return checked(df, y, p).groupBy(*by).agg(*_mean_errors(p, *_classes(y)))
 
 
 def evaluate(
@@ -256,14 +263,14 @@ def confusion_pct(cells: DataFrame) -> DataFrame:
 # -- thresholds --------------------------------------------------------------------------
 
 
-def sweep(df: DataFrame, thresholds: Sequence[float], y: str = "y", p: str = "p") -> DataFrame:
-    """tn, fp, fn, tp at each threshold, from one pass that only counts rows per grid cell."""
+def _sweep(counts: DataFrame, thresholds: Sequence[float], p: str) -> DataFrame:
+    """tn, fp, fn, tp at each threshold from rows (p, pos, neg), by one aggregation per grid cell."""
     grid = sorted({float(t) for t in thresholds})
-    counts = with_bucket(df.select(F.col(y).cast("long").alias("_y"), F.col(p).cast("double").alias("_p")), "_p", grid, "_cell")
-    cells = counts.groupBy("_cell").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
+    placed = with_bucket(counts.select(F.col(p).cast("double").alias("_p"), "pos", "neg"), "_p", grid, "_cell")
+    cells = placed.groupBy("_cell").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     # From here on at most len(grid) + 1 rows. Cell i holds the scores with i thresholds
     # at or below them; an empty cell still needs a row for its threshold.
-    points = df.sparkSession.createDataFrame(
+    points = counts.sparkSession.createDataFrame(
         [(i, t) for i, t in enumerate([None, *grid])], "_cell int, threshold double"
     )
     per_cell = points.join(cells, ["_cell"], "left").na.fill(0, ["_pos", "_neg"])
@@ -282,9 +289,39 @@ def sweep(df: DataFrame, thresholds: Sequence[float], y: str = "y", p: str = "p"
     )
 
 
-def threshold_grid(df: DataFrame, p: str = "p", steps: Sequence[float] = GRID_STEPS) -> list[float]:
-    """Distinct quantiles of the scores, at most one per step."""
-    return sorted({r["quantile"] for r in quantiles(df, p, steps).select("quantile").collect()})
+def _as_counts(df: DataFrame, y: str, p: str) -> DataFrame:
+    pos, neg = _classes(y)
+    return checked(df, y, p).select(p, pos.alias("pos"), neg.alias("neg"))
+
+
+def sweep(df: DataFrame, thresholds: Sequence[float], y: str = "y", p: str = "p") -> DataFrame:
+    """tn, fp, fn, tp at each threshold, from one pass that only counts rows per grid cell."""
+    return _sweep(_as_counts(df, y, p), thresholds, p)
+
+
+def threshold_grid(totals: DataFrame, p: str = "p", steps: Sequence[float] = GRID_STEPS) -> list[float]:
+    """Distinct quantiles of the scores, linearly interpolated, at most one per step.
+
+    ``totals`` are distinct scores with running counts: each knows which ranks it holds.
+    """
+    upto, here = F.col("pos_upto") + F.col("neg_upto"), F.col("pos") + F.col("neg")
+    position = lambda q: (F.col("pos_all") + F.col("neg_all") - 1).cast("double") * q
+    both_sides = F.flatten(
+        F.transform(
+            F.array(*[F.lit(float(q)) for q in steps]),
+            lambda q: F.array(
+                F.struct(q.alias("prob"), position(q).alias("pos"), F.floor(position(q)).alias("place")),
+                F.struct(q.alias("prob"), position(q).alias("pos"), F.ceil(position(q)).alias("place")),
+            ),
+        )
+    )
+    mine = F.filter(both_sides, lambda w: (w["place"] < upto) & (w["place"] >= upto - here))
+    wanted = totals.select(F.col(p).cast("double").alias("_v"), F.explode(mine).alias("_w")).select("_v", "_w.*")
+    low = F.max(F.when(F.col("place") == F.floor("pos"), F.col("_v")))
+    high = F.max(F.when(F.col("place") == F.ceil("pos"), F.col("_v")))
+    share = F.first("pos") - F.floor(F.first("pos"))
+    cuts = wanted.groupBy("prob").agg((low + share * (high - low)).alias("quantile"))
+    return sorted({r["quantile"] for r in cuts.collect()})  # one row per step
 
 
 def best_threshold_f1(
@@ -295,7 +332,8 @@ def best_threshold_f1(
     if target not in ("positive", "risk"):
         raise ValueError(f"unknown target class: {target}")
     name = "f1" if target == "positive" else "f1_risk"
-    scored = with_rates(sweep(df, threshold_grid(df, p, steps), y, p))
+    totals = distinct_scores(df, y, p)
+    scored = with_rates(_sweep(totals, threshold_grid(totals, p, steps), p))
     best = scored.orderBy(F.desc(name), "threshold").limit(1)
     return best.select("threshold", F.col(name).alias("f1"))
 
@@ -307,7 +345,8 @@ def best_threshold_cost(
     """One row (threshold, cost): least mean cost of missed risks and false alarms."""
     if cost_miss <= 0 or cost_alarm <= 0:
         raise ValueError("costs must be positive")
-    cells = sweep(df, threshold_grid(df, p, steps), y, p)
+    totals = distinct_scores(df, y, p)
+    cells = _sweep(totals, threshold_grid(totals, p, steps), p)
     n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
     cost = (F.lit(float(cost_miss)) * F.col("fp") + F.lit(float(cost_alarm)) * F.col("fn")) / n
     return cells.select("threshold", cost.alias("cost")).orderBy("cost", "threshold").limit(1)
@@ -321,26 +360,26 @@ def operating_points(df: DataFrame, thresholds: Sequence[float], y: str = "y", p
 # -- calibration -------------------------------------------------------------------------
 
 
-def calibration_edges(df: DataFrame, bins: int = 10, strategy: str = "quantile", p: str = "p") -> list[float]:
-    """Inner bin edges: distinct score quantiles, or equal steps over [0, 1]."""
-    if strategy == "uniform":
-        return [float(e) for e in np.linspace(0.0, 1.0, bins + 1)[1:-1]]
-    if strategy != "quantile":
-        raise ValueError("strategy must be 'quantile' or 'uniform'")
-    edges = threshold_grid(df, p, [float(q) for q in np.linspace(0, 1, bins + 1)])
-    return edges[1:-1]
-
-
 def calibration_table(
     df: DataFrame, bins: int = 10, strategy: str = "quantile", y: str = "y", p: str = "p"
 ) -> DataFrame:
-    """Per score bin: n, mean score, observed rate, score bounds, and their difference."""
-    binned = with_bucket(
-        df.select(F.col(y).cast("double").alias("_y"), F.col(p).cast("double").alias("_p")),
-        "_p", calibration_edges(df, bins, strategy, p), "bin",
-    )
+    """Per score bin: n, mean score, observed rate, score bounds, and their difference.
+
+    Bins end at distinct score quantiles, or at equal steps over [0, 1].
+    """
+    steps = np.linspace(0.0, 1.0, bins + 1)
+    if strategy == "uniform":
+        counts, edges = _as_counts(df, y, p), [float(e) for e in steps[1:-1]]
+    elif strategy == "quantile":
+        counts = distinct_scores(df, y, p)
+        edges = threshold_grid(counts, p, [float(q) for q in steps])[1:-1]
+    else:
+        raise ValueError("strategy must be 'quantile' or 'uniform'")
+    binned = with_bucket(counts.select(F.col(p).cast("double").alias("_p"), "pos", "neg"), "_p", edges, "bin")
+    n = F.col("pos") + F.col("neg")
     table = binned.groupBy("bin").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("_p").alias("mean_p"), F.avg("_y").alias("observed"),
+        F.sum(n).alias("n"), (F.sum(n * F.col("_p")) / F.sum(n)).alias("mean_p"),
+        (F.sum("pos").cast("double") / F.sum(n)).alias("observed"),
         F.min("_p").alias("min_p"), F.max("_p").alias("max_p"),
     )
     return table.withColumn("error", F.col("observed") - F.col("mean_p"))

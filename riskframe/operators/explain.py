@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.operators.encode import encoded_columns, encoded_names
 from riskframe.operators.evaluate import ranking_metrics
 from riskframe.operators.models import score
 from riskframe.operators.sampling import hash_rank
-from riskframe.sources.io import shared_folder
+from riskframe.sources.io import load_model, shared_folder, write_csv
 
 # Fixed value: features listed in a report.
 TOP_FEATURES = 15
@@ -72,6 +73,26 @@ def linear_shap(df: DataFrame, key: str, weights: Mapping[str, float]) -> DataFr
     return df.select(key, *phis).unpivot([key], list(weights), "feature", "phi")
 
 
+def model_shap(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
+    """Rows (key, feature, phi) for a fitted or loaded linear pipeline, over its encoded features.
+
+    Averages are those of ``df``; attributions of a row and the mean logit add up to the row's logit.
+    """
+    weights = [float(w) for w in model.stages[-1].coefficients]
+    phis = linear_shap(encoded_columns(model, df, [key]), key, {f"_{i}": w for i, w in enumerate(weights)})
+    names = F.array(*[F.lit(n) for n in encoded_names(model)])
+    place = F.substring("feature", 2, 10).cast("int")
+    return phis.withColumn("feature", F.element_at(names, place + 1))
+
+
+def explain_job(spark: SparkSession, model_path: str, df: DataFrame, key: str, out: str, n: int = TOP_FEATURES) -> DataFrame:
+    """Load a saved linear model, write its ranked attributions as CSV, and return them."""
+    model, _ = load_model(spark, model_path)
+    ranked = shap_ranking(model_shap(model, df, key), n)
+    write_csv(ranked, out, ["mean_abs"])
+    return ranked
+
+
 def shap_ranking(phis: DataFrame, n: int = TOP_FEATURES) -> DataFrame:
     """Rows (feature, mean_abs): the ``n`` features of greatest mean absolute attribution."""
     sizes = phis.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs"))

@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only after it was counted and found to hold at most this
-# many rows; a bigger one is shuffled.
+# A lookup side is broadcast only after it was measured and found to hold at most this
+# many rows and bytes; a bigger one is shuffled.
 SMALL_ROWS = 50_000
+SMALL_BYTES = 16 << 20
 # Keys treated apart in a shuffled lookup join. The sketch tracks HOT_TRACKED keys.
 HOT_KEYS = 256
 HOT_TRACKED = 10_000
@@ -19,7 +20,7 @@ HOT_TRACKED = 10_000
 def small_table(spark: SparkSession, df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
     """Computed copy of ``df`` if it has at most ``limit`` rows, else ``df`` itself.
 
-    For tables whose rows count groups, ranges or categories. The second value says
+    For narrow tables whose rows count groups, ranges or categories. The second value says
     whether the table was small, that is whether it may be broadcast.
     """
     rows = df.limit(limit + 1).collect()
@@ -28,9 +29,11 @@ def small_table(spark: SparkSession, df: DataFrame, limit: int = SMALL_ROWS) ->
     return spark.createDataFrame(rows, df.schema), True
 
 
-def is_small(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
-    """True if ``df`` has at most ``limit`` rows; stops counting beyond that."""
-    return df.limit(limit + 1).count() <= limit
+def is_small(df: DataFrame, limit: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> bool:
+    """True if ``df`` has at most ``limit`` rows of ``most_bytes`` in all, measured in one aggregation."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= limit and total <= most_bytes
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -64,12 +67,14 @@ def key_hash(types: Mapping[str, str]) -> Column:
     return F.xxhash64(*parts)
 
 
-def hot_key_hashes(df: DataFrame, types: Mapping[str, str], hot: int = HOT_KEYS) -> list[int]:
-    """Hashes of the most frequent key values, from one bounded sketch over the key columns."""
+def hot_key_hashes(df: DataFrame, types: Mapping[str, str], hot: int = HOT_KEYS, share: float | None = None) -> list[int]:
+    """Hashes of the key values that hold at least ``share`` of the rows (by default half of a
+    shuffle task's share), from one bounded sketch over the key columns."""
+    share = share if share is not None else 0.5 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row = df.select(key_hash(types).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {hot}, {HOT_TRACKED})").alias("top")
+        F.expr(f"approx_top_k(h, {hot}, {HOT_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")
     ).first()
-    return [r["item"] for r in row["top"]]
+    return [r["item"] for r in row["top"] if r["count"] >= share * row["n"]]
 
 
 def lookup_join(
@@ -80,6 +85,7 @@ def lookup_join(
     small_rows: int = SMALL_ROWS,
     pin: bool = False,
     nulls_match: bool = False,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """m:1 join onto ``right``, which is unique on ``on`` (``how`` is left or inner).
 
@@ -87,7 +93,8 @@ def lookup_join(
     meet a broadcast of just their lookup rows (one per key, so at most HOT_KEYS), and
     only the remaining, thinly spread keys are shuffled. Every row is kept either way.
     ``pin`` keeps the rows read for the size check, for a right side that is costly to
-    compute and narrow. ``nulls_match`` lets NULL keys meet, as in a group table.
+    compute and narrow. ``nulls_match`` lets NULL keys meet, as in a group table. ``measured``
+    is a table of the same rows as the right side that is cheaper to measure.
     """
     on = list(on)
     if nulls_match:
@@ -98,7 +105,7 @@ def lookup_join(
     if pin:
         right, small = small_table(left.sparkSession, right, small_rows)
     else:
-        small = is_small(right, small_rows)
+        small = is_small(right if measured is None else measured, small_rows)
     if small:
         return left.join(F.broadcast(right), on, how)
     types = _common_types(left, right, on)
@@ -122,10 +129,10 @@ def checked_join(
     """Equi-join that fails where the promised cardinality ("1:1" or "m:1") does not hold."""
     if validate not in ("1:1", "m:1"):
         raise ValueError(f"unsupported cardinality: {validate}")
-    right = require_unique(right, on, "right side")
+    unique = require_unique(right, on, "right side")
     if validate == "1:1":
-        return require_unique(left, on, "left side").join(right, list(on), how)
-    return lookup_join(left, right, on, how, small_rows)
+        return require_unique(left, on, "left side").join(unique, list(on), how)
+    return lookup_join(left, unique, on, how, small_rows, measured=right)
 
 
 def side_by_side(*tables: DataFrame) -> DataFrame:

@@ -95,9 +95,10 @@ GRIDS = {
         },
     },
 }
-# Spark grows no deeper than this.
+# Spark's trees grow no deeper than this; "no limit" means this depth.
 DEEPEST = 30
-UNLIMITED_DEPTH = 20
+# Distinct split points per numeric column, as in histogram boosting with 255 bins.
+MAX_BINS = 256
 
 
 def depth_for(leaves: int) -> int:
@@ -211,7 +212,7 @@ def score(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
 def boosted(seed: int, iterations: int, rate: float, leaves: int, min_rows: int, rows: float = 1.0, columns: float = 1.0):
     return GBTClassifier(
         maxIter=iterations, stepSize=rate, maxDepth=depth_for(leaves), minInstancesPerNode=min_rows,
-        subsamplingRate=rows, featureSubsetStrategy=_subset(columns), seed=seed,
+        subsamplingRate=rows, featureSubsetStrategy=_subset(columns), maxBins=MAX_BINS, seed=seed,
     )
 
 
@@ -246,8 +247,8 @@ def make_candidates(
     forest = preset[FOREST]
     linear = LogisticRegression(maxIter=preset[LOGREG]["iterations"], tol=1e-6, elasticNetParam=0.0, standardization=False)
     trees = RandomForestClassifier(
-        numTrees=forest["trees"], minInstancesPerNode=forest["min_rows"], maxDepth=forest.get("depth", UNLIMITED_DEPTH),
-        featureSubsetStrategy="sqrt", seed=seed,
+        numTrees=forest["trees"], minInstancesPerNode=forest["min_rows"], maxDepth=forest.get("depth", DEEPEST),
+        featureSubsetStrategy="sqrt", maxBins=MAX_BINS, seed=seed,
     )
     return {
         DUMMY: Candidate(encoder(False), None, label),
@@ -269,13 +270,14 @@ def draw_settings(grid: Mapping[str, list], n: int, seed: int) -> list[dict]:
     return everything if len(everything) <= n else random.Random(seed).sample(everything, n)
 
 
-def _as_params(candidate: Candidate, setting: Mapping) -> dict[Param, object]:
+def as_params(candidate: Candidate, setting: Mapping) -> dict[Param, object]:
+    """A drawn setting as parameters of the candidate."""
     params = {}
     for name, value in setting.items():
         if name == "leaves":
             name, value = "maxDepth", depth_for(value)
         elif name == "maxDepth":
-            value = min(value or UNLIMITED_DEPTH, DEEPEST)
+            value = min(value or DEEPEST, DEEPEST)
         elif name == "featureSubsetStrategy" and not isinstance(value, str):
             value = _subset(value)
         params[candidate.param(name)] = value
@@ -289,7 +291,7 @@ def random_search(
     """(candidate with the best settings, those settings, table of all settings with mean AUC)."""
     shared_folder(df.sparkSession)
     settings = draw_settings(grid, n_iter, seed) if grid else [{}]
-    maps = [_as_params(candidate, s) for s in settings]
+    maps = [as_params(candidate, s) for s in settings]
     folded = stratified_folds(df, key, candidate.label, folds, seed, "_fold").checkpoint()
     tried = {str(i): candidate.copy(m) for i, m in enumerate(maps)}
     oof = out_of_fold(tried, folded, "_fold", folds, ["test"], parallelism)

@@ -45,14 +45,6 @@ def with_bucket(df: DataFrame, value: str, edges: Sequence[float], out: str = BU
     return binned.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(0)))
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    """Join condition under which NULL keys meet NULL keys."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def running_totals(
     df: DataFrame,
     value: str,

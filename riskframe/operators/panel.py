@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import reached
-from riskframe.operators.joins import checked_join, require_unique
+from riskframe.operators.joins import checked_join, lookup_join, require_unique
 from riskframe.operators.roles import Roles, drop_dated
 
 HISTORY = ["outcome_t1", "outcome_t2", "delta_t1", "goal_t", "effort_t", "reached_t1"]
@@ -68,8 +68,12 @@ def relative_matrix(
 def dense_panel(long: DataFrame, key: str, year: str, years: Sequence[int]) -> DataFrame:
     """Every key at every listed year; years without a row have NULL values.
 
-    The list of years is short, so spreading keys over it multiplies rows by its length only.
+    A row of another year fails the job that reads the panel. The list of years is short, so spreading
+    keys over it multiplies rows by its length only.
     """
+    text = F.concat(F.lit(f"{year} outside the panel's years: "), F.coalesce(F.col(year).cast("string"), F.lit("NULL")))
+    listed = F.coalesce(F.col(year).isin(*years), F.lit(False))
+    long = long.withColumn(year, F.when(listed, F.col(year)).otherwise(F.raise_error(text).cast(long.schema[year].dataType)))
     spine = long.select(key).distinct().withColumn(year, F.explode(F.array(*[F.lit(y) for y in years])))
     return spine.join(long, [key, year], "left")
 
@@ -87,6 +91,6 @@ def yoy_delta(long: DataFrame, key: str, year: str, value: str, years: Sequence[
 def region_lookup(df: DataFrame, group: str, regions: DataFrame) -> DataFrame:
     """``df`` with the columns of a (group, region) table; NULL for an unknown group.
 
-    No hint: Spark broadcasts the table if its files are small and shuffles it if not.
+    Few groups hold all rows, so this is a lookup join that spreads hot keys.
     """
-    return df.join(regions, [group], "left")
+    return lookup_join(df, regions, [group], "left", pin=True)

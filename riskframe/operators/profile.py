@@ -149,13 +149,14 @@ def icc(df: DataFrame, group: str, value: str) -> DataFrame:
     groups = df.where(x.isNotNull()).groupBy(group).agg(
         F.count(x).alias("n"), F.avg(x).alias("m"), F.coalesce(F.var_samp(x), F.lit(0.0)).alias("v")
     )
-    # Sum n (m - grand)^2 = sum n m^2 - N grand^2, so one pass over the groups is enough.
-    sums = groups.agg(
-        F.count(F.lit(1)).alias("g"), F.sum("n").alias("total"),
-        F.sum(F.col("n") * F.col("m")).alias("s1"), F.sum(F.col("n") * F.col("m") * F.col("m")).alias("s2"),
+    # Group means are centred on the grand mean before squaring: values far from zero keep their digits.
+    grand = groups.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand")).scalar()
+    off = F.col("m") - F.col("grand")
+    sums = groups.withColumn("grand", grand).agg(
+        F.count(F.lit(1)).alias("g"), F.sum("n").alias("total"), F.sum(F.col("n") * off * off).alias("between"),
         F.sum((F.col("n") - 1) * F.col("v")).alias("within"),
     )
-    between = F.col("s2") - F.col("s1") * F.col("s1") / F.col("total")
+    between = F.col("between")
     means = sums.select(
         F.col("g").alias("n_groups"), F.col("total").alias("n"),
         (F.col("total") / F.col("g")).alias("mean_size"),
@@ -169,9 +170,10 @@ def icc(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
-    """Row counts in equal-width bins over the column's range: rows (by, bin, n).
+    """Row counts in equal-width bins over the column's range: rows (by, bin, n), empty bins included.
 
-    The range is that of all rows, or of each group when grouped; the last bin is closed.
+    The range is that of all rows, or of each group when grouped; the last bin is closed. Without
+    values there are no bins.
     """
     x = F.col(column).cast("double")
     rows = df.select(*by, x.alias("_x")).where(x.isNotNull())
@@ -183,7 +185,11 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()
     width = (F.col("_hi") - F.col("_lo")) / bins
     place = F.coalesce(F.floor(F.try_divide(F.col("_x") - F.col("_lo"), width)), F.lit(0))
     binned = ranged.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
-    return binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    # A group has at most ``bins`` rows here: they become one row and are spread over all bins.
+    held = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"))
+    spread = held.where(F.size("_n") > 0).select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return spread.select(*by, "bin", F.coalesce(F.try_element_at("_n", F.col("bin")), F.lit(0)).cast("long").alias("n"))
 
 
 def quantile_band(df: DataFrame, column: str, bands: int = 5, out: str = "band") -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from riskframe.operators.joins import lookup_join
 
 STRATUM, HASH, RANGE = "_stratum", "_hash", "_range"
-# Hash digits that name a range: 16 ** 3 = 4096 ranges per stratum.
-RANGE_DIGITS = 3
+# Rows of a hash range, about: a stratum has as many ranges as its table needs.
+RANGE_ROWS = 50_000
 
 
 def hash_of(seed: int | str, key: Column | str) -> Column:
@@ -31,9 +31,18 @@ def stratum_of(by: Sequence[str]) -> Column:
     return F.concat_ws("\u0001", *parts) if parts else F.lit("")
 
 
+def range_digits(rows: int) -> int:
+    """Hash digits that cut that many rows into ranges of at most RANGE_ROWS or so."""
+    digits = 1
+    while 16**digits * RANGE_ROWS < rows:
+        digits += 1
+    return digits
+
+
 def _with_place(df: DataFrame, key: str, seed: int | str, by: Sequence[str]) -> DataFrame:
+    digits = range_digits(df.select(key).count())
     return df.withColumns({STRATUM: stratum_of(by), HASH: hash_of(seed, key)}).withColumn(
-        RANGE, F.substring(HASH, 1, RANGE_DIGITS)
+        RANGE, F.substring(HASH, 1, digits)
     )
 
 
@@ -176,11 +185,6 @@ def stratified_sample(
     return flagged.where("_taken").drop("_taken")
 
 
-def bernoulli_sample(df: DataFrame, share: float, seed: int = 42) -> DataFrame:
-    """Rows kept independently with the given probability; no shuffle, size only about right."""
-    return df.sample(withReplacement=False, fraction=share, seed=seed)
-
-
 def subsample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer), the first in hash order."""
     return first_by_hash(df, key, lambda _: F.lit(n), seed, (), "_taken").where("_taken").drop("_taken")

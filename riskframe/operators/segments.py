@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import segment_name
@@ -17,12 +15,10 @@ from riskframe.operators.joins import checked_join, small_table
 from riskframe.operators.ordered import quantiles
 from riskframe.operators.profile import rate_by
 from riskframe.operators.roles import numeric_columns
-from riskframe.operators.sampling import subsample
 
-# Candidate numbers of segments, restarts, silhouette sample.
+# Candidate numbers of segments, restarts.
 K_RANGE = range(3, 9)
 RESTARTS = 10
-SILHOUETTE_SAMPLE = 5_000
 
 
 def cluster_matrix(
@@ -53,63 +49,46 @@ def silhouette_squared(df: DataFrame, features: str = "features", segment: str =
     return df.sparkSession.createDataFrame([(float(value),)], "silhouette double")
 
 
-def silhouette_euclidean(
-    df: DataFrame, key: str, vector: str, segment: str, sample: int = SILHOUETTE_SAMPLE, seed: int = 42
-) -> DataFrame:
-    """One row (silhouette) under Euclidean distance on a seeded sample of rows.
+def silhouette_centroid(df: DataFrame, vector: str, segment: str) -> DataFrame:
+    """One row (silhouette) under Euclidean distance to segment centres; all rows, linear time.
 
-    The sample, at most ``sample`` rows, is sent to every task as one matrix; tasks reduce
-    each of their rows to its mean distance per segment, so no pairs are emitted.
-    ``vector`` is an array column.
+    A row's own distance is that to the centre of its segment, its other distance that to the nearest
+    other centre. ``vector`` is an array column. Segments are few: their centres are plain numbers in the plan.
     """
-    spark = df.sparkSession
-    chosen = subsample(df.select(key, vector, segment), key, sample, seed)
-    points = chosen.collect()
-    matrix = np.array([r[vector] for r in points], dtype="float64")
-    names, owner = np.unique([r[segment] for r in points], return_inverse=True)
-    sizes = np.bincount(owner, minlength=len(names)).astype("float64")
-    member = np.eye(len(names))[owner]
-    shared = spark.sparkContext.broadcast((matrix, names, sizes, member))
-
-    def widths(batches):
-        points, names, sizes, member = shared.value
-        lengths = (points * points).sum(axis=1)
-        for pdf in batches:
-            out = []
-            for lo in range(0, len(pdf), 256):
-                part = pdf.iloc[lo : lo + 256]
-                x = np.array(part[vector].tolist(), dtype="float64")
-                own = np.searchsorted(names, part[segment].to_numpy())
-                squared = (x * x).sum(axis=1)[:, None] + lengths[None, :] - 2 * x @ points.T
-                # Cancellation can leave a tiny positive distance of a point to itself.
-                squared[squared < 1e-12 * (1 + lengths[None, :])] = 0.0
-                totals = np.sqrt(np.maximum(squared, 0.0)) @ member
-                rows = np.arange(len(part))
-                inner = totals[rows, own] / np.maximum(sizes[own] - 1, 1)
-                means = totals / sizes
-                means[rows, own] = np.inf
-                outer = means.min(axis=1)
-                reach = np.maximum(inner, outer)
-                width = np.where((sizes[own] > 1) & (reach > 0), (outer - inner) / np.where(reach > 0, reach, 1), 0.0)
-                out.append(width)
-            if out:
-                yield pd.DataFrame({"width": np.concatenate(out)})
-
-    return chosen.mapInPandas(widths, "width double").agg(F.avg("width").alias("silhouette"))
+    places = df.select(segment, F.posexplode(vector).alias("_i", "_x"))
+    means = places.groupBy(segment, "_i").agg(F.avg("_x").alias("_m"))
+    centres = {r[segment]: [m for _, m in sorted(r["_c"])] for r in means.groupBy(segment).agg(
+        F.collect_list(F.struct("_i", "_m")).alias("_c")
+    ).collect()}
+    if len(centres) < 2:
+        return df.sparkSession.createDataFrame([(None,)], "silhouette double")
+
+    def distance(centre: list[float]) -> Column:
+        squares = F.zip_with(vector, F.array(*[F.lit(float(m)) for m in centre]), lambda x, m: (x - m) * (x - m))
+        return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
+
+    away = F.array(*[F.struct(F.lit(k).alias("k"), distance(c).alias("d")) for k, c in centres.items()])
+    placed = df.select(F.col(segment).alias("_own"), away.alias("_away"))
+    near = lambda keep: F.array_min(F.transform(F.filter("_away", keep), lambda a: a["d"]))
+    own, other = near(lambda a: a["k"] == F.col("_own")), near(lambda a: a["k"] != F.col("_own"))
+    width = F.coalesce(F.try_divide(other - own, F.greatest(own, other)), F.lit(0.0))
+    return placed.agg(F.avg(width).alias("silhouette"))
 
 
 def select_k(
-    df: DataFrame, key: str, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = 42,
-    features: str = "features", exact_euclidean: bool = False,
+    df: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = 42,
+    features: str = "features", euclidean: bool = False,
 ) -> DataFrame:
-    """Rows (k, silhouette, inertia, best): the k of greatest silhouette is marked."""
+    """Rows (k, silhouette, inertia, best): the k of greatest silhouette is marked.
+
+    ``euclidean`` takes the distance to centres in place of the mean squared distance to rows.
+    """
     rows = []
     for k in ks:
         model = kmeans_best_of(df, k, restarts, seed, features)
         placed = model.transform(df)
-        if exact_euclidean:
-            arrays = placed.withColumn("_v", vector_to_array(features))
-            value = silhouette_euclidean(arrays, key, "_v", "prediction", seed=seed).first()[0]
+        if euclidean:
+            value = silhouette_centroid(placed.withColumn("_v", vector_to_array(features)), "_v", "prediction").first()[0]
         else:
             value = silhouette_squared(placed, features, "prediction").first()[0]
         rows.append((int(k), float(value), float(model.summary.trainingCost)))

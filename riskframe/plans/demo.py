@@ -39,8 +39,8 @@ UNIT_TASK = Task(
 )
 
 
-# Plans are kept per session and folder, so that schemas are read once; no data is kept.
-plan = lru_cache(maxsize=None)
+# The latest plans are kept per session and folder, so that schemas are read once; no data is kept.
+plan = lru_cache(maxsize=64)
 
 
 @plan
@@ -57,10 +57,10 @@ def in_year(c: str, year: int) -> Column:
 
 
 @plan
-def units(spark: SparkSession, sf: str) -> DataFrame:
-    """All units with label and leaked score."""
+def units(spark: SparkSession, sf: str, year: int | None = None) -> DataFrame:
+    """All units, or those of one year, with label and leaked score."""
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate")
-    return orders.select(
+    return (orders.where(in_year("o_orderdate", year)) if year else orders).select(
         F.col("o_orderkey").alias("unit_id"),
         F.col("o_custkey").alias("entity_id"),
         F.col("o_orderpriority").alias("network"),
@@ -87,10 +87,10 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plan
-def yearly(spark: SparkSession, sf: str) -> DataFrame:
-    """Outcome per entity and year, with unit counts."""
+def yearly(spark: SparkSession, sf: str, year: int | None = None) -> DataFrame:
+    """Outcome per entity and year (or that year only), with unit counts."""
     here, one = F.col("status") != "P", lambda c: c.cast("long")
-    return units(spark, sf).groupBy("entity_id", "yr").agg(
+    return units(spark, sf, year).groupBy("entity_id", "yr").agg(
         (100 * F.avg(F.when(here, F.col("label").cast("double")))).alias("outcome"),
         F.sum(one(here)).alias("n_present"),
         F.count(F.lit(1)).alias("n_sites"),
@@ -152,8 +152,9 @@ def groups(spark: SparkSession, sf: str) -> DataFrame:
 def external_slices(spark: SparkSession, sf: str) -> list[DataFrame]:
     """Outside sources, each filtered to its year and unique on the entity."""
     in_1999 = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate").where(in_year("o_orderdate", 1999))
-    # Lines are summed per order before they move, so an order with very many is one row.
-    lines = table(spark, sf, "lineitem", "l_orderkey", "l_quantity").groupBy("l_orderkey").agg(
+    # Lines of that year's orders, summed per order before they move: an order with very many is one row.
+    wanted = in_1999.select(F.col("o_orderkey").alias("l_orderkey"))
+    lines = table(spark, sf, "lineitem", "l_orderkey", "l_quantity").join(wanted, "l_orderkey", "left_semi").groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("items"), F.count(F.lit(1)).alias("lines")
     )
     size = (
@@ -162,9 +163,8 @@ def external_slices(spark: SparkSession, sf: str) -> list[DataFrame]:
         .agg(F.sum("items").alias("items"), F.sum("lines").alias("lines"))
         .withColumn("population", F.col("items") * 1000)
     )
-    by_year = yearly(spark, sf)
-    output = by_year.where("yr = 1999").select("entity_id", "output")
-    sectors = by_year.where("yr = 1998").select(
+    output = yearly(spark, sf, 1999).select("entity_id", "output")
+    sectors = yearly(spark, sf, 1998).select(
         "entity_id", F.col("output").alias("va"), "va_agro", "va_industry",
         (F.col("output") - F.coalesce("va_agro", F.lit(0.0)) - F.coalesce("va_industry", F.lit(0.0))).alias("va_services"),
     )

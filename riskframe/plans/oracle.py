@@ -10,7 +10,7 @@ import numpy as np
 
 from riskframe.operators.evaluate import CV_METRICS, GRID_STEPS, METRIC_ORDER
 from riskframe.plans.queries import (
-    HOLDOUT_CUTS, IMPORTANCE_WEIGHTS, OPERATING_CUTS, PROFILE_COLUMNS, SHAP_WEIGHTS,
+    HOLDOUT_CUTS, IMPORTANCE_WEIGHTS, OPERATING_CUTS, SHAP_WEIGHTS,
 )
 
 CASTS = {
@@ -207,11 +207,6 @@ def spearman(source: str, x: str, y: str) -> str:
         FROM (SELECT {x} AS x, {y} AS y FROM {source}) WHERE x IS NOT NULL AND y IS NOT NULL)"""
 
 
-SPEARMAN_COLUMNS = [
-    "outcome_1998", "outcome_1999", "goal_2000", "n_sites", "share_rural", "share_private", "population",
-    "items_per_line", "output", "balance", "hub",
-]
-
 DESCRIBE = """count({c}) AS "count", avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS "min",
     quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS "max" """
 DESCRIBE_SPEC = 'count:i mean:d std:d min:d q25:d q50:d q75:d max:d'
@@ -236,12 +231,17 @@ FEATURE_COLUMNS = [
 ]
 
 
+# Every numeric feature.
+NUMERIC = [c for c in FEATURE_COLUMNS if c not in ("entity_id", "entity_name", "segment", "group_name", "region_name", "size_band")]
+LOG_SCALED = ["population", "output", "n_sites", "va", "va_agro", "va_industry", "va_services", "balance"]
+
+
 def filled(c: str) -> str:
     return f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM store))"
 
 
 def mode_of(c: str) -> str:
-    return f"(SELECT {c} FROM store WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+    return f"(SELECT CAST({c} AS VARCHAR) FROM store WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
 
 
 MATRIX_SPEC = (
@@ -257,7 +257,7 @@ def one_hot(c: str, value: str) -> str:
     """Rows (entity_id, feature, value) for the kept and pooled categories of a filled column."""
     return f"""SELECT e.entity_id, concat('{c}_', cat.category) AS feature, max((e.{c} = cat.v)::INT)::DOUBLE AS value
         FROM (SELECT entity_id, {value} AS {c} FROM store) e CROSS JOIN (
-            SELECT {c} AS v, CASE WHEN count(*) >= 60 THEN {c} ELSE 'infrequent' END AS category
+            SELECT {c} AS v, CASE WHEN count(*) >= 20 THEN {c} ELSE 'infrequent' END AS category
             FROM (SELECT {value} AS {c} FROM store) GROUP BY {c}) cat
         GROUP BY e.entity_id, cat.category"""
 
@@ -267,6 +267,10 @@ def scaled(c: str, x: str) -> str:
         FROM (SELECT entity_id, {x} AS x FROM store)"""
 
 
+def unscaled(c: str, x: str) -> str:
+    return f"SELECT entity_id, '{c}' AS feature, ({x})::DOUBLE AS value FROM store"
+
+
 def log_of(x: str) -> str:
     return f"sign({x}) * ln(1 + abs({x}))"
 
@@ -289,10 +293,12 @@ PER_FOLD = evaluated("oof", "candidate, fold", "5e-1")
 
 def histogram_sql(source: str, x: str, bins: int, by: str = "") -> str:
     keys, part = (f"{by}, ", f"PARTITION BY {by}") if by else ("", "")
-    return f"""SELECT {keys}bin, count(*) AS n FROM (
+    groups = f"(SELECT DISTINCT {by} FROM {source} WHERE {x} IS NOT NULL)" if by else f"(SELECT 1 FROM {source} WHERE {x} IS NOT NULL LIMIT 1)"
+    filled_bins = f"(SELECT {keys}unnest(range({bins})) AS bin FROM {groups})"
+    return f"""SELECT {keys}bin, coalesce(n, 0) AS n FROM {filled_bins} LEFT JOIN (SELECT {keys}bin, count(*) AS n FROM (
         SELECT {keys}least(coalesce(floor((x - lo) / nullif((hi - lo) / {bins}, 0)), 0), {bins - 1}) AS bin FROM (
             SELECT {keys}x, min(x) OVER ({part}) AS lo, max(x) OVER ({part}) AS hi
-            FROM (SELECT {keys}{x} AS x FROM {source}) WHERE x IS NOT NULL)) GROUP BY {keys}bin"""
+            FROM (SELECT {keys}{x} AS x FROM {source}) WHERE x IS NOT NULL)) GROUP BY {keys}bin) USING ({keys}bin)"""
 
 
 def oracle() -> dict[str, str]:
@@ -436,14 +442,14 @@ def oracle() -> dict[str, str]:
     sql["entity_correlations"] = select(
         "n_entities:i n_large:i pearson:d pearson_large:d mae:d mean_error:d spearman:d",
         f"""SELECT *, (SELECT rho FROM ({spearman('agg', 'predicted', 'observed')})) AS spearman FROM (
-        SELECT count(*) AS n_entities, sum((n >= 8)::INT) AS n_large, corr(predicted, observed) AS pearson,
-        CASE WHEN sum((n >= 8)::INT) > 2 THEN corr(CASE WHEN n >= 8 THEN predicted END, CASE WHEN n >= 8 THEN observed END) END AS pearson_large,
+        SELECT count(*) AS n_entities, sum((n >= 30)::INT) AS n_large, corr(predicted, observed) AS pearson,
+        CASE WHEN sum((n >= 30)::INT) > 2 THEN corr(CASE WHEN n >= 30 THEN predicted END, CASE WHEN n >= 30 THEN observed END) END AS pearson_large,
         avg(abs(error)) AS mae, avg(error) AS mean_error FROM agg)""", "scored grp", agg=AGG,
     )
     sql["spearman_pair"] = select("n:i rho:d", spearman("scored", "p", "y"), "scored")
     sql["spearman_vs_target"] = select(
         "feature:s n:i rho:d",
-        " UNION ALL ".join(f"SELECT '{c}' AS feature, * FROM ({spearman('store', c, 'outcome_2000')})" for c in SPEARMAN_COLUMNS), "store",
+        " UNION ALL ".join(f"SELECT '{c}' AS feature, * FROM ({spearman('store', c, 'outcome_2000')})" for c in NUMERIC), "store",
     )
     sql["icc"] = select(
         "n_groups:i n:i mean_size:d msb:d msw:d icc:d",
@@ -488,16 +494,16 @@ def oracle() -> dict[str, str]:
     )
 
     sql["impute_median"] = select(
-        "entity_id:i outcome_1999:d population:d balance:d share_rural:d",
-        "SELECT entity_id, " + ", ".join(f"{filled(c)} AS {c}" for c in ("outcome_1999", "population", "balance", "share_rural")) + " FROM store", "store",
+        "entity_id:i " + " ".join(f"{c}:d" for c in NUMERIC),
+        "SELECT entity_id, " + ", ".join(f"{filled(c)} AS {c}" for c in NUMERIC) + " FROM store", "store",
     )
     sql["impute_mode"] = select(
         "entity_id:i size_band:s hub:s", f"SELECT entity_id, coalesce(size_band, {mode_of('size_band')}) AS size_band, hub FROM store", "store"
     )
     sql["standardize"] = select(
-        "entity_id:i outcome_1999:d balance:d n_sites:d",
+        "entity_id:i " + " ".join(f"{c}:d" for c in NUMERIC),
         "SELECT entity_id, " + ", ".join(
-            f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS {c}" for c in ("outcome_1999", "balance", "n_sites")) + " FROM store",
+            f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS {c}" for c in NUMERIC) + " FROM store",
         "store",
     )
     sql["one_hot_counts"] = select(
@@ -506,16 +512,14 @@ def oracle() -> dict[str, str]:
             f"SELECT '{c}' AS feature, CASE WHEN count(*) >= 60 THEN {c} ELSE 'infrequent' END AS category, count(*) AS n FROM store WHERE {c} IS NOT NULL GROUP BY {c}"
             for c in ("group_name", "size_band")) + ") GROUP BY feature, category", "store",
     )
-    sql["preprocess_matrix"] = select(
-        "entity_id:i feature:s value:d",
-        " UNION ALL ".join([
-            scaled("outcome_1999", filled("outcome_1999")),
-            scaled("population", log_of(filled("population"))),
-            scaled("balance", log_of(filled("balance"))),
-            one_hot("group_name", f"coalesce(group_name, {mode_of('group_name')})"),
-            one_hot("size_band", f"coalesce(size_band, {mode_of('size_band')})"),
-        ]), "store",
-    )
+    for name, numeric in (("preprocess_matrix", scaled), ("preprocess_matrix_unscaled", unscaled)):
+        sql[name] = select(
+            "entity_id:i feature:s value:d",
+            " UNION ALL ".join([
+                *[numeric(c, log_of(filled(c)) if c in LOG_SCALED else filled(c)) for c in NUMERIC if c != "hub"],
+                *[one_hot(c, f"coalesce(CAST({c} AS VARCHAR), {mode_of(c)})") for c in ("group_name", "region_name", "size_band", "hub")],
+            ]), "store",
+        )
 
     sql["stratified_holdout"] = select(
         "unit_id:i label:i split:s",
@@ -639,8 +643,8 @@ def oracle() -> dict[str, str]:
         "projected",
     )
 
-    medians = "SELECT segment, " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in PROFILE_COLUMNS) + " FROM store GROUP BY segment"
-    sql["segment_profile"] = select("segment:s " + " ".join(f"{c}:d" for c in PROFILE_COLUMNS), medians, "store")
+    medians = "SELECT segment, " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in NUMERIC) + " FROM store GROUP BY segment"
+    sql["segment_profile"] = select("segment:s " + " ".join(f"{c}:d" for c in NUMERIC), medians, "store")
     sql["segment_names"] = select(
         "segment:s segment_name:s",
         """SELECT segment, concat_ws(' ', CASE WHEN outcome_1999 >= (SELECT quantile_cont(outcome_1999, 0.5) FROM prof) THEN 'alto desempenho' ELSE 'baixo desempenho' END,
@@ -661,9 +665,13 @@ def oracle() -> dict[str, str]:
         SELECT vec_id, max(CASE WHEN own = other THEN n END) AS own_n, max(CASE WHEN own = other THEN total / nullif(n - 1, 0) END) AS a,
         min(CASE WHEN own <> other THEN total / n END) AS b FROM dist GROUP BY vec_id)"""
     vecs = "SELECT vec_id, label, embedding::DOUBLE[64] AS e FROM embeddings"
-    sampled = "SELECT vec_id, label, embedding::DOUBLE[64] AS e FROM embeddings ORDER BY md5(concat('42:', CAST(vec_id AS VARCHAR))), vec_id LIMIT 5000"
-    sql["silhouette_euclidean"] = select(
-        "silhouette:d", width, "", vecs=sampled, dist=pairs.format(d="array_distance(a.e, b.e)")
+    sql["silhouette_centroid"] = select(
+        "silhouette:d",
+        """SELECT avg(CASE WHEN greatest(a, b) = 0 THEN 0e0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM (
+        SELECT vec_id, max(CASE WHEN own = other THEN d END) AS a, min(CASE WHEN own <> other THEN d END) AS b FROM (
+        SELECT vec_id, v.label AS own, c.label AS other, array_distance(e, c) AS d FROM vecs v CROSS JOIN centres c) GROUP BY vec_id)""",
+        "", vecs=vecs, centres="""SELECT label, list(m ORDER BY i)::DOUBLE[64] AS c FROM (
+        SELECT label, i, avg(x) AS m FROM (SELECT label, unnest(e::DOUBLE[]) AS x, unnest(range(64)) AS i FROM vecs) GROUP BY label, i) GROUP BY label""",
     )
     sql["silhouette_squared"] = select(
         "silhouette:d", width, "", vecs=vecs, dist=pairs.format(d="array_distance(a.e, b.e) * array_distance(a.e, b.e)")
@@ -701,4 +709,28 @@ def oracle() -> dict[str, str]:
         FROM (SELECT *, {hash_place('unit_id', '42/to')} AS place FROM pu) a
         JOIN (SELECT *, {hash_place('unit_id', '42/from/0')} AS place FROM pu) b USING (place)""", "pu",
     )
+    # Facts about fits: sizes from the tables, and what must hold for any fit.
+    labelled = "(SELECT * FROM m2000 WHERE reached_2000 IS NOT NULL)"
+    halves = f"""SELECT count(*) FILTER (rn > round(n * 2e-1)) AS n_train, count(*) FILTER (rn <= round(n * 2e-1)) AS n_test,
+        count(*) FILTER (rn <= round(n * 2e-1) AND reached_2000 = 1) AS positives FROM (
+        SELECT *, {hash_place('entity_id', by='reached_2000')} AS rn, count(*) OVER (PARTITION BY reached_2000) AS n FROM {labelled})"""
+    for name in ("fit_logreg", "fit_forest", "fit_gbt", "fit_gbt_subsampled"):
+        sql[name] = select("n_train:i n_test:i positives:i separates_somewhat:b", f"SELECT *, true AS separates_somewhat FROM ({halves})", "m2000")
+    sql["random_search"] = "SELECT 12::BIGINT AS n_settings, 1::BIGINT AS n_best, true AS best_is_greatest, true AS best_is_returned"
+    sql["ablation"] = select(
+        "n_test:i n_dropped:i n_variants:i same_settings:b", f"SELECT n_test, 6 AS n_dropped, 4 AS n_variants, true AS same_settings FROM ({halves})", "m2000"
+    )
+    sql["project_and_rank"] = select(
+        "n:i n_entities:i first:i last:i valid:b",
+        "SELECT count(*) AS n, count(DISTINCT entity_id) AS n_entities, 1 AS first, count(*) AS last, true AS valid FROM m2001", "m2001",
+    )
+    sql["train_save_rank"] = select(
+        "n_ranked:i n_positions:i seed:i same_thresholds:b has_metrics:b",
+        "SELECT count(*) AS n_ranked, count(*) AS n_positions, 42 AS seed, true AS same_thresholds, true AS has_metrics FROM m2001", "m2001",
+    )
+    sql["fitted_shap"] = select("n:i adds_up:b named:b", f"SELECT n_test AS n, true AS adds_up, true AS named FROM ({halves})", "m2000")
+    sql["fitted_importance"] = "SELECT 0::BIGINT AS n_columns, true AS bounded"
+    sql["select_k"] = "SELECT 6::BIGINT AS n_k, 1::BIGINT AS n_best, true AS best_is_greatest, true AS in_range"
+    sql["kmeans_segments"] = "SELECT count(*)::BIGINT AS n, 3::BIGINT AS k, true AS same_inertia FROM customer"
+    sql["segment_entities"] = "SELECT count(*)::BIGINT AS n, count(*)::BIGINT AS n_entities, true AS named, true AS chosen FROM customer"
     return sql

@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.encode import TabularEncoder
-from riskframe.operators.evaluate import best_threshold_cost, best_threshold_f1, evaluate
+from riskframe.operators.evaluate import (
+    CV_METRICS, METRIC_ORDER, best_threshold_cost, best_threshold_f1, evaluate, metrics_long,
+)
 from riskframe.operators.joins import small_table
 from riskframe.operators.models import (
-    DUMMY, FOREST, GBT, GBT_SUB, LOGREG, best_candidate, cross_validate, holdout_table,
+    DUMMY, FOREST, GBT, GBT_SUB, LOGREG, Candidate, as_params, best_candidate, cross_validate, holdout_table,
     learning_curve, make_candidates, param_grid, random_search, score,
 )
 from riskframe.operators.panel import HISTORY
@@ -26,7 +28,7 @@ from riskframe.operators.scoring import project, ranking_sanity, risk_ranking
 from riskframe.operators.segments import (
     K_RANGE, RESTARTS, cluster_matrix, kmeans_best_of, segment_names, segment_outcome, select_k,
 )
-from riskframe.sources.io import load_model, shared_folder, write_csv
+from riskframe.sources.io import load_model, save_model, shared_folder, write_csv, write_metrics
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,7 @@ class TrainConfig:
 
     def fast(self) -> TrainConfig:
         """The short run: samples, fewer folds and settings."""
+        # The settings of the short run.
         return replace(
             self, n_sample=60_000, cv_sample=30_000, cv_folds=3, n_iter=5, group_folds=3,
             curve_sizes=(50, 150, 400),
@@ -140,8 +143,20 @@ def _holdout(candidates, best: str, model: PipelineModel, train: DataFrame, test
     return cuts, table
 
 
-def train_units(df: DataFrame, task: Task, cfg: TrainConfig) -> TrainResult:
-    """Unit-grain run: sample, split, compare, tune, learning curve, thresholds, group folds, entity rates."""
+def save_result(result: TrainResult, cfg: TrainConfig, out: str) -> None:
+    """Write ``model`` (with thresholds, settings, seed), ``metrics`` as JSON, and the entity table as CSV if there is one."""
+    info = {"best": result.best, "params": result.params, "thresholds": result.thresholds, "seed": cfg.seed}
+    save_model(result.model, f"{out}/model", info)
+    write_metrics(metrics_long(result.holdout, ["name"]), f"{out}/metrics")
+    if result.entities is not None:
+        write_csv(result.entities, f"{out}/entities", [result.entities.columns[0]])
+
+
+def train_units(df: DataFrame, task: Task, cfg: TrainConfig, out: str | None = None) -> TrainResult:
+    """Unit-grain run: sample, split, compare, tune, learning curve, thresholds, group folds, entity rates.
+
+    ``out`` names a folder for what ``save_result`` writes.
+    """
     spark = df.sparkSession
     shared_folder(spark)
     if cfg.n_sample:
@@ -162,14 +177,22 @@ def train_units(df: DataFrame, task: Task, cfg: TrainConfig) -> TrainResult:
         task.entity, task.entity_group, F.col(task.label).cast("int").alias("y"), "p"
     )
     entities = entity_aggregate(scored, task.entity, task.entity_group).checkpoint()
-    return TrainResult(
+    result = TrainResult(
         best, params, model, cuts, cv, search, holdout, group_cv=by_group, curve=curve,
         entities=entities, agreement=entity_correlations(entities),
     )
+    if out:
+        save_result(result, cfg, out)
+    return result
+
 
+def train_entities(
+    matrix: DataFrame, task: Task, cfg: TrainConfig, with_ablation: bool = True, out: str | None = None
+) -> TrainResult:
+    """Entity-grain run on the relative matrix: split, compare, tune, thresholds, ablation.
 
-def train_entities(matrix: DataFrame, task: Task, cfg: TrainConfig, with_ablation: bool = True) -> TrainResult:
-    """Entity-grain run on the relative matrix: split, compare, tune, thresholds, ablation."""
+    ``out`` names a folder for what ``save_result`` writes; ``projection_job`` reads its ``model``.
+    """
     shared_folder(matrix.sparkSession)
     split = stratified_holdout(matrix, task.key, task.label, 0.2, cfg.seed).checkpoint()
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
@@ -178,32 +201,39 @@ def train_entities(matrix: DataFrame, task: Task, cfg: TrainConfig, with_ablatio
     cuts, holdout = _holdout({**candidates, best: tuned}, best, model, train, test, task, cfg)
     result = TrainResult(best, params, model, cuts, cv, search, holdout)
     if with_ablation:
-        result.ablation = ablate_history(train, test, task, cfg, best, tuned, model)
+        result.ablation = ablate_history(train, test, task, cfg, best, params, model)
+    if out:
+        save_result(result, cfg, out)
     return result
 
 
-def ablate_history(train, test, task: Task, cfg: TrainConfig, best: str, tuned, model) -> DataFrame:
-    """Rows (variant, metrics) of the best model with and without the history block.
+def without_history(train: DataFrame, task: Task, cfg: TrainConfig, best: str, settings: Mapping) -> Candidate:
+    """The best candidate with the same settings, on the features without the history block."""
+    bare = _candidates(train, task, cfg, drop=HISTORY)[best]
+    return bare.copy(as_params(bare, settings))
+
+
+def ablate_history(train, test, task: Task, cfg: TrainConfig, best: str, settings: Mapping, model) -> DataFrame:
+    """Rows (variant, metrics) of the best model with and without the history block, settings alike.
 
-    ``variant`` is 'full', 'without_history' (both held-out) or 'without_history_cv'.
+    ``variant`` is 'full', 'without_history' (both held-out, every metric), 'without_history_cv' or
+    'without_history_cv_sd' (mean and spread over folds, the metrics of a cross-validation report).
     """
-    bare = _candidates(train, task, cfg, drop=HISTORY)[best]
-    for param, value in tuned._paramMap.items():
-        bare._paramMap[param] = value
-    if tuned.classifier is not None:
-        bare.classifier = tuned.classifier.copy()
+    bare = without_history(train, task, cfg, best, settings)
     rows = None
     for name, fitted in (("full", model), ("without_history", bare.fit(train))):
         part = score(fitted, test).select(
             F.lit(name).alias("variant"), F.col(task.label).cast("int").alias("y"), "p"
         )
         rows = part if rows is None else rows.unionByName(part)
-    held = evaluate(rows.checkpoint(), by=["variant"]).select("variant", "roc_auc", "pr_auc", "f1", "balanced_accuracy", "brier")
-    report = cross_validate({best: bare}, train, task.key, task.label, cfg.cv_folds, cfg.seed)
-    folds = report.where("part = 'test'").groupBy(F.lit("without_history_cv").alias("variant")).pivot(
-        "metric", ["roc_auc", "pr_auc", "f1", "balanced_accuracy", "brier"]
-    ).agg(F.max("mean"))
-    table, _ = small_table(train.sparkSession, held.unionByName(folds))
+    held = evaluate(rows.checkpoint(), by=["variant"]).select("variant", *METRIC_ORDER)
+    report = cross_validate({best: bare}, train, task.key, task.label, cfg.cv_folds, cfg.seed).where("part = 'test'")
+    named = F.inline(F.array(*[
+        F.struct(F.lit(f"without_history_cv{end}").alias("variant"), "metric", F.col(c).alias("value"))
+        for end, c in (("", "mean"), ("_sd", "sd"))
+    ]))
+    folds = report.select(named).groupBy("variant").pivot("metric", CV_METRICS).agg(F.max("value"))
+    table, _ = small_table(train.sparkSession, held.unionByName(folds, allowMissingColumns=True))
     return table
 
 
@@ -250,9 +280,13 @@ def segment_entities(
     restarts: int = RESTARTS,
     seed: int = 42,
     min_frequency: int = 20,
-    exact_euclidean: bool = False,
+    euclidean: bool = False,
+    out: str | None = None,
 ) -> Segmentation:
-    """Choose k, place entities in segments, name the segments and validate them on the outcome."""
+    """Choose k, place entities in segments, name the segments and validate them on the outcome.
+
+    ``out`` names a folder for the segments as CSV.
+    """
     spark = features.sparkSession
     shared_folder(spark)
     matrix, numeric, cats = cluster_matrix(features, [key, name], drop, categorical)
@@ -261,7 +295,7 @@ def segment_entities(
         scale=True, min_frequency=min_frequency,
     )
     encoded = encoder.fit(matrix).transform(matrix).select(key, "features").checkpoint()
-    choice = select_k(encoded, key, ks, restarts, seed, exact_euclidean=exact_euclidean)
+    choice = select_k(encoded, ks, restarts, seed, euclidean=euclidean)
     k = choice.where("best").first()["k"]
     placed = kmeans_best_of(encoded, k, restarts, seed).transform(encoded)
     segments = placed.select(key, F.col("prediction").alias("segment_id")).checkpoint()
@@ -270,9 +304,11 @@ def segment_entities(
     profile, _ = small_table(spark, profile)
     named = segment_names(profile, "segment_id", level, rural, size)
     regions = listed_values(features, region)
-    out = features.select(key, name).join(segments, [key]).join(F.broadcast(named), ["segment_id"])
+    placed_names = features.select(key, name).join(segments, [key]).join(F.broadcast(named), ["segment_id"])
+    if out:
+        write_csv(placed_names, f"{out}/segments", [key])
     return Segmentation(
-        choice, out, profile,
+        choice, placed_names, profile,
         segment_outcome(segments, targets, key, "segment_id", label),
         crosstab(described, "segment_id", region, regions),
     )

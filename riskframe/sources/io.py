@@ -22,12 +22,15 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: the session's ``spark.checkpoint.dir``.
 
-    Where it is unset (tests), a new temporary folder is made and set as checkpoint folder.
+    Where it is unset on a local master (tests), a new temporary folder is made and set as checkpoint
+    folder; on a cluster that would be another folder for each executor, so it is an error.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     folder = folder or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         folder = tempfile.mkdtemp(prefix="riskframe-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)

@@ -86,3 +86,23 @@ def test_delta_needs_the_year_before(spark):
     df = spark.createDataFrame([(1, 2000, 5.0), (1, 2002, 9.0)], "k long, yr int, x double")
     rows = {r["yr"]: r["delta"] for r in yoy_delta(df, "k", "yr", "x", [2000, 2001, 2002]).collect()}
     assert rows == {2000: None, 2001: None, 2002: None}
+
+
+def test_foreign_years_raise(spark):
+    df = spark.createDataFrame([(1, 1994, 5.0), (1, 1995, 9.0)], "k long, yr int, x double")
+    with pytest.raises(Exception, match="yr outside the panel's years: 1994"):
+        yoy_delta(df, "k", "yr", "x", [1995, 1996]).collect()
+
+
+def test_size_is_measured_in_rows_and_bytes(spark):
+    df = spark.range(10).withColumn("t", F.repeat(F.lit("x"), 1000))
+    assert J.is_small(df) and not J.is_small(df, limit=9) and not J.is_small(df, most_bytes=5_000)
+    plan = df.agg(F.sum(F.octet_length(F.to_json(F.struct("id", "t")))))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+
+
+def test_even_keys_are_not_hot(spark):
+    even = spark.range(10_000).select((F.col("id") % 1000).alias("k"))
+    assert J.hot_key_hashes(even, {"k": "bigint"}) == []
+    third = even.unionByName(spark.range(5_000).select(F.lit(7).cast("long").alias("k")))
+    assert len(J.hot_key_hashes(third, {"k": "bigint"})) == 1

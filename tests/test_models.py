@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -27,12 +28,11 @@ FAST = TrainConfig(
 
 @pytest.fixture(scope="module")
 def pdf():
-    rng = np.random.default_rng(42)
+    rng = np.random.default_rng(13)
     n = 600
-    last = rng.uniform(20, 95, n)
-    goal = rng.uniform(30, 90, n)
-    ctx = rng.uniform(0.3, 0.9, n)
-    p = 1 / (1 + np.exp(-(0.10 * (last - goal) + 6.0 * (ctx - 0.6))))
+    last, ctx = rng.normal(55, 15, n), rng.beta(4, 3, n)
+    goal = 45 + 25 * rng.random(n)
+    p = 1 / (1 + np.exp(-(0.12 * (last - goal) + 5.0 * (ctx - ctx.mean()))))
     df = pd.DataFrame({
         "id": np.arange(n), "name": [f"m{i}" for i in range(n)], "entity": rng.integers(0, 40, n),
         "outcome_t1": last, "goal_t": goal, "effort_t": goal - last, "ctx": ctx,
@@ -162,11 +162,51 @@ def test_entity_run_with_ablation(df):
     assert table[result.best]["roc_auc"] > 0.75 > table[M.DUMMY]["roc_auc"]
     assert {f"{result.best}@f1", f"{result.best}@cost"} <= set(table)
     assert 0 < result.thresholds["cost"] < 1
-    variants = {r["variant"]: r["roc_auc"] for r in result.ablation.collect()}
-    assert variants["without_history"] <= variants["full"] + 0.05
+    variants = {r["variant"]: r for r in result.ablation.collect()}
+    assert variants["without_history"]["roc_auc"] <= variants["full"]["roc_auc"] + 0.05
+    assert set(variants) == {"full", "without_history", "without_history_cv", "without_history_cv_sd"}
+    assert variants["full"]["log_loss"] > 0 and variants["without_history_cv_sd"]["brier"] >= 0
     assert set(HISTORY) & set(df.columns)
 
 
+def test_ablation_keeps_the_tuned_settings(df):
+    from riskframe.plans.training import without_history
+
+    settings = {"inversePenalty": 0.01}
+    bare = without_history(df.drop("empty"), TASK, FAST, M.LOGREG, settings)
+    assert bare.getOrDefault("inversePenalty") == 0.01 != M.make_candidates(NUM, CAT, "y")[M.LOGREG].getOrDefault("inversePenalty")
+    assert "outcome_t1" not in bare.encoder.settings["numeric"]
+    trees = without_history(df.drop("empty"), TASK, FAST, M.GBT, {"leaves": 31, "maxIter": 3})
+    assert (trees.classifier.getMaxDepth(), trees.classifier.getMaxIter(), trees.classifier.getMaxBins()) == (5, 3, M.MAX_BINS)
+
+
+def test_runs_leave_model_metrics_and_entities(spark, df, tmp_path):
+    from dataclasses import replace
+
+    out = str(tmp_path / "run")
+    result = train_units(df.drop("empty"), replace(TASK, grain="unit"), replace(FAST, candidates=(M.DUMMY, M.LOGREG), curve_sizes=()), out)
+    _, info = io.load_model(spark, f"{out}/model")
+    assert info == {"best": result.best, "params": result.params, "thresholds": result.thresholds, "seed": FAST.seed}
+    assert spark.read.json(f"{out}/metrics").where("metric = 'roc_auc'").count() >= 2
+    assert spark.read.option("header", True).csv(f"{out}/entities").count() == result.entities.count()
+    ranked = explain.explain_job(spark, f"{out}/model", df.drop("empty"), "id", f"{out}/explained")
+    assert spark.read.option("header", True).csv(f"{out}/explained").count() == ranked.count() > 3
+
+
+def test_attributions_of_a_saved_model_add_up_to_its_logit(spark, df, tmp_path):
+    from riskframe.operators.encode import encoded_names
+
+    M.make_candidates(NUM, CAT, "y")[M.LOGREG].fit(df).write().save(str(tmp_path / "m"))
+    model = PipelineModel.load(str(tmp_path / "m"))
+    names = encoded_names(model)
+    assert names[:3] == ["outcome_t1", "ctx", "size"] and "band_s" in names
+    phi = explain.model_shap(model, df, "id")
+    assert {r["feature"] for r in phi.select("feature").distinct().collect()} == set(names)
+    logit = M.score(model, df).select("id", F.log(F.col("p") / (1 - F.col("p"))).alias("z"))
+    gap = phi.groupBy("id").agg(F.sum("phi").alias("s")).join(logit, ["id"]).select((F.col("z") - F.col("s")).alias("g"))
+    assert gap.agg(F.max("g") - F.min("g")).first()[0] < 1e-6
+
+
 def test_unit_run(df):
     from dataclasses import replace
 
@@ -185,12 +225,12 @@ def test_positions_with_heavy_ties(spark):
 
 
 def test_ranking_checks(spark):
-    rng = np.random.default_rng(0)
-    effort = rng.uniform(0, 30, 200)
-    risk = np.clip(1 / (1 + np.exp(-(effort - 15) / 4)) + rng.normal(0, 0.03, 200), 0, 1)
-    rows = spark.createDataFrame(pd.DataFrame({"risk": risk, "effort": effort, "reached_last": (risk < 0.5).astype(int)}))
-    r = scoring.ranking_sanity(rows).first()
-    assert r["spearman_risk_effort"] > 0.8 and r["risk_missed"] > r["risk_met"]
+    """Risk falls with the place in a list; whoever missed last year stands in its upper half."""
+    rows = [(1 - i / 150, 40.0 - 0.2 * i + (i % 7), int(i > 70)) for i in range(150)]
+    r = scoring.ranking_sanity(spark.createDataFrame(rows, "risk double, effort double, reached_last int")).first()
+    ranks = pd.DataFrame(rows, columns=["risk", "effort", "met"])
+    assert r["spearman_risk_effort"] == pytest.approx(ranks["risk"].rank().corr(ranks["effort"].rank()))
+    assert r["risk_missed"] == pytest.approx(ranks.loc[ranks["met"] == 0, "risk"].mean()) and r["risk_missed"] > r["risk_met"]
 
 
 @pytest.fixture(scope="module")
@@ -216,14 +256,20 @@ def test_silhouettes_by_brute_force(blobs):
             out.append((outer - inner) / max(outer, inner))
         return np.mean(out)
 
-    d = np.sqrt(((x[:, None] - x[None, :]) ** 2).sum(-1))
-    assert segments.silhouette_euclidean(df, "id", "v", "own").first()[0] == pytest.approx(brute(d))
-    assert segments.silhouette_squared(df, "features", "own").first()[0] == pytest.approx(brute(d * d))
+    d = ((x[:, None] - x[None, :]) ** 2).sum(-1)
+    assert segments.silhouette_squared(df, "features", "own").first()[0] == pytest.approx(brute(d))
+    centres = np.stack([x[own == k].mean(axis=0) for k in range(3)])
+    away = np.sqrt(((x[:, None] - centres[None]) ** 2).sum(-1))
+    near = away[np.arange(len(x)), own]
+    away[np.arange(len(x)), own] = np.inf
+    other = away.min(axis=1)
+    assert segments.silhouette_centroid(df, "v", "own").first()[0] == pytest.approx(((other - near) / np.maximum(other, near)).mean())
+    assert segments.silhouette_centroid(df.where("own = 0"), "v", "own").first()[0] is None
 
 
 def test_three_blobs_are_found(blobs):
     pdf, df = blobs
-    choice = segments.select_k(df, "id", (2, 3, 4), restarts=2, exact_euclidean=True)
+    choice = segments.select_k(df, (2, 3, 4), restarts=2, euclidean=True)
     assert choice.where("best").first()["k"] == 3
     placed = segments.kmeans_best_of(df, 3, 2).transform(df)
     assert placed.groupBy("own").agg(F.countDistinct("prediction").alias("n")).where("n > 1").count() == 0
