@@ -32,16 +32,21 @@ BLANK = 32
 UNKNOWN = "und"
 TRAIN_ROWS = 5_000
 # Work tables of a slice: documents by kinds of n-grams, and kinds by dimensions.
-SLICE_BYTES, SLICE_ROWS, KINDS = 3 << 17, 128, 8_192
+SLICE_BYTES, SLICE_ROWS, KINDS = 3 << 17, 128, 2_048
 PREDICTED = ("lang_pred", "score")
 
 
 @lru_cache(maxsize=1)
 def letters() -> tuple[np.ndarray, np.ndarray]:
     """For each code point: is it a letter, and its lower case if that is one code point."""
-    points = [chr(i) for i in range(0x110000)]
-    lower = [x if len(x) == 1 else c for c in points for x in (c.lower(),)]
-    return np.array([c.isalpha() for c in points]), np.array([ord(c) for c in lower], np.uint32)
+    is_letter, lower = np.zeros(0x110000, bool), np.arange(0x110000, dtype=np.uint32)
+    for i in range(0x110000):
+        c = chr(i)
+        if c.isalpha():
+            is_letter[i] = True
+            if len(low := c.lower()) == 1:
+                lower[i] = ord(low)
+    return is_letter, lower
 
 
 def letter_vectors(points: np.ndarray) -> np.ndarray:

@@ -2,18 +2,21 @@
 
 All sets are put into one order, rare n-grams first. If two sets overlap by ``least`` of either size, then prefixes
 of n - ceil(least * n) + l elements share l elements at least: a longer prefix costs more index entries but asks
-for more shared ones before a pair is compared. Each document takes the l (1 to ``MATCHES``) with the least
-estimated cost, from the frequencies of its own n-grams; a pair must share the smaller l of the two. Frequencies
-come from a sketch over all documents (``COUNTERS`` numbers, whatever the size): they only set order and l.
+for more shared ones before a pair is compared. Each document takes the l (1, or one of ``MATCHES`` as a share of
+its size) with the least estimated cost, from the frequencies of its own n-grams; a pair must share the smaller l
+of the two. Frequencies come from a sketch over all documents (``COUNTERS`` numbers, whatever the size): they only
+set order and l.
 
 What follows loses no link between different texts and yet never lists the pairs of a group:
 
-1. Prefix elements that occur in one document only are dropped (see ``repeats``); most documents end here.
+1. Prefix elements that occur in one document only are dead (see ``repeats``). A document with fewer than l
+   others ends here, and most do.
 2. Equal sets become one class. Classes stand for their documents from here on.
-3. Each class is compared with the smallest class under its prefix elements (a few per class), which joins
-   large groups of near copies into components by links to a hub.
-4. Elements whose classes are in different components are joined in full, across components only: pairs
-   that share enough of them are compared. Pairs inside a component are not needed to know the component.
+3. Each class is compared with the class of fewest dead elements under its prefix elements (a few per class), which
+   joins large groups of near copies into components by links to their least altered member.
+4. Elements whose classes are in different components are joined in full, across components only: pairs that share
+   enough of them, and whose dead elements leave room for a link, are compared. Pairs inside a component are not
+   needed to know the component.
 5. Components of all links: stars are merged until nothing changes, each step a table in the shared folder.
 
 Texts are compared in blocks of documents; the hub of a pair is sent to the block of the other, so a hub with a
@@ -40,11 +43,12 @@ from riskframe.llm import text as T
 
 COUNTERS = 1 << 20
 SLICES = 16
-MATCHES = 4
-COMPARE_COST = 20.0  # of a pair, in index entries
+MATCHES = (0.02, 0.05, 0.1, 0.15)
+# Of a candidate, in index entries; and the share of entries taken to repeat that the sketch cannot see.
+COMPARE_COST, UNSEEN = 20.0, 0.15
 HUBS = 3
 
-SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, matches int, tokens array<long>, text binary"
+SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, matches int, prefix int, tokens array<long>, text binary"
 
 
 class Sets:
@@ -85,14 +89,18 @@ class Sets:
         # Entries met in the index: what the sketch holds beyond its mean load.
         met = np.r_[0.0, np.cumsum(np.maximum(seen[order] - sketch.mean(), 0.0))]
         least_overlap = -(-self.sizes * round(least * 100) // 100)
-        base = self.sizes - least_overlap
-        cost = np.full((MATCHES, len(self.sizes)), np.inf)
-        for j in range(MATCHES):
-            fits = least_overlap > j
-            scan = met[self.first[:-1][fits] + base[fits] + j + 1] - met[self.first[:-1][fits]]
-            cost[j, fits] = (1.0 + COMPARE_COST / (j + 1) ** 2) * scan + 0.1 * j
-        matches = cost.argmin(axis=0) + 1
-        place = np.arange(len(hashes)) - self.first[:-1][owner]
+        base, begin = self.sizes - least_overlap, self.first[:-1]
+        matches = np.ones(len(self.sizes), np.int64)
+        best = np.full(len(self.sizes), np.inf)
+        for share in (0.0, *MATCHES):
+            # Never more than the overlap a link needs, so that the prefix stays inside the set.
+            l = np.clip(np.ceil(share * self.sizes).astype(np.int64), 1, np.maximum(least_overlap, 1))  # noqa: E741
+            size = np.minimum(base + l, self.sizes)
+            candidates = met[begin + size] - met[begin] + UNSEEN * size
+            cost = size + COMPARE_COST * candidates * (1 - l / np.maximum(size, 1)) ** 4
+            matches = np.where(cost < best, l, matches)
+            best = np.minimum(cost, best)
+        place = np.arange(len(hashes)) - begin[owner]
         inside = place < (base + matches)[owner]
         return hashes[inside], owner[inside], matches
 
@@ -107,7 +115,7 @@ def sketch_of(docs: DataFrame, n: int) -> np.ndarray:
             for _, _, data, offsets in T.sliced(batch.column("text")):
                 total += np.bincount(Sets(data, offsets, n).hashes & np.uint64(COUNTERS - 1), minlength=COUNTERS).astype(np.uint64)
         if total.any():
-            kind = np.uint32 if total.max() < 1 << 32 else np.uint64
+            kind = next(k for k in (np.uint16, np.uint32, np.uint64) if total.max() <= np.iinfo(k).max)
             parts = [total[i * width : (i + 1) * width].astype(kind).tobytes() for i in range(SLICES)]
             yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
 
@@ -116,7 +124,7 @@ def sketch_of(docs: DataFrame, n: int) -> np.ndarray:
         for batch in batches:
             for raw in batch.column("counts"):
                 raw = raw.as_py()
-                total += np.frombuffer(raw, np.uint32 if len(raw) == 4 * width else np.uint64)
+                total += np.frombuffer(raw, {2: np.uint16, 4: np.uint32, 8: np.uint64}[len(raw) // width])
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
 
     schema = "slice int, counts binary"
@@ -144,10 +152,11 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
         live, _ = repeats.told_ids(right)
         known = ~left.column("doc_id").is_null().to_numpy()
         pack = zstandard.ZstdCompressor(level=1)
-        sizes, sig_a, sig_b, asked, tokens, texts = [], [], [], [], [], []
+        sizes, sig_a, sig_b, asked, prefix, tokens, texts = [], [], [], [], [], [], []
         for low, high, data, offsets in T.sliced(left.column("text")):
             sets = Sets(data, offsets, n)
             hashes, owner, matches = sets.prefixes(sent.value, least)
+            prefix.append(np.bincount(owner, minlength=high - low))
             hit = T.member(repeats.ids_of(hashes, blocks), live) & known[owner + low]
             hashes, owner = hashes[hit].view(np.int64), owner[hit]
             cuts = np.searchsorted(owner, np.arange(high - low + 1))
@@ -158,12 +167,13 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
             asked.append(matches)
             for i in range(high - low):
                 own = hashes[cuts[i] : cuts[i + 1]]
-                tokens.append(own if len(own) else None)
-                texts.append(pack.compress(data[offsets[i] : offsets[i + 1]].tobytes()) if len(own) else None)
+                goes_on = len(own) >= matches[i]
+                tokens.append(own if goes_on else None)
+                texts.append(pack.compress(data[offsets[i] : offsets[i + 1]].tobytes()) if goes_on else None)
         join = lambda x, kind: pa.array(np.concatenate(x).astype(kind) if x else np.zeros(0, kind))
         return pa.table({
             "doc_id": left.column("doc_id"), "n_shingles": join(sizes, np.int64), "sig_a": join(sig_a, np.int64), "sig_b": join(sig_b, np.int64),
-            "matches": join(asked, np.int32), "tokens": pa.array(tokens, pa.list_(pa.int64())), "text": pa.array(texts, pa.binary()),
+            "matches": join(asked, np.int32), "prefix": join(prefix, np.int32), "tokens": pa.array(tokens, pa.list_(pa.int64())), "text": pa.array(texts, pa.binary()),
         })
 
     live = repeats.repeated(rows, find, blocks)
@@ -172,7 +182,7 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
 
 def linked(pairs: DataFrame, classes: DataFrame, n: int, least: float) -> DataFrame:
     """Of the pairs (x, y) of class ids those whose sets are similar enough; x is sent to the block of y."""
-    blocks = repeats.block_count(pairs.sparkSession)
+    blocks = max(4, repeats.block_count(pairs.sparkSession) // 2)
     percent = round(least * 100)
     pairs = scratch.written(pairs.select("x", "y", F.pmod(F.xxhash64("y"), F.lit(blocks)).cast("int").alias("blk")), "pairs")
     wanted = pairs.select(F.col("blk").alias("to"), F.explode(F.array("x", "y")).alias("id")).distinct()
@@ -227,11 +237,17 @@ def components(links: DataFrame) -> DataFrame:
     return stars.unionAll(edges.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
 
 
+def possible(n: str, alive: str, m: str, alive_too: str, percent: int):
+    """Can two sets of ``n`` and ``m`` elements be linked if only some of each occur in another set at all?"""
+    common = F.least(F.col(alive), F.col(alive_too))
+    return 100 * common >= percent * (F.col(n) + F.col(m) - common)
+
+
 def across(entries: DataFrame, least: float) -> DataFrame:
     """Pairs of classes in different components that share the matches they ask for.
 
-    ``entries``: token, rep, n, matches, component. In a token's list the largest component's classes meet
-    those of other components only, so a large group costs its length for each class outside it.
+    ``entries``: token, rep, n, matches, alive, component. In a token's list the largest component's classes
+    meet those of other components only, so a large group costs its length for each class outside it.
     """
     percent = round(least * 100)
     buckets = repeats.block_count(entries.sparkSession)
@@ -239,19 +255,19 @@ def across(entries: DataFrame, least: float) -> DataFrame:
     entries = entries.join(mixed, "token").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int"))
 
     def pair(table: pa.Table) -> pa.Table:
-        token, rep, size, asked, comp = (table.column(c).to_numpy() for c in ("token", "rep", "n", "matches", "component"))
+        columns = [table.column(c).to_numpy() for c in ("token", "rep", "n", "matches", "alive", "component")]
         found: list[np.ndarray] = []
-        for _, (r, n, m, c) in repeats.split_by(token, rep, size, asked, comp):
-            order = np.lexsort((r, n, c))
-            r, n, m, c = r[order], n[order], m[order], c[order]
+        for _, (r, n, m, alive, c) in repeats.split_by(*columns):
+            order = np.lexsort((r, c))
+            r, n, m, alive, c = r[order], n[order], m[order], alive[order], c[order]
             cuts = repeats.runs(c)
             largest = int(np.diff(cuts).argmax())
             outside = np.r_[np.arange(cuts[largest]), np.arange(cuts[largest + 1], len(c))]
             for i in outside.tolist():
                 # Once for each pair: outside classes after this one, and all of the largest component.
-                other = c != c[i]
+                common = np.minimum(alive, alive[i])
+                other = (c != c[i]) & (100 * common >= percent * (n + n[i] - common))
                 other[outside[outside <= i]] = False
-                other &= (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
                 j = np.flatnonzero(other)
                 if len(j):
                     found.append(np.stack([np.minimum(r[i], r[j]), np.maximum(r[i], r[j]), np.minimum(m[i], m[j]).astype(np.int64)]))
@@ -271,12 +287,17 @@ def join(docs: DataFrame, n: int = 5, least: float = 0.75) -> DataFrame:
     sets = scratch.written(indexed_sets(docs, n, least), "sets")
     live = sets.where(F.col("tokens").isNotNull())
     same = ["sig_a", "sig_b", "n_shingles"]
-    first = F.min_by(F.struct("matches", "tokens", "text"), "doc_id").alias("first")
+    first = F.min_by(F.struct("matches", "prefix", "tokens", "text"), "doc_id").alias("first")
     classes = scratch.written(live.groupBy(*same).agg(F.min("doc_id").alias("rep"), first).select("rep", F.col("n_shingles").alias("n"), "first.*"), "classes")
 
-    entries = classes.select(F.explode("tokens").alias("token"), "rep", "n", "matches")
-    hubs = entries.groupBy("token").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", "hub")
-    met = entries.join(hubs, "token").where("rep <> hub").groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("k"))
+    # ``alive`` bounds the elements that another class can share: all but the dead ones of the prefix.
+    alive = (F.col("n") - F.col("prefix") + F.size("tokens")).alias("alive")
+    entries = classes.select(F.explode("tokens").alias("token"), "rep", "n", "matches", alive)
+    # The least altered class under an element: the one with the smallest share of dead elements.
+    best = F.min_by(F.struct("rep", "n", "alive"), F.struct(-F.col("alive") / F.col("n"), F.col("rep"))).alias("hub")
+    hubs = entries.groupBy("token").agg(best, F.count(F.lit(1)).alias("k")).where("k > 1").select("token", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("m"), F.col("hub.alive").alias("alive_too"))
+    met = entries.join(hubs, "token").where((F.col("rep") != F.col("hub")) & possible("n", "alive", "m", "alive_too", round(least * 100)))
+    met = met.groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("k"))
     few = F.slice(F.sort_array(F.collect_list(F.struct("k", "hub")), asc=False), 1, HUBS)
     near = met.groupBy("rep").agg(few.alias("few")).select("rep", F.explode("few").alias("h")).select(F.col("h.hub").alias("x"), F.col("rep").alias("y"))
     links = scratch.written(linked(near, classes, n, least), "near")

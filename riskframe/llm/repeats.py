@@ -73,6 +73,8 @@ def repeated(docs: DataFrame, find: Finder, buckets: int, hot: int = 2, within:
     hash: a false alarm is rare and harmless to callers that compare what lies around.
     """
 
+    blk_type = np.uint16 if buckets < 1 << 16 else np.int32
+
     def ask(hashes: np.ndarray, blks: np.ndarray) -> Iterator[tuple]:
         ids = ids_of(hashes, buckets)
         order = np.argsort(ids, kind="stable")
@@ -82,14 +84,14 @@ def repeated(docs: DataFrame, find: Finder, buckets: int, hot: int = 2, within:
         common = np.repeat(size >= hot, size)
         for home, (own, own_blks) in split_by(blks[common] % buckets, ids[common] | HOT, blks[common]):
             cell = np.unique(np.stack([own_blks.astype(np.uint64), own]), axis=1)
-            yield home, True, cell[1].tobytes(), cell[0].astype(np.int32).tobytes(), b""
+            yield home, True, cell[1].tobytes(), cell[0].astype(blk_type).tobytes(), b""
         # One line for each hash and block; of a common hash one line that says so.
         first = cuts[:-1][size >= hot]
         sent = np.r_[ids[~common], ids[first]]
         to = np.r_[blks[~common], blks[first]]
         count = np.r_[np.ones(len(sent) - len(first), np.uint16), np.full(len(first), hot, np.uint16)]
         for bucket, (own, own_blks, n) in split_by((sent >> np.uint64(32)).astype(np.int64), sent, to, count):
-            yield bucket, False, (own & LOW).astype(np.uint32).tobytes(), own_blks.tobytes(), n.tobytes() if n.max() > 1 else b""
+            yield bucket, False, (own & LOW).astype(np.uint32).tobytes(), own_blks.astype(blk_type).tobytes(), n.tobytes() if n.max() > 1 else b""
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting = [], 0
@@ -121,7 +123,7 @@ def repeated(docs: DataFrame, find: Finder, buckets: int, hot: int = 2, within:
         out = []
         for batch in batches:
             for row in batch.to_pylist():
-                to = np.frombuffer(row["blks"], np.int32)
+                to = np.frombuffer(row["blks"], blk_type)
                 if row["known"]:
                     out += tell(np.frombuffer(row["ids"], np.uint64), to)
                     continue
