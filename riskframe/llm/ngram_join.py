@@ -9,14 +9,15 @@ set order and l.
 
 What follows loses no link between different texts and yet never lists the pairs of a group:
 
-1. Prefix elements that occur in one document only are dead (see ``repeats``). A document with fewer than l
-   others ends here, and most do.
+1. Prefix elements that occur in no other prefix are dead (see ``repeats``); another set may still hold them behind its
+   prefix. A document with fewer than l others ends here, and most do.
 2. Equal sets become one class. Classes stand for their documents from here on.
 3. Each class is compared with the class of fewest dead elements under its prefix elements (a few per class), which
    joins large groups of near copies into components by links to their least altered member.
 4. Elements whose classes are in different components are joined in full, across components only: pairs that share
-   enough of them, and whose dead elements leave room for a link, are compared. Pairs inside a component are not
-   needed to know the component.
+   enough of them are compared. What two sets share lies in both prefixes or behind the prefix that ends first in the
+   one order, so a pair must also share what a link needs beyond the elements there (see ``asked_of``). Pairs inside a
+   component are not needed to know the component.
 5. Components of all links: stars are merged until nothing changes, each step a table in the shared folder.
 
 Texts are compared in blocks of documents; the hub of a pair is sent to the block of the other, so a hub with a
@@ -48,7 +49,7 @@ MATCHES = (0.02, 0.05, 0.1, 0.15)
 COMPARE_COST, UNSEEN = 20.0, 0.15
 HUBS = 3
 
-SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, matches int, prefix int, tokens array<long>, text binary"
+SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, matches int, prefix int, last long, tokens array<long>, text binary"
 
 
 class Sets:
@@ -80,11 +81,13 @@ class Sets:
         other = np.r_[np.uint64(0), np.cumsum(T.mix(self.hashes ^ np.uint64(T.MULTIPLIERS[1])))]
         return total[self.first[1:]] - total[self.first[:-1]], other[self.first[1:]] - other[self.first[:-1]]
 
-    def prefixes(self, sketch: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes in the prefixes, their documents, and the number of matches each document asks for."""
+    def prefixes(self, sketch: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes in the prefixes, their documents, the number of matches each document asks for, and the place of
+        its last prefix element in the one order."""
         seen = sketch[self.hashes & np.uint64(COUNTERS - 1)].astype(np.float64)
         grade = np.log2(seen + 1).astype(np.int64)
-        order = np.lexsort((T.mix(self.hashes), grade, self.owner))
+        mixed = T.mix(self.hashes)
+        order = np.lexsort((mixed, grade, self.owner))
         hashes, owner = self.hashes[order], self.owner[order]
         # Entries met in the index: what the sketch holds beyond its mean load.
         met = np.r_[0.0, np.cumsum(np.maximum(seen[order] - sketch.mean(), 0.0))]
@@ -102,7 +105,12 @@ class Sets:
             best = np.minimum(cost, best)
         place = np.arange(len(hashes)) - begin[owner]
         inside = place < (base + matches)[owner]
-        return hashes[inside], owner[inside], matches
+        # Different elements may get one number: equal ones do not tell which prefix ends first.
+        rank = (grade.astype(np.uint64) << np.uint64(57) | mixed >> np.uint64(7)).astype(np.int64)[order]
+        last = np.zeros(len(self.sizes), np.int64)
+        some = self.sizes > 0
+        last[some] = rank[begin[some] + np.minimum(base + matches, self.sizes)[some] - 1]
+        return hashes[inside], owner[inside], matches, last
 
 
 def sketch_of(docs: DataFrame, n: int) -> np.ndarray:
@@ -144,7 +152,7 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
     def find(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
         for low, _, data, offsets in T.sliced(batch.column("text")):
-            hashes, owner, _ = Sets(data, offsets, n).prefixes(sent.value, least)
+            hashes, owner, *_ = Sets(data, offsets, n).prefixes(sent.value, least)
             own = known[owner + low]
             yield hashes[own], owner[own] + low
 
@@ -152,10 +160,11 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
         live, _ = repeats.told_ids(right)
         known = ~left.column("doc_id").is_null().to_numpy()
         pack = zstandard.ZstdCompressor(level=1)
-        sizes, sig_a, sig_b, asked, prefix, tokens, texts = [], [], [], [], [], [], []
+        sizes, sig_a, sig_b, asked, prefix, ends, tokens, texts = [], [], [], [], [], [], [], []
         for low, high, data, offsets in T.sliced(left.column("text")):
             sets = Sets(data, offsets, n)
-            hashes, owner, matches = sets.prefixes(sent.value, least)
+            hashes, owner, matches, last = sets.prefixes(sent.value, least)
+            ends.append(last)
             prefix.append(np.bincount(owner, minlength=high - low))
             hit = T.member(repeats.ids_of(hashes, blocks), live) & known[owner + low]
             hashes, owner = hashes[hit].view(np.int64), owner[hit]
@@ -173,7 +182,7 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
         join = lambda x, kind: pa.array(np.concatenate(x).astype(kind) if x else np.zeros(0, kind))
         return pa.table({
             "doc_id": left.column("doc_id"), "n_shingles": join(sizes, np.int64), "sig_a": join(sig_a, np.int64), "sig_b": join(sig_b, np.int64),
-            "matches": join(asked, np.int32), "prefix": join(prefix, np.int32), "tokens": pa.array(tokens, pa.list_(pa.int64())), "text": pa.array(texts, pa.binary()),
+            "matches": join(asked, np.int32), "prefix": join(prefix, np.int32), "last": join(ends, np.int64), "tokens": pa.array(tokens, pa.list_(pa.int64())), "text": pa.array(texts, pa.binary()),
         })
 
     live = repeats.repeated(rows, find, blocks)
@@ -237,16 +246,28 @@ def components(links: DataFrame) -> DataFrame:
     return stars.unionAll(edges.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
 
 
-def possible(n: str, alive: str, m: str, alive_too: str, percent: int):
-    """Can two sets of ``n`` and ``m`` elements be linked if only some of each occur in another set at all?"""
-    common = F.least(F.col(alive), F.col(alive_too))
-    return 100 * common >= percent * (F.col(n) + F.col(m) - common)
+def possible(percent: int):
+    """Can a class (n, behind, last, live) and a hub (m, behind_too, last_too, live_too) be linked, by ``asked_of``?"""
+    first = F.when(F.col("last") < F.col("last_too"), F.col("behind")).when(F.col("last") > F.col("last_too"), F.col("behind_too"))
+    behind = F.coalesce(first, F.greatest("behind", "behind_too"))
+    common = F.least(F.col("n"), F.col("m"), behind + F.least("live", "live_too"))
+    return 100 * common >= percent * (F.col("n") + F.col("m") - common)
+
+
+def asked_of(i: int, n: np.ndarray, matches: np.ndarray, behind: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
+    """How many prefix elements class i must share with each class to be linked.
+
+    An element that both hold and that is not in both prefixes lies behind the prefix that ends first.
+    """
+    overlap = -(-percent * (n + n[i]) // (100 + percent))
+    first = np.where(last < last[i], behind, np.where(last > last[i], behind[i], np.maximum(behind, behind[i])))
+    return np.where(overlap > np.minimum(n, n[i]), np.iinfo(np.int64).max, np.maximum(np.minimum(matches, matches[i]), overlap - first))
 
 
 def across(entries: DataFrame, least: float) -> DataFrame:
     """Pairs of classes in different components that share the matches they ask for.
 
-    ``entries``: token, rep, n, matches, alive, component. In a token's list the largest component's classes
+    ``entries``: token, rep, n, matches, behind, last, live, component. In a token's list the largest component's classes
     meet those of other components only, so a large group costs its length for each class outside it.
     """
     percent = round(least * 100)
@@ -255,22 +276,22 @@ def across(entries: DataFrame, least: float) -> DataFrame:
     entries = entries.join(mixed, "token").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int"))
 
     def pair(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).to_numpy() for c in ("token", "rep", "n", "matches", "alive", "component")]
+        columns = [table.column(c).to_numpy() for c in ("token", "rep", "n", "matches", "behind", "last", "live", "component")]
         found: list[np.ndarray] = []
-        for _, (r, n, m, alive, c) in repeats.split_by(*columns):
+        for _, (r, n, m, behind, last, live, c) in repeats.split_by(*columns):
             order = np.lexsort((r, c))
-            r, n, m, alive, c = r[order], n[order], m[order], alive[order], c[order]
+            r, n, m, behind, last, live, c = (x[order] for x in (r, n, m.astype(np.int64), behind, last, live, c))
             cuts = repeats.runs(c)
             largest = int(np.diff(cuts).argmax())
             outside = np.r_[np.arange(cuts[largest]), np.arange(cuts[largest + 1], len(c))]
             for i in outside.tolist():
                 # Once for each pair: outside classes after this one, and all of the largest component.
-                common = np.minimum(alive, alive[i])
-                other = (c != c[i]) & (100 * common >= percent * (n + n[i] - common))
+                asked = asked_of(i, n, m, behind, last, percent)
+                other = (c != c[i]) & (asked <= np.minimum(live, live[i]))
                 other[outside[outside <= i]] = False
                 j = np.flatnonzero(other)
                 if len(j):
-                    found.append(np.stack([np.minimum(r[i], r[j]), np.maximum(r[i], r[j]), np.minimum(m[i], m[j]).astype(np.int64)]))
+                    found.append(np.stack([np.minimum(r[i], r[j]), np.maximum(r[i], r[j]), asked[j]]))
         x = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
         return pa.table({"x": pa.array(x[0], pa.int64()), "y": pa.array(x[1], pa.int64()), "asked": pa.array(x[2], pa.int64())})
 
@@ -287,16 +308,16 @@ def join(docs: DataFrame, n: int = 5, least: float = 0.75) -> DataFrame:
     sets = scratch.written(indexed_sets(docs, n, least), "sets")
     live = sets.where(F.col("tokens").isNotNull())
     same = ["sig_a", "sig_b", "n_shingles"]
-    first = F.min_by(F.struct("matches", "prefix", "tokens", "text"), "doc_id").alias("first")
+    first = F.min_by(F.struct("matches", "prefix", "last", "tokens", "text"), "doc_id").alias("first")
     classes = scratch.written(live.groupBy(*same).agg(F.min("doc_id").alias("rep"), first).select("rep", F.col("n_shingles").alias("n"), "first.*"), "classes")
 
-    # ``alive`` bounds the elements that another class can share: all but the dead ones of the prefix.
-    alive = (F.col("n") - F.col("prefix") + F.size("tokens")).alias("alive")
-    entries = classes.select(F.explode("tokens").alias("token"), "rep", "n", "matches", alive)
+    behind = (F.col("n") - F.col("prefix")).alias("behind")
+    entries = classes.select(F.explode("tokens").alias("token"), "rep", "n", "matches", behind, "last", F.size("tokens").alias("live"))
     # The least altered class under an element: the one with the smallest share of dead elements.
-    best = F.min_by(F.struct("rep", "n", "alive"), F.struct(-F.col("alive") / F.col("n"), F.col("rep"))).alias("hub")
-    hubs = entries.groupBy("token").agg(best, F.count(F.lit(1)).alias("k")).where("k > 1").select("token", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("m"), F.col("hub.alive").alias("alive_too"))
-    met = entries.join(hubs, "token").where((F.col("rep") != F.col("hub")) & possible("n", "alive", "m", "alive_too", round(least * 100)))
+    best = F.min_by(F.struct("rep", "n", "behind", "last", "live"), F.struct(-(F.col("behind") + F.col("live")) / F.col("n"), F.col("rep"))).alias("hub")
+    hubs = entries.groupBy("token").agg(best, F.count(F.lit(1)).alias("k")).where("k > 1")
+    hubs = hubs.select("token", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("m"), *(F.col(f"hub.{c}").alias(f"{c}_too") for c in ("behind", "last", "live")))
+    met = entries.join(hubs, "token").where((F.col("rep") != F.col("hub")) & possible(round(least * 100)))
     met = met.groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("k"))
     few = F.slice(F.sort_array(F.collect_list(F.struct("k", "hub")), asc=False), 1, HUBS)
     near = met.groupBy("rep").agg(few.alias("few")).select("rep", F.explode("few").alias("h")).select(F.col("h.hub").alias("x"), F.col("rep").alias("y"))

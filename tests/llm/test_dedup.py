@@ -185,6 +185,19 @@ def test_ngram_join_of_many_variants(spark):
     assert counted(ngram_join.join(df)) == linked_components(rows)
 
 
+def test_ngram_join_of_extended_copies(spark):
+    """Extended, truncated and passage-heavy copies: what one holds in its prefix, others hold behind theirs."""
+    rng = random.Random(13)
+    new = lambda n: [f"u{rng.randrange(1 << 40)}" for _ in range(n)]
+    rows = []
+    for _ in range(25):
+        x, passage = new(79), new(50)
+        copies = [x, x + new(15), x + new(15), x[: rng.randint(60, 70)], new(8) + x + new(8)]
+        copies += [passage + new(k) for k in (10, 14, 20, 200, 300)] + [new(k) + passage for k in (12, 250)]
+        rows += [(len(rows) + i, " ".join(c)) for i, c in enumerate(copies)]
+    assert counted(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))) == linked_components(rows)
+
+
 def test_components_of_a_chain(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     df = spark.createDataFrame(pairs, "x long, y long")
