@@ -2,15 +2,15 @@
 
 All sets are put into one order, rare n-grams first. If two sets overlap by ``least`` of either size, then prefixes
 of n - ceil(least * n) + l elements share l elements at least: a longer prefix costs more index entries but asks
-for more shared ones before a pair is compared. Each document takes the l (1, or one of ``MATCHES`` as a share of
-its size) with the least estimated cost, from the frequencies of its own n-grams; a pair must share the smaller l
+for more shared ones before a pair is compared. Each document takes the l (one of ``MATCHES`` as a share of its
+size) with the least estimated cost, from the frequencies of its own n-grams; a pair must share the smaller l
 of the two. Frequencies come from a sketch over all documents (``COUNTERS`` numbers, whatever the size): they only
 set order and l.
 
 What follows loses no link between different texts and yet never lists the pairs of a group:
 
 1. Prefix elements that occur in no other prefix are dead (see ``repeats``); another set may still hold them behind its
-   prefix. A document with fewer than l others ends here, and most do.
+   prefix. A document with fewer others than any set linked with it could ask for ends here, and most do.
 2. Equal sets become one class. Classes stand for their documents from here on.
 3. Each class is compared with the class of fewest dead elements under its prefix elements (a few per class), which
    joins large groups of near copies into components by links to their least altered member.
@@ -52,6 +52,16 @@ HUBS = 3
 SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, matches int, prefix int, last long, tokens array<long>, text binary"
 
 
+def overlap_of(sizes: np.ndarray, least: float) -> np.ndarray:
+    """Elements that a set of this size shares with any set linked with it; such a set has as many at least."""
+    return -(-sizes * round(least * 100) // 100)
+
+
+def matches_of(sizes: np.ndarray, share: float, least: float) -> np.ndarray:
+    """l by size; never more than the overlap a link needs, so that the prefix stays inside the set."""
+    return np.clip(np.ceil(share * sizes).astype(np.int64), 1, np.maximum(overlap_of(sizes, least), 1))
+
+
 class Sets:
     """The n-gram sets of a slice: distinct hashes by document, and where each document begins."""
 
@@ -91,13 +101,11 @@ class Sets:
         hashes, owner = self.hashes[order], self.owner[order]
         # Entries met in the index: what the sketch holds beyond its mean load.
         met = np.r_[0.0, np.cumsum(np.maximum(seen[order] - sketch.mean(), 0.0))]
-        least_overlap = -(-self.sizes * round(least * 100) // 100)
-        base, begin = self.sizes - least_overlap, self.first[:-1]
+        base, begin = self.sizes - overlap_of(self.sizes, least), self.first[:-1]
         matches = np.ones(len(self.sizes), np.int64)
         best = np.full(len(self.sizes), np.inf)
-        for share in (0.0, *MATCHES):
-            # Never more than the overlap a link needs, so that the prefix stays inside the set.
-            l = np.clip(np.ceil(share * self.sizes).astype(np.int64), 1, np.maximum(least_overlap, 1))  # noqa: E741
+        for share in MATCHES:
+            l = matches_of(self.sizes, share, least)  # noqa: E741
             size = np.minimum(base + l, self.sizes)
             candidates = met[begin + size] - met[begin] + UNSEEN * size
             cost = size + COMPARE_COST * candidates * (1 - l / np.maximum(size, 1)) ** 4
@@ -169,6 +177,8 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
             hit = T.member(repeats.ids_of(hashes, blocks), live) & known[owner + low]
             hashes, owner = hashes[hit].view(np.int64), owner[hit]
             cuts = np.searchsorted(owner, np.arange(high - low + 1))
+            # The smallest l of its own or of any set linked with it, whatever share that one took.
+            fewest = np.minimum(matches, matches_of(overlap_of(sets.sizes, least), min(MATCHES), least))
             a, b = sets.signatures()
             sizes.append(sets.sizes)
             sig_a.append(a.view(np.int64))
@@ -176,7 +186,7 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
             asked.append(matches)
             for i in range(high - low):
                 own = hashes[cuts[i] : cuts[i + 1]]
-                goes_on = len(own) >= matches[i]
+                goes_on = len(own) >= fewest[i]
                 tokens.append(own if goes_on else None)
                 texts.append(pack.compress(data[offsets[i] : offsets[i + 1]].tobytes()) if goes_on else None)
         join = lambda x, kind: pa.array(np.concatenate(x).astype(kind) if x else np.zeros(0, kind))

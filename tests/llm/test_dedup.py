@@ -198,6 +198,20 @@ def test_ngram_join_of_extended_copies(spark):
     assert counted(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))) == linked_components(rows)
 
 
+def test_ngram_join_of_documents_that_ask_for_different_numbers(spark):
+    """A text that is mostly a frequent passage asks for many matches, its copy with rare text added for few."""
+    rng = random.Random(17)
+    new = lambda n: [f"u{rng.randrange(1 << 40)}" for _ in range(n)]
+    texts = []
+    for passage, own, added, holders in ((50, 6, 12, 200), (50, 5, 12, 200), (104, 10, 20, 300)):
+        common = new(passage)
+        x = common + new(own)
+        texts += [x, x + new(added)]
+        texts += [new(4 * passage) + common for _ in range(holders)]
+    rows = [(i, " ".join(x)) for i, x in enumerate(texts)]
+    assert counted(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))) == linked_components(rows)
+
+
 def test_components_of_a_chain(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     df = spark.createDataFrame(pairs, "x long, y long")
