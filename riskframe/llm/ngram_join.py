@@ -11,7 +11,7 @@ What follows loses no link between different texts and yet never lists the pairs
 
 1. Prefix elements that occur in no other prefix are dead (see ``repeats``); another set may still hold them behind its
    prefix. A document with fewer others than any set linked with it could ask for ends here, and most do.
-2. Equal sets become one class. Classes stand for their documents from here on.
+2. Equal sets become one class, whose id is a hash of the set. Classes stand for their documents from here on.
 3. Each class is compared with the class of fewest dead elements under its prefix elements (a few per class), which
    joins large groups of near copies into components by links to their least altered member.
 4. Elements whose classes are in different components are joined in full, across components only: pairs that share
@@ -317,9 +317,9 @@ def join(docs: DataFrame, n: int = 5, least: float = 0.75) -> DataFrame:
     """
     sets = scratch.written(indexed_sets(docs, n, least), "sets")
     live = sets.where(F.col("tokens").isNotNull())
-    same = ["sig_a", "sig_b", "n_shingles"]
+    live = live.withColumn("rep", F.xxhash64("sig_a", "sig_b", "n_shingles"))
     first = F.min_by(F.struct("matches", "prefix", "last", "tokens", "text"), "doc_id").alias("first")
-    classes = scratch.written(live.groupBy(*same).agg(F.min("doc_id").alias("rep"), first).select("rep", F.col("n_shingles").alias("n"), "first.*"), "classes")
+    classes = scratch.written(live.groupBy("rep", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("doc"), first).select("rep", "doc", "n", "first.*"), "classes")
 
     behind = (F.col("n") - F.col("prefix")).alias("behind")
     entries = classes.select(F.explode("tokens").alias("token"), "rep", "n", "matches", behind, "last", F.size("tokens").alias("live"))
@@ -340,9 +340,12 @@ def join(docs: DataFrame, n: int = 5, least: float = 0.75) -> DataFrame:
     bridges = far.join(name("x"), "x", "left").join(name("y"), "y", "left").select(F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y"))
     merged = components(bridges).select(F.col("id").alias("component"), F.col("component").alias("merged"))
 
-    known = known.join(merged, "component", "left").select(F.col("id").alias("rep"), F.coalesce("merged", "component").alias("component_id"))
-    alone = merged.select(F.col("component").alias("rep"), F.col("merged").alias("component_id")).join(known, "rep", "left_anti")
-    named = live.groupBy(*same).agg(F.min("doc_id").alias("rep")).join(known.unionAll(alone), "rep", "left")
-    named = named.select(*same, F.coalesce("component_id", "rep").alias("component_id"))
+    known = known.join(merged, "component", "left").select(F.col("id").alias("rep"), F.coalesce("merged", "component").alias("group"))
+    alone = merged.select(F.col("component").alias("rep"), F.col("merged").alias("group")).join(known, "rep", "left_anti")
+    docs_of = classes.select("rep", "doc")
+    grouped = known.unionAll(alone).join(docs_of, "rep")
+    least_doc = grouped.groupBy("group").agg(F.min("doc").alias("component_id"))
+    named = docs_of.join(grouped.select("rep", "group").join(least_doc, "group").select("rep", "component_id"), "rep", "left")
+    named = named.select("rep", F.coalesce("component_id", "doc").alias("component_id"))
     single = sets.where(F.col("tokens").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return single.unionAll(live.select("doc_id", *same).join(named, same).select("doc_id", "n_shingles", "component_id"))
+    return single.unionAll(live.select("doc_id", "n_shingles", "rep").join(named, "rep").select("doc_id", "n_shingles", "component_id"))

@@ -212,6 +212,15 @@ def test_ngram_join_of_documents_that_ask_for_different_numbers(spark):
     assert counted(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))) == linked_components(rows)
 
 
+def test_ngram_join_of_texts_under_one_doc_id(spark):
+    """Both texts of a repeated doc_id keep their links."""
+    rng = random.Random(19)
+    a, b, c = ([f"u{rng.randrange(1 << 40)}" for _ in range(60)] for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + ["x"]), (3, b + ["y"]), (7, c), (5, c + ["z"]), (5, a[:50]), (9, b), (-4, c + ["w"])]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    assert counted(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))) == linked_components(rows)
+
+
 def test_components_of_a_chain(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     df = spark.createDataFrame(pairs, "x long, y long")
