@@ -12,9 +12,11 @@ how early a part may stop. Queries are taken in blocks of ``QUERY_BLOCK`` vector
 rows, so that what is sent to the tasks is bounded. A part returns at most k rows of a query, and only
 those that reach the head's k-th score; they are merged by query.
 
-Defined results: rows with NULL vec_id, NULL vector, or a NULL, NaN or infinite component take no part, nor
-does one with a component of 2**20 / scale or more (its products could leave the exact range). A shorter vector
-counts as filled with zeros. Rows that share the query's vec_id are its own and no candidates. Repeated rows of
+Sums of doubles are exact only below 2**53. A vector of length 2**26 or more takes another path: it meets all
+others in 64-bit integers, and what these may not hold is summed in whole numbers of any size.
+
+Defined results: rows with NULL vec_id, NULL vector, or a NULL, NaN or infinite component take no part. A
+component or score that 64 bits do not hold fails the job. A shorter vector counts as filled with zeros. Rows that share the query's vec_id are its own and no candidates. Repeated rows of
 other ids are candidates each. Ties go to the smaller vec_id. Empty tables give an empty result.
 """
 
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 64
-LARGEST = 1 << 20
+EXACT_NORM2 = float(1 << 52)
 HEAD = 4_096
 QUERY_BLOCK = 16_384
 QUERY_ROWS = ITEM_ROWS = 512
@@ -38,22 +40,28 @@ FOUND = "query_id long, vec_id long, score long"
 
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v, norm2): floor(scale * x) of each component, for rows that take part."""
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
+
+    def whole(x: Column) -> Column:
+        y = F.floor(x.cast("double") * F.lit(float(scale)))
+        held = F.abs(x.cast("double") * F.lit(float(scale))) < F.lit(2.0**63)
+        return F.when(held, y).otherwise(F.raise_error(F.lit("op9: a scaled component does not fit 64 bits")).cast("long"))
+
+    scaled = F.transform("embedding", whole)
     right: Column = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(LARGEST / scale)))
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
     own = vectors.where(right & fine).select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"))
-    norm2 = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)
+    norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     return own.select("vec_id", "v", norm2.alias("norm2"))
 
 
-def matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of whole numbers as doubles (exact), filled up with zeros."""
+def matrix(column: pa.Array, width: int, kind: type = np.float64) -> np.ndarray:
+    """Rows of whole numbers, as doubles exact below 2**53, filled up with zeros."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     sizes = np.diff(column.offsets.to_numpy())
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
     if len(sizes) and (sizes == width).all():
         return flat.reshape(-1, width)
-    out = np.zeros((len(sizes), width))
+    out = np.zeros((len(sizes), width), kind)
     row = np.repeat(np.arange(len(sizes)), sizes)
     out[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
     return out
@@ -144,21 +152,84 @@ class Block:
         return [(np.full(len(f), own.start + q), i, f) for q, (i, f) in enumerate(best) if len(f)]
 
 
+def exact_scores(queries: np.ndarray, items: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Inner products of 64-bit integers where ``wanted``; one that 64 bits do not hold is an error."""
+    q, x = queries.astype(np.float64), items.astype(np.float64)
+    error = np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)) * (4 * q.shape[1] * np.finfo(np.float64).eps)
+    score = queries @ items.T  # modulo 2**64, so right whenever it fits
+    for a, b in zip(*np.nonzero(wanted & (np.abs(q @ x.T) + error >= 2.0**63))):
+        whole = sum(i * j for i, j in zip(queries[a].tolist(), items[b].tolist()))
+        if not -(1 << 63) <= whole < 1 << 63:
+            raise ArithmeticError("op9: a score does not fit 64 bits")
+        score[a, b] = whole
+    return score
+
+
+def search_long(queries: DataFrame, items: DataFrame, width: int, k: int, n: int) -> DataFrame | None:
+    """At most k rows of a query and batch, of the pairs with a vector of length 2**26 or more."""
+    spark = items.sparkSession
+    found = None
+    blocks = -(-n // QUERY_BLOCK)
+    for i in range(blocks):
+        own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i).select("vec_id", "v", "norm2").distinct().toArrow()
+        is_long = own.column("norm2").to_numpy() >= EXACT_NORM2
+        sent = spark.sparkContext.broadcast((own.column("vec_id").to_numpy(), matrix(own.column("v"), width, np.int64), is_long))
+
+        def look(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            all_ids, vectors, all_long = sent.value
+            for batch in batches:
+                item_ids, item_long = batch.column("vec_id").to_numpy(), batch.column("norm2").to_numpy() >= EXACT_NORM2
+                item_vectors = matrix(batch.column("v"), width, np.int64)
+                for low in range(0, len(all_ids), QUERY_ROWS):
+                    part = slice(low, low + QUERY_ROWS)
+                    # Without a long item only the long queries have pairs here.
+                    own = np.arange(len(all_ids))[part] if item_long.any() else np.flatnonzero(all_long[part]) + low
+                    if not len(own):
+                        continue
+                    absent = np.ones((len(own), 0), bool)
+                    score, ids = np.zeros((len(own), 0), np.int64), np.zeros((len(own), 0), np.int64)
+                    for at in range(0, len(item_ids), ITEM_ROWS):
+                        of = slice(at, at + ITEM_ROWS)
+                        wanted = (all_long[own][:, None] | item_long[of]) & (all_ids[own][:, None] != item_ids[of])
+                        if not wanted.any():
+                            continue
+                        score = np.concatenate([score, exact_scores(vectors[own], item_vectors[of], wanted)], axis=1)
+                        ids = np.concatenate([ids, np.broadcast_to(item_ids[of], wanted.shape)], axis=1)
+                        absent = np.concatenate([absent, ~wanted], axis=1)
+                        # ~score falls as score rises, without leaving the range.
+                        keep = np.lexsort((ids, ~score, absent), axis=1)[:, :k]
+                        score, ids, absent = (np.take_along_axis(t, keep, axis=1) for t in (score, ids, absent))
+                    query, place = np.nonzero(~absent)
+                    columns = (all_ids[own][query], ids[query, place], score[query, place])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+
+        part = items.select("vec_id", "v", "norm2").mapInArrow(look, FOUND)
+        found = part if found is None else found.unionAll(part)
+    return found
+
+
 def search(queries: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the k items with the highest inner products for each query.
 
     Both as made by ``integers``; the query's own vec_id is no candidate.
     """
     spark = items.sparkSession
-    width = items.agg(F.max(F.size("v"))).first()[0] or 0
+    is_long = F.col("norm2") >= EXACT_NORM2
+    # Queries too, so that a longer one is not cut; what it has beyond the items meets zeros.
+    width, long_items = items.agg(F.max(F.size("v")), F.count_if(is_long)).first()
+    widest, n, long_queries = queries.agg(F.max(F.size("v")), F.count(F.lit(1)), F.count_if(is_long)).first()
+    width = max(width or 0, widest or 0) if width else 0
     if not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    found = None
+    if long_items or long_queries:
+        # Long items meet every query; the others only the long queries.
+        found = search_long(queries, items if long_queries else items.where(is_long), width, k, n)
+        queries, items, n = queries.where(~is_long), items.where(~is_long), n - long_queries
     axes = axes_of(items, width)
     head = items.orderBy(F.desc("norm2"), "vec_id").limit(HEAD).toArrow()
     head_ids, head_vectors = head.column("vec_id").to_numpy(), matrix(head.column("v"), width)
-    n = queries.count()
     blocks = -(-n // QUERY_BLOCK)
-    found = None
     for i in range(blocks):
         own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i).select("vec_id", "v").distinct().toArrow()
         block = Block(own.column("vec_id").to_numpy(), matrix(own.column("v"), width), axes, k)

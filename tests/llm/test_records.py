@@ -286,6 +286,33 @@ def test_top_k_edges(spark):
     assert topk.search(few.where("vec_id = 5"), few).collect() == []
 
 
+def test_top_k_of_long_vectors(spark, monkeypatch):
+    """Components beyond the range in which doubles are exact, as queries and as candidates."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(topk, "ITEM_ROWS", 16)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    rng = random.Random(23)
+    data = [(i, [float(rng.randint(-9, 9)) / 64 for _ in range(6)]) for i in range(120)]
+    data += [(200 + i, [rng.choice([-1, 1]) * 2.0 ** rng.randint(15, 20) + rng.randint(-5, 5) for _ in range(6)]) for i in range(40)]
+    data += [(300, [2.0**50, 3.0]), (301, [0.0, 5.0, 2.0**28]), (302, [20_000.0] + [0.0] * 5), (303, [20_000.0] + [0.0] * 5), (304, [float("inf")]), (305, [float("nan")])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in data if all(map(math.isfinite, v))}
+    expected = set()
+    kept = {i: v for i, v in whole.items() if i != 300}
+    for q, v in kept.items():
+        if q % 5 == 0 or q > 190:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in kept.items() if i != q)[:20]
+            expected |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
+    assert max(abs(s) for *_, s in expected) > 1 << 53
+    vectors = topk.integers(df.where("vec_id <> 300"))
+    got = topk.search(vectors.where("vec_id % 5 = 0 or vec_id > 190"), vectors, 20).collect()
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+    # A score beyond 64 bits is an error, not a lost row.
+    vectors = topk.integers(df)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.search(vectors.where("vec_id = 300"), vectors, 20).collect()
+
+
 # -- decontamination ------------------------------------------------------------------------
 
 
