@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, language, licenses, mixing, ngram_join, pii, scratch, substring_dedup, suffix_dedup, topk, warc
+from riskframe.llm import decontaminate, language, licenses, manifest, mixing, ngram_join, pii, scratch, site_tree, substring_dedup, suffix_dedup, topk, variants, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -209,3 +209,114 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
 """
+
+
+#: One row: the remainders of one byte, for checksums.
+_CRC = "crc AS (SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS remainders FROM range(256) t(i))"
+
+
+def _crc32(text: str) -> str:
+    """Checksum of a non-NULL text, byte by byte; reads the row of ``crc``."""
+    bytes_ = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::INT, 2))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295], {bytes_}), lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    return manifest.proofs(manifest.manifest(table(spark, sf, "documents")))
+
+
+def _field(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::VARCHAR)) || ':' || {column}::VARCHAR, '-')"
+
+
+ORACLE["op11_merkle_manifest"] = rf"""
+WITH RECURSIVE {_CRC}, d AS (
+  SELECT doc_id, source, {" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS front, text,
+    CASE WHEN doc_id IS NOT NULL THEN {_crc32("coalesce(doc_id::VARCHAR, '')")} % 2 = 0 ELSE false END AS picked FROM documents CROSS JOIN crc
+), h AS (
+  SELECT doc_id, source, sha256(front || {_field("text")}) AS leaf,
+    CASE WHEN picked THEN sha256(front || {_field("replace(text, chr(10), '')")}) END AS changed FROM d
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, changed NULLS FIRST) - 1 AS pos FROM h
+), nodes AS (
+  SELECT source, 0 AS level, pos, leaf AS x, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, pos // 3, sha256(string_agg(x, '' ORDER BY pos)), (max(n) + 2) // 3 FROM nodes WHERE n > 1 GROUP BY source, level, pos // 3
+), subroots AS (
+  SELECT source, x AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1
+), upper_nodes AS (
+  SELECT 0 AS level, pos, subroot AS x, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(x, '' ORDER BY pos)), (max(n) + 2) // 3 FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 3
+), siblings AS (
+  SELECT a.source, a.level, a.pos, coalesce(string_agg(b.x, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.x, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.source, a.level, a.pos
+), upper_siblings AS (
+  SELECT a.level, a.pos, coalesce(string_agg(b.x, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.x, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM upper_nodes a JOIN upper_nodes b ON a.level = b.level AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.level, a.pos
+), folded AS (
+  SELECT source, pos, 0 AS level, pos AS place, '' AS proof, coalesce(changed, leaf) AS x FROM leaves
+  UNION ALL
+  SELECT f.source, f.pos, f.level + 1, f.place // 3, f.proof || s.l || s.r, sha256(s.l || f.x || s.r)
+  FROM folded f JOIN siblings s ON f.source IS NOT DISTINCT FROM s.source AND f.level = s.level AND f.place = s.pos
+), below AS (
+  SELECT source, pos, arg_max(proof, level) AS proof, arg_max(x, level) AS x FROM folded GROUP BY source, pos
+), climbed AS (
+  SELECT b.source, b.pos, 0 AS level, s.pos AS place, b.proof, b.x FROM below b JOIN subroots s ON b.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT c.source, c.pos, c.level + 1, c.place // 3, c.proof || s.l || s.r, sha256(s.l || c.x || s.r)
+  FROM climbed c JOIN upper_siblings s ON c.level = s.level AND c.place = s.pos
+), ends AS (
+  SELECT source, pos, arg_max(proof, level) AS proof, arg_max(x, level) AS x FROM climbed GROUP BY source, pos
+)
+SELECT l.doc_id, l.leaf, s.subroot, u.x AS root, sha256(e.proof) AS proof_sha256, e.x AS folded_root, e.x = u.x AS verified
+FROM leaves l JOIN ends e ON l.source IS NOT DISTINCT FROM e.source AND l.pos = e.pos JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+CROSS JOIN (SELECT x FROM upper_nodes WHERE n = 1) u
+"""
+
+
+@query
+def op12_html_main_text(spark, sf):
+    return site_tree.extract(table(spark, sf, "pages"))
+
+
+@query
+def op13_spelling_variants(spark, sf):
+    return variants.grouped(table(spark, sf, "documents"))
+
+
+ORACLE["op13_spelling_variants"] = rf"""
+WITH RECURSIVE {_CRC}, runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), d AS (
+  SELECT doc_id, run, count(*) AS k FROM runs GROUP BY doc_id, run
+), h AS (
+  SELECT run, k, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM d CROSS JOIN crc
+), spelt AS (
+  SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM h
+), words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+), cut AS (
+  SELECT word, i, substr(word, 1, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT a.word, a.rest FROM cut a SEMI JOIN words w ON a.rest = w.word
+  UNION
+  SELECT a.rest, a.word FROM cut a SEMI JOIN words w ON a.rest = w.word
+), best AS (
+  SELECT p.word, count(*) AS n_near, arg_min(other, (-w.n, encode(other))) AS form, max(w.n) AS form_n FROM pairs p JOIN words w ON p.other = w.word GROUP BY p.word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), path AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL
+  SELECT p.word, f.form FROM path p JOIN formed f ON p.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, p.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN path p ON f.word = p.word JOIN formed r ON p.root = r.word WHERE r.form IS NULL
+"""

@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
