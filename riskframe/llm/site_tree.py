@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm import scratch
+
 LEAST = 0.6
 DECAY = 0.9
 FEW = 3
@@ -357,7 +359,7 @@ def removed_branches(seen: DataFrame, least: float = LEAST, few: int = FEW) -> D
 
 def extract(pages: DataFrame, least: float = LEAST, few: int = FEW) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    seen = style_rows(pages)
+    seen = scratch.written(style_rows(pages), "styles")
     rows = pages.select("page_id", "url", "html", row_key().alias("rid")).join(removed_branches(seen, least, few), "rid", "left")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
