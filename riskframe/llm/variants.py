@@ -79,14 +79,14 @@ def step(prefix: Column, count: Column) -> Column:
 
 
 def subtrees(table: DataFrame, most: int = SUBTREE) -> tuple[DataFrame, DataFrame]:
-    """The words of (word, n, counts) with their subtree, and askers: each word under every subtree that its budget reaches.
+    """The words of (word, n, counts, node), all at the root, with their subtree, and askers: each word under every subtree that its budget reaches.
 
     Nodes with more than ``most`` words are split by the next count. A split's nodes are fewer than the words by that
     factor, so the table that routes is narrow; both it and the words are joined on the node.
     """
     depth = GROUPS + 1
-    members = table.withColumn("node", F.lit(""))
-    askers = table.withColumns({"node": F.lit(""), "more": F.lit(1), "less": F.lit(1)})
+    members = table
+    askers = table.withColumns({"more": F.lit(1), "less": F.lit(1)})
     done_members, done_askers = [], []
     for d in range(depth + 1):
         sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
@@ -220,7 +220,7 @@ def search(table: pa.Table) -> pa.Table:
 
 def near_words(table: DataFrame, most: int = SUBTREE, askers: int = ASKERS) -> DataFrame:
     """(word, n_near, form_n, form) of the words of (word, n) that have a near word; ``form`` is the most frequent one."""
-    counted = scratch.written(table.select("word", F.col("n").cast("long").alias("n"), counts_of(F.col("word")).alias("counts")), "words")
+    counted = scratch.written(table.select("word", F.col("n").cast("long").alias("n"), counts_of(F.col("word")).alias("counts"), F.lit("").alias("node")), "words")
     members, asking = subtrees(counted, most)
     asking = scratch.written(asking, "asking")
     numbers = asking.groupBy("node").agg(F.count(F.lit(1)).alias("asked"))
