@@ -10,9 +10,11 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -24,6 +26,8 @@ from riskframe.operators.evaluate import cv_report, evaluate_at, ranking_metrics
 from riskframe.operators.sampling import stratified_folds, with_group_folds
 from riskframe.sources.io import shared_folder
 
+TreeModel = GBTClassificationModel | RandomForestClassificationModel
+
 DUMMY, LOGREG, GBT, FOREST, GBT_SUB = "dummy", "logreg", "hist_gb", "random_forest", "lgbm"
 
 # Settings of the candidates at the two grains. ``leaves`` becomes a depth.
@@ -163,19 +167,23 @@ class Candidate(Estimator):
         heavy = F.when(F.col(self.label).cast("int") == 1, n / (2 * counts[1]))
         return heavy.otherwise(n / (2 * counts[0]))
 
+    def penalty(self, counts: Mapping[int, int]) -> float:
+        """L2 strength relative to the mean loss; weights of either kind add up to the row count."""
+        return 1.0 / (self.getOrDefault("inversePenalty") * sum(counts.values()))
+
+    def training_rows(self, rows: DataFrame, counts: Mapping[int, int]) -> DataFrame:
+        """(features, _label, _weight) of encoded rows."""
+        return rows.select(
+            "features", F.col(self.label).cast("double").alias("_label"), self._weight(counts).alias("_weight")
+        )
+
     def fit_encoded(self, rows: DataFrame, counts: Mapping[int, int]):
         """Classifier fitted on rows that hold the feature vector and the label already."""
         classifier = self.classifier.copy()
         if isinstance(classifier, LogisticRegression):
-            # Weights of either kind add up to the row count.
-            strength = self.getOrDefault("inversePenalty") * sum(counts.values())
-            classifier.setRegParam(1.0 / strength)
+            classifier.setRegParam(self.penalty(counts))
         classifier.setFeaturesCol("features").setLabelCol("_label").setWeightCol("_weight")
-        return classifier.fit(
-            rows.select(
-                "features", F.col(self.label).cast("double").alias("_label"), self._weight(counts).alias("_weight")
-            )
-        )
+        return classifier.fit(self.training_rows(rows, counts))
 
     def fit_with(self, df: DataFrame, state: FittedEncoder) -> PipelineModel:
         """Fit with preprocessing that was fitted on the same rows, with scaling."""
@@ -245,7 +253,7 @@ def make_candidates(
 
     balanced = preset["balanced"]
     forest = preset[FOREST]
-    linear = LogisticRegression(maxIter=preset[LOGREG]["iterations"], tol=1e-6, elasticNetParam=0.0, standardization=False)
+    linear = LogisticRegression(maxIter=preset[LOGREG]["iterations"], tol=1e-9, elasticNetParam=0.0, standardization=False)
     trees = RandomForestClassifier(
         numTrees=forest["trees"], minInstancesPerNode=forest["min_rows"], maxDepth=forest.get("depth", DEEPEST),
         featureSubsetStrategy="sqrt", maxBins=MAX_BINS, seed=seed,
@@ -383,24 +391,69 @@ def holdout_table(
     return evaluate_at(scores, "candidate", wanted, y, p).withColumnRenamed("label", "name")
 
 
+def tree_slice(model: TreeModel, low: int, high: int) -> TreeModel:
+    """The model of the trees from ``low`` to ``high``, under the same column names."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+
+    def part_of(values, kind):
+        taken = gateway.new_array(kind, high - low)
+        for i in range(low, high):
+            taken[i - low] = values[i]
+        return taken
+
+    if isinstance(model, GBTClassificationModel):
+        trees = part_of(java.trees(), ml.regression.DecisionTreeRegressionModel)
+        weights = part_of(java.treeWeights(), gateway.jvm.double)
+        part = GBTClassificationModel(ml.classification.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, 2))
+    else:
+        trees = part_of(java.trees(), ml.classification.DecisionTreeClassificationModel)
+        part = RandomForestClassificationModel(ml.classification.RandomForestClassificationModel(model.uid, trees, model.numFeatures, model.numClasses))
+    return part.setFeaturesCol(model.getFeaturesCol())
+
+
+def prefix_scores(model: TreeModel, rows: DataFrame, sizes: Sequence[int], keep: Sequence[str] = ()) -> DataFrame:
+    """Rows (keep, size, p): scores of the first ``size`` trees of one fitted model, each tree evaluated once.
+
+    Boosting adds up its trees' margins, so the first n rounds of a fit score as a fit of n rounds does; a forest adds up its
+    trees' votes. The trees between two sizes are a model of their own, and its sums are added to those before.
+    """
+    cuts = sorted({min(int(n), len(model.treeWeights)) for n in sizes})
+    raw = []
+    for i, (low, high) in enumerate(zip([0, *cuts], cuts)):
+        name = f"_raw{i}"
+        part = tree_slice(model, low, high).setRawPredictionCol(name).setProbabilityCol("").setPredictionCol("")
+        rows = part.transform(rows)
+        raw.append(vector_to_array(name))
+    scores, for_, against = [], F.lit(0.0), F.lit(0.0)
+    for n, votes in zip(cuts, raw):
+        against, for_ = against + votes[0], for_ + votes[1]
+        p = 1 / (1 + F.exp(-2 * for_)) if isinstance(model, GBTClassificationModel) else for_ / (for_ + against)
+        scores.append(F.struct(F.lit(n).alias("size"), p.alias("p")))
+    return rows.select(*keep, F.inline(F.array(*scores)))
+
+
 def learning_curve(
     candidate: Candidate, train: DataFrame, test: DataFrame, sizes: Sequence[int],
 ) -> DataFrame:
-    """Rows (size, train_auc, test_auc) of refits with a growing number of trees."""
+    """Rows (size, train_auc, test_auc) for a growing number of trees, all of one fit with the most of them."""
     shared_folder(train.sparkSession)
     name = "maxIter" if candidate.classifier.hasParam("maxIter") else "numTrees"
-    state = fit_state(candidate, train)
-    parts = []
-    for size in sizes:
-        model = candidate.copy({candidate.param(name): int(size)}).fit_with(train, state)
-        for part, rows in (("train", train), ("test", test)):
-            parts.append(
-                score(model, rows).select(
-                    F.lit(int(size)).alias("size"), F.lit(part).alias("part"),
-                    F.col(candidate.label).cast("int").alias("y"), "p",
-                )
-            )
-    scores = reduce(DataFrame.unionByName, parts).checkpoint()
-    aucs = ranking_metrics(scores, by=["size", "part"])
-    at = lambda part: F.max(F.when(F.col("part") == part, F.col("roc_auc")))
-    return aucs.groupBy("size").agg(at("train").alias("train_auc"), at("test").alias("test_auc"))
+    largest = candidate.copy({candidate.param(name): max(int(n) for n in sizes)}).fit(train)
+    return ranking_curve(largest, candidate.label, train, test, sizes)
+
+
+def ranking_curve(fitted: PipelineModel, label: str, train: DataFrame, test: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """Rows (size, n_train, n_test, train_auc, test_auc) of the first trees of a fitted pipeline."""
+    encoder = PipelineModel(fitted.stages[:-1])
+    parts = [
+        encoder.transform(rows).select("features", F.lit(part).alias("part"), F.col(label).cast("int").alias("y"))
+        for part, rows in (("train", train), ("test", test))
+    ]
+    scores = prefix_scores(fitted.stages[-1], parts[0].unionByName(parts[1]), sizes, ["part", "y"]).checkpoint()
+    aucs = ranking_metrics(scores, by=["size", "part"]).join(scores.groupBy("size", "part").agg(F.count(F.lit(1)).alias("rows")), ["size", "part"])
+    at = lambda part, c: F.max(F.when(F.col("part") == part, F.col(c)))
+    return aucs.groupBy("size").agg(
+        at("train", "rows").alias("n_train"), at("test", "rows").alias("n_test"),
+        at("train", "roc_auc").alias("train_auc"), at("test", "roc_auc").alias("test_auc"),
+    )

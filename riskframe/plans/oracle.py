@@ -714,8 +714,17 @@ def oracle() -> dict[str, str]:
     halves = f"""SELECT count(*) FILTER (rn > round(n * 2e-1)) AS n_train, count(*) FILTER (rn <= round(n * 2e-1)) AS n_test,
         count(*) FILTER (rn <= round(n * 2e-1) AND reached_2000 = 1) AS positives FROM (
         SELECT *, {hash_place('entity_id', by='reached_2000')} AS rn, count(*) OVER (PARTITION BY reached_2000) AS n FROM {labelled})"""
-    for name in ("fit_logreg", "fit_forest", "fit_gbt", "fit_gbt_subsampled"):
-        sql[name] = select("n_train:i n_test:i positives:i separates_somewhat:b", f"SELECT *, true AS separates_somewhat FROM ({halves})", "m2000")
+    audits = {"fit_logreg": ["gradient_is_zero"], "fit_forest": ["leaves_add_up"]}
+    audits |= {name: ["leaves_add_up", "leaves_are_full", "loss_falls"] for name in ("fit_gbt", "fit_gbt_subsampled")}
+    for name, facts in audits.items():
+        facts = ["auc_above_majority", *facts]
+        sql[name] = select(
+            "n_train:i n_test:i positives:i " + " ".join(f"{f}:b" for f in facts), "SELECT *, " + ", ".join(f"true AS {f}" for f in facts) + f" FROM ({halves})", "m2000"
+        )
+    sql["learning_curve"] = select(
+        "size:i n_train:i n_test:i train_above_majority:b last_is_the_fit:b",
+        f"SELECT unnest([50, 100, 200, 400, 600, 800]) AS size, n_train, n_test, true AS train_above_majority, true AS last_is_the_fit FROM ({halves})", "m2000",
+    )
     sql["random_search"] = "SELECT 12::BIGINT AS n_settings, 1::BIGINT AS n_best, true AS best_is_greatest, true AS best_is_returned"
     sql["ablation"] = select(
         "n_test:i n_dropped:i n_variants:i same_settings:b", f"SELECT n_test, 6 AS n_dropped, 4 AS n_variants, true AS same_settings FROM ({halves})", "m2000"

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings labels".split()
 # The llm subpackage has its own tests; fits that take a minute or more are left to the driver.
 OWN = sorted(n for n in QUERIES if n in entry_point.oracle_sql())
-SLOW = {"fit_gbt", "fit_gbt_subsampled", "fit_forest", "random_search", "select_k", "segment_entities", "train_save_rank", "ablation"}
+SLOW = {"fit_gbt", "fit_gbt_subsampled", "fit_forest", "random_search", "select_k", "segment_entities", "train_save_rank", "ablation", "learning_curve"}
 COMPARED = [n for n in OWN if n not in SLOW]
 
 
