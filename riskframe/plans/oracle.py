@@ -717,7 +717,7 @@ def oracle() -> dict[str, str]:
     audits = {"fit_logreg": ["gradient_is_zero"], "fit_forest": ["leaves_add_up"]}
     audits |= {name: ["leaves_add_up", "leaves_are_full", "loss_falls"] for name in ("fit_gbt", "fit_gbt_subsampled")}
     for name, facts in audits.items():
-        facts = ["auc_above_majority", *facts]
+        facts = ["train_auc_above_majority", *facts]
         sql[name] = select(
             "n_train:i n_test:i positives:i " + " ".join(f"{f}:b" for f in facts), "SELECT *, " + ", ".join(f"true AS {f}" for f in facts) + f" FROM ({halves})", "m2000"
         )
