@@ -25,6 +25,7 @@ from riskframe.operators.encode import FittedEncoder, TabularEncoder, fit_encode
 from riskframe.operators.evaluate import cv_report, evaluate_at, ranking_metrics
 from riskframe.operators.sampling import stratified_folds, with_group_folds
 from riskframe.sources.io import shared_folder
+from riskframe.sources.ledger import Ledger, fingerprint
 
 TreeModel = GBTClassificationModel | RandomForestClassificationModel
 
@@ -190,6 +191,12 @@ class Candidate(Estimator):
         encoder = (state if self.scaled else state.unscaled()).model()
         return PipelineModel([*encoder.stages, self.fit_encoded(encoder.transform(df), self.counts(df))])
 
+    def settings(self) -> dict:
+        """All that a fit depends on beside its rows, as plain values."""
+        inner = {p.name: v for p, v in self.classifier.extractParamMap().items()} if self.classifier is not None else {}
+        kind = type(self.classifier).__name__
+        return {"kind": kind, "classifier": inner, "encoder": self.encoder.settings, "label": self.label, "balanced": self.balanced, "inverse": self.getOrDefault("inversePenalty")}
+
     @property
     def scaled(self) -> bool:
         return self.encoder.settings["scale"]
@@ -294,7 +301,7 @@ def as_params(candidate: Candidate, setting: Mapping) -> dict[Param, object]:
 
 def random_search(
     candidate: Candidate, grid: Mapping[str, list], df: DataFrame, key: str,
-    n_iter: int = 25, folds: int = 5, seed: int = 42, parallelism: int = 4,
+    n_iter: int = 25, folds: int = 5, seed: int = 42, parallelism: int = 4, ledger: Ledger | None = None,
 ) -> tuple[Candidate, dict, DataFrame]:
     """(candidate with the best settings, those settings, table of all settings with mean AUC)."""
     shared_folder(df.sparkSession)
@@ -302,7 +309,7 @@ def random_search(
     maps = [as_params(candidate, s) for s in settings]
     folded = stratified_folds(df, key, candidate.label, folds, seed, "_fold").checkpoint()
     tried = {str(i): candidate.copy(m) for i, m in enumerate(maps)}
-    oof = out_of_fold(tried, folded, "_fold", folds, ["test"], parallelism)
+    oof = out_of_fold(tried, folded, "_fold", folds, ["test"], parallelism, ledger)
     means = ranking_metrics(oof, by=["candidate", "fold"]).groupBy("candidate").agg(F.avg("roc_auc").alias("auc"))
     aucs = {int(r["candidate"]): r["auc"] for r in means.collect()}
     best = max(range(len(settings)), key=lambda i: aucs[i])
@@ -315,31 +322,40 @@ def random_search(
 
 def out_of_fold(
     candidates: Mapping[str, Candidate], df: DataFrame, fold: str, folds: int,
-    parts: Sequence[str] = ("test", "train"), parallelism: int = 4,
+    parts: Sequence[str] = ("test", "train"), parallelism: int = 4, ledger: Ledger | None = None,
 ) -> DataFrame:
     """Scores (candidate, fold, part, y, p) of every fold by models fitted on the others.
 
     The candidates have the same columns, so preprocessing is fitted once per fold, on the
     rows outside it. ``part`` is 'test' for the held-out fold and 'train' for the rows
-    fitted on. Scores are written to the checkpoint folder, so metrics do not score again.
+    fitted on. At most ``parallelism`` fits run at a time, of one fold or of several.
+
+    Scores are written to the checkpoint folder, so metrics do not score again. With a ``ledger`` each candidate's scores of a fold
+    are a part of it, named by the rows, the fold and the candidate's settings, and a part that is there is not fitted again.
     """
-    shared_folder(df.sparkSession)
-    fitted = [c for c in candidates.values() if c.classifier is not None]
+    spark = df.sparkSession
+    shared_folder(spark)
     any_one = next(iter(candidates.values()))
-    label = any_one.label
-    out = None
-    for i in range(folds):
-        train = df.where(F.col(fold) != i)
-        counts = any_one.counts(train)
-        encoded = {}
+    label, source = any_one.label, fingerprint(df) if ledger else ""
+    in_thread = inheritable_thread_target(spark)
+
+    def key_of(i: int, candidate: Candidate) -> dict:
+        return {"input": source, "fold": i, "of": fold, "parts": sorted(parts), "settings": candidate.settings()}
+
+    def fold_scores(i: int) -> DataFrame:
+        missing = {n: c for n, c in candidates.items() if not (ledger and ledger.done(key_of(i, c)))}
+        fitted = [c for c in missing.values() if c.classifier is not None]
+        encoded, counts = {}, {}
+        if missing:
+            train = df.where(F.col(fold) != i)
+            counts = any_one.counts(train)
         if fitted:
             state = fit_state(fitted[0], train)
             for scaled in {c.scaled for c in fitted}:
                 encoder = (state if scaled else state.unscaled()).model()
                 encoded[scaled] = encoder.transform(df).select(fold, label, "features").persist()
 
-        def scores_of(item, i=i, counts=counts, encoded=encoded):
-            name, candidate = item
+        def scores_of(candidate: Candidate) -> DataFrame:
             if candidate.classifier is None:
                 rows, p = df, F.lit(candidate.constant(counts))
             else:
@@ -347,30 +363,35 @@ def out_of_fold(
                 rows = candidate.fit_encoded(rows.where(F.col(fold) != i), counts).transform(rows)
                 p = vector_to_array("probability")[1]
             part = F.when(F.col(fold) == i, "test").otherwise("train")
-            return rows.select(
-                F.lit(name).alias("candidate"), F.lit(i).alias("fold"), part.alias("part"),
-                F.col(label).cast("int").alias("y"), p.alias("p"),
-            ).where(F.col("part").isin(*parts))
+            return rows.select(part.alias("part"), F.col(label).cast("int").alias("y"), p.alias("p")).where(F.col("part").isin(*parts))
+
+        def found_of(item) -> DataFrame:
+            name, candidate = item
+            rows = ledger.table(key_of(i, candidate), lambda: scores_of(candidate)) if ledger else scores_of(candidate)
+            return rows.select(F.lit(name).alias("candidate"), F.lit(i).alias("fold"), "part", "y", "p")
 
         with ThreadPool(min(parallelism, len(candidates))) as pool:
-            found = pool.map(inheritable_thread_target(df.sparkSession)(scores_of), candidates.items())
-        scores = reduce(DataFrame.unionByName, found).checkpoint()
+            found = pool.map(in_thread(found_of), candidates.items())
+        scores = reduce(DataFrame.unionByName, found)
+        scores = scores if ledger else scores.checkpoint()
         for rows in encoded.values():
             rows.unpersist()
-        out = scores if out is None else out.unionByName(scores)
-    return out
+        return scores
+
+    with ThreadPool(max(1, min(folds, parallelism // len(candidates)))) as pool:
+        return reduce(DataFrame.unionByName, pool.map(in_thread(fold_scores), range(folds)))
 
 
 def cross_validate(
     candidates: Mapping[str, Candidate], df: DataFrame, key: str, label: str,
-    folds: int = 5, seed: int = 42, group: str | None = None,
+    folds: int = 5, seed: int = 42, group: str | None = None, ledger: Ledger | None = None,
 ) -> DataFrame:
     """Rows (candidate, part, metric, mean, sd) over stratified folds, or whole-group folds."""
     if group is None:
         folded = stratified_folds(df, key, label, folds, seed, "_fold")
     else:
         folded = with_group_folds(df, group, folds, seed, "_fold")
-    oof = out_of_fold(candidates, folded.checkpoint(), "_fold", folds)
+    oof = out_of_fold(candidates, folded.checkpoint(), "_fold", folds, ledger=ledger)
     return cv_report(oof, "y", "p", "fold", ["candidate", "part"])
 
 

@@ -1,9 +1,16 @@
-"""Training, projection and segmentation jobs composed from the operators."""
+"""Training, projection and segmentation jobs composed from the operators.
+
+A training run is a row of stages, each kept in a ledger under the fingerprint of the run's rows and settings: a new run in the
+same folder reads what an earlier one finished, down to single folds of single candidates, and repeats the rest.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+import json
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
+from hashlib import md5
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +36,7 @@ from riskframe.operators.segments import (
     K_RANGE, RESTARTS, cluster_matrix, kmeans_best_of, segment_names, segment_outcome, select_k,
 )
 from riskframe.sources.io import load_model, save_model, shared_folder, write_csv, write_metrics
+from riskframe.sources.ledger import Ledger, fingerprint
 
 
 @dataclass(frozen=True)
@@ -89,6 +97,32 @@ class Task:
     entity_group: str | None = None
 
 
+@dataclass
+class Run:
+    """The stages of one training run; ``source`` names its rows, task and settings."""
+
+    ledger: Ledger
+    source: str
+
+    @staticmethod
+    def of(df: DataFrame, task: Task, cfg: TrainConfig, folder: str | None = None) -> Run:
+        settings = json.dumps([asdict(task), asdict(cfg)], sort_keys=True, default=sorted)
+        source = md5((fingerprint(df) + settings).encode()).hexdigest()
+        return Run(Ledger(df.sparkSession, folder), source)
+
+    def _key(self, stage: str) -> dict:
+        return {"stage": stage, "run": self.source}
+
+    def table(self, stage: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return self.ledger.table(self._key(stage), build)
+
+    def model(self, stage: str, build: Callable[[], PipelineModel]) -> PipelineModel:
+        return self.ledger.model(self._key(stage), build)
+
+    def value(self, stage: str, build: Callable[[], object]):
+        return self.ledger.value(self._key(stage), build)
+
+
 def _candidates(df: DataFrame, task: Task, cfg: TrainConfig, drop: Sequence[str] = ()):
     extra = {*task.extra_drop, *drop, task.key, "split"}
     numeric, categorical = task.roles.feature_columns(df, task.label, extra)
@@ -106,41 +140,48 @@ def pick_thresholds(scored: DataFrame, label: str) -> dict[str, float]:
     return {"f1": f1["threshold"], "cost": cost["threshold"], "mean_cost": cost["cost"]}
 
 
-def _compare_and_tune(train: DataFrame, task: Task, cfg: TrainConfig):
-    """(candidates, CV table, best name, tuned candidate, its settings, search table)."""
-    spark = train.sparkSession
-    pool = subsample(train, task.key, cfg.cv_sample, cfg.seed).checkpoint() if cfg.cv_sample else train
+def _split(df: DataFrame, task: Task, cfg: TrainConfig, run: Run) -> tuple[DataFrame, DataFrame]:
+    split = run.table("split", lambda: stratified_holdout(df, task.key, task.label, 0.2, cfg.seed))
+    return split.where("split = 'train'"), split.where("split = 'test'")
+
+
+def _compare_and_tune(train: DataFrame, task: Task, cfg: TrainConfig, run: Run):
+    """(rows for folds, candidates, CV table, best name, tuned candidate, its settings, search table)."""
+    pool = run.table("pool", lambda: subsample(train, task.key, cfg.cv_sample, cfg.seed)) if cfg.cv_sample else train
     candidates = _candidates(train, task, cfg)
-    cv, _ = small_table(spark, cross_validate(candidates, pool, task.key, task.label, cfg.cv_folds, cfg.seed))
+    cv = run.table("compare", lambda: cross_validate(candidates, pool, task.key, task.label, cfg.cv_folds, cfg.seed, ledger=run.ledger))
     best = best_candidate(cv.where("part = 'test'")).first()["candidate"]
     grid = cfg.grids.get(best) or param_grid(best, task.grain)
-    tuned, params, search = random_search(
-        candidates[best], grid, pool, task.key, cfg.n_iter, cfg.cv_folds, cfg.seed
-    )
-    return pool, candidates, cv, best, tuned, params, search
+
+    def search():
+        _, settings, table = random_search(candidates[best], grid, pool, task.key, cfg.n_iter, cfg.cv_folds, cfg.seed, ledger=run.ledger)
+        return {"settings": settings, "tried": [tuple(r) for r in table.collect()]}
+
+    found = run.value("search", search)
+    tuned = candidates[best].copy(as_params(candidates[best], found["settings"]))
+    tried = train.sparkSession.createDataFrame(found["tried"], "setting int, params string, roc_auc double, best boolean")
+    return pool, candidates, cv, best, tuned, found["settings"], tried
 
 
-def _holdout(candidates, best: str, model: PipelineModel, train: DataFrame, test: DataFrame, task: Task, cfg: TrainConfig):
+def _holdout(candidates, best: str, model: PipelineModel, train: DataFrame, test: DataFrame, task: Task, cfg: TrainConfig, run: Run):
     """(thresholds, metric table) on the held-out rows, baselines beside the best."""
-    scored = None
     shown = [n for n in dict.fromkeys([DUMMY, LOGREG, best]) if n in candidates]
-    for name in shown:
+
+    def scores(name: str) -> DataFrame:
         fitted = model if name == best else candidates[name].fit(train)
-        rows = score(fitted, test).select(
-            F.lit(name).alias("candidate"), F.col(task.label).cast("int").alias("y"), "p"
-        )
-        scored = rows if scored is None else scored.unionByName(rows)
-    scored = scored.checkpoint()
-    if cfg.threshold_on == "holdout":
-        cuts = pick_thresholds(scored.where(F.col("candidate") == best), "y")
-    else:
+        return score(fitted, test).select(F.lit(name).alias("candidate"), F.col(task.label).cast("int").alias("y"), "p")
+
+    scored = run.table("holdout_scores", lambda: reduce(DataFrame.unionByName, map(scores, shown)))
+
+    def inner_scores() -> DataFrame:
         inner = stratified_holdout(train.drop("split"), task.key, task.label, 0.2, cfg.seed + 1)
         refit = candidates[best].fit(inner.where("split = 'train'"))
-        held = score(refit, inner.where("split = 'test'")).withColumn("y", F.col(task.label).cast("int"))
-        cuts = pick_thresholds(held.select("y", "p").checkpoint(), "y")
+        return score(refit, inner.where("split = 'test'")).select(F.col(task.label).cast("int").alias("y"), "p")
+
+    held = scored.where(F.col("candidate") == best) if cfg.threshold_on == "holdout" else run.table("inner_scores", inner_scores)
+    cuts = run.value("thresholds", lambda: pick_thresholds(held, "y"))
     named = {"f1": cuts["f1"], "cost": cuts["cost"]}
-    table, _ = small_table(train.sparkSession, holdout_table(scored, shown, best, named))
-    return cuts, table
+    return cuts, run.table("holdout", lambda: holdout_table(scored, shown, best, named))
 
 
 def save_result(result: TrainResult, cfg: TrainConfig, out: str) -> None:
@@ -152,31 +193,31 @@ def save_result(result: TrainResult, cfg: TrainConfig, out: str) -> None:
         write_csv(result.entities, f"{out}/entities", [result.entities.columns[0]])
 
 
-def train_units(df: DataFrame, task: Task, cfg: TrainConfig, out: str | None = None) -> TrainResult:
+def train_units(df: DataFrame, task: Task, cfg: TrainConfig, out: str | None = None, folder: str | None = None) -> TrainResult:
     """Unit-grain run: sample, split, compare, tune, learning curve, thresholds, group folds, entity rates.
 
-    ``out`` names a folder for what ``save_result`` writes.
+    ``out`` names a folder for what ``save_result`` writes, ``folder`` one for the stages, from which a new run goes on.
     """
-    spark = df.sparkSession
-    shared_folder(spark)
+    shared_folder(df.sparkSession)
+    run = Run.of(df, task, cfg, folder)
     if cfg.n_sample:
-        df = stratified_sample(df, task.key, cfg.n_sample, [task.entity_group, task.label], cfg.seed)
-    split = stratified_holdout(df, task.key, task.label, 0.2, cfg.seed).checkpoint()
-    train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    pool, candidates, cv, best, tuned, params, search = _compare_and_tune(train, task, cfg)
-    model = tuned.fit(train)
+        df = run.table("sample", lambda: stratified_sample(df, task.key, cfg.n_sample, [task.entity_group, task.label], cfg.seed))
+    train, test = _split(df, task, cfg, run)
+    pool, candidates, cv, best, tuned, params, search = _compare_and_tune(train, task, cfg, run)
+    model = run.model("model", lambda: tuned.fit(train))
     curve = None
     if best in (GBT, FOREST, GBT_SUB) and cfg.curve_sizes:
-        curve, _ = small_table(spark, learning_curve(tuned, train, test, cfg.curve_sizes))
-    cuts, holdout = _holdout({**candidates, best: tuned}, best, model, train, test, task, cfg)
-    by_group, _ = small_table(
-        spark,
-        cross_validate({best: tuned}, pool, task.key, task.label, cfg.group_folds, cfg.seed, task.entity),
+        curve = run.table("curve", lambda: learning_curve(tuned, train, test, cfg.curve_sizes))
+    cuts, holdout = _holdout({**candidates, best: tuned}, best, model, train, test, task, cfg, run)
+    by_group = run.table(
+        "group_folds", lambda: cross_validate({best: tuned}, pool, task.key, task.label, cfg.group_folds, cfg.seed, task.entity, run.ledger)
     )
-    scored = score(model, test).select(
-        task.entity, task.entity_group, F.col(task.label).cast("int").alias("y"), "p"
-    )
-    entities = entity_aggregate(scored, task.entity, task.entity_group).checkpoint()
+
+    def rates() -> DataFrame:
+        scored = score(model, test).select(task.entity, task.entity_group, F.col(task.label).cast("int").alias("y"), "p")
+        return entity_aggregate(scored, task.entity, task.entity_group)
+
+    entities = run.table("entities", rates)
     result = TrainResult(
         best, params, model, cuts, cv, search, holdout, group_cv=by_group, curve=curve,
         entities=entities, agreement=entity_correlations(entities),
@@ -187,21 +228,22 @@ def train_units(df: DataFrame, task: Task, cfg: TrainConfig, out: str | None = N
 
 
 def train_entities(
-    matrix: DataFrame, task: Task, cfg: TrainConfig, with_ablation: bool = True, out: str | None = None
+    matrix: DataFrame, task: Task, cfg: TrainConfig, with_ablation: bool = True, out: str | None = None, folder: str | None = None
 ) -> TrainResult:
     """Entity-grain run on the relative matrix: split, compare, tune, thresholds, ablation.
 
-    ``out`` names a folder for what ``save_result`` writes; ``projection_job`` reads its ``model``.
+    ``out`` names a folder for what ``save_result`` writes; ``projection_job`` reads its ``model``. ``folder`` names one
+    for the stages, from which a new run goes on.
     """
     shared_folder(matrix.sparkSession)
-    split = stratified_holdout(matrix, task.key, task.label, 0.2, cfg.seed).checkpoint()
-    train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    _, candidates, cv, best, tuned, params, search = _compare_and_tune(train, task, cfg)
-    model = tuned.fit(train)
-    cuts, holdout = _holdout({**candidates, best: tuned}, best, model, train, test, task, cfg)
+    run = Run.of(matrix, task, cfg, folder)
+    train, test = _split(matrix, task, cfg, run)
+    _, candidates, cv, best, tuned, params, search = _compare_and_tune(train, task, cfg, run)
+    model = run.model("model", lambda: tuned.fit(train))
+    cuts, holdout = _holdout({**candidates, best: tuned}, best, model, train, test, task, cfg, run)
     result = TrainResult(best, params, model, cuts, cv, search, holdout)
     if with_ablation:
-        result.ablation = ablate_history(train, test, task, cfg, best, params, model)
+        result.ablation = run.table("ablation", lambda: ablate_history(train, test, task, cfg, best, params, model))
     if out:
         save_result(result, cfg, out)
     return result
