@@ -6,6 +6,8 @@ integers widened, as the registered queries do. A column spec reads ``name:kind`
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 
 from riskframe.operators.evaluate import CV_METRICS, GRID_STEPS, METRIC_ORDER
@@ -709,6 +711,27 @@ def oracle() -> dict[str, str]:
         FROM (SELECT *, {hash_place('unit_id', '42/to')} AS place FROM pu) a
         JOIN (SELECT *, {hash_place('unit_id', '42/from/0')} AS place FROM pu) b USING (place)""", "pu",
     )
+    planted = """SELECT *, population::DOUBLE AS planted_copy, CASE WHEN entity_id % 7 > 0 THEN population END AS planted_gaps, -population AS planted_reverse,
+        CASE WHEN entity_id % 50 > 0 THEN population ELSE population + 1 END AS planted_miss, group_name AS planted_name FROM store"""
+    numbers = [*NUMERIC, "planted_copy", "planted_gaps", "planted_reverse", "planted_miss"]
+    texts = [c for c in FEATURE_COLUMNS if c not in NUMERIC and c != "entity_id"] + ["planted_name"]
+    names = [c for c in FEATURE_COLUMNS if c != "entity_id"] + ["planted_copy", "planted_gaps", "planted_reverse", "planted_miss", "planted_name"]
+    judged = []
+    for a, b in combinations(names, 2):
+        if (a in texts) != (b in texts):
+            continue
+        order = f"""(SELECT CASE WHEN count(DISTINCT x) < 2 THEN NULL WHEN bool_and(rx = ry) THEN 'increasing' WHEN bool_and(rx + ry + ties = n + 2) THEN 'decreasing' END
+            FROM (SELECT x, rank() OVER (ORDER BY x) AS rx, rank() OVER (ORDER BY y) AS ry, count(*) OVER (PARTITION BY x, y) AS ties, count(*) OVER () AS n
+            FROM (SELECT {a}::DOUBLE AS x, {b}::DOUBLE AS y FROM wide WHERE {a} IS NOT NULL AND {b} IS NOT NULL)))"""
+        judged.append(
+            f"""SELECT '{a}' AS left_column, '{b}' AS right_column, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n_both,
+            CASE WHEN count(*) FILTER ({a} = {b}) = 0 AND count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) = 0 THEN NULL
+            WHEN count(*) FILTER ({a} <> {b}) = 0 THEN CASE WHEN count(*) FILTER ({a} IS NULL <> ({b} IS NULL)) > 0 THEN 'copy_where_present' ELSE 'copy' END
+            ELSE {order if a not in texts else 'NULL'} END AS kind FROM wide"""
+        )
+    sql["duplicate_columns"] = select(
+        "left_column:s right_column:s kind:s n_both:i", f"SELECT * FROM ({' UNION ALL '.join(judged)}) WHERE kind IS NOT NULL", "store", wide=planted
+    )
     # Facts about fits: sizes from the tables, and what must hold for any fit.
     labelled = "(SELECT * FROM m2000 WHERE reached_2000 IS NOT NULL)"
     halves = f"""SELECT count(*) FILTER (rn > round(n * 2e-1)) AS n_train, count(*) FILTER (rn <= round(n * 2e-1)) AS n_test,

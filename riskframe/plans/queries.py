@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as S
-from riskframe.operators import audit, encode, evaluate as ev, explain, features as feat, joins, models
+from riskframe.operators import audit, duplicates, encode, evaluate as ev, explain, features as feat, joins, models
 from riskframe.operators import panel, profile as prof, roles, sampling, scoring, segments
 from riskframe.plans import demo, training
 from riskframe.sources import io
@@ -379,6 +379,19 @@ def quality_gates(spark, sf):
     )
 
 
+@query
+def duplicate_columns(spark, sf):
+    """All features, with a copy, a copy with gaps and a reversed copy of the population beside them."""
+    df = demo.features(spark, sf).withColumns(
+        {
+            "planted_copy": F.col("population").cast("double"), "planted_gaps": F.when(F.col("entity_id") % 7 > 0, F.col("population")),
+            "planted_reverse": -F.col("population"), "planted_miss": F.when(F.col("entity_id") % 50 > 0, F.col("population")).otherwise(F.col("population") + 1),
+            "planted_name": F.col("group_name"),
+        }
+    )
+    return duplicates.duplicate_columns(df, "entity_id")
+
+
 # -- preprocessing -----------------------------------------------------------------------
 
 
