@@ -1,8 +1,10 @@
 """Preprocessing fitted on training rows only and applied as plain column expressions.
 
 The fitted state is a few numbers per column: median, mean, spread, and the list of kept
-categories. It becomes one SQLTransformer and one VectorAssembler, so a fitted pipeline is
-an ordinary Spark ML PipelineModel that saves, loads and scores without Python.
+categories. It becomes Spark ML stages, so a fitted pipeline is an ordinary PipelineModel that saves,
+loads and scores without Python. A column with few categories is one expression for each; one with many is
+a label index and a sparse one-hot vector, so neither plan nor row grows with the vocabulary. There is no limit on
+categories but the one of any fitted model: it keeps each by name, and a linear one a coefficient for it, on the driver.
 """
 
 from __future__ import annotations
@@ -14,15 +16,16 @@ from dataclasses import asdict, dataclass, field, replace
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.ordered import column_quantiles
 
 INFREQUENT = "infrequent"
-# A categorical column with more distinct values is an error, not silently cut.
-MAX_CATEGORIES = 10_000
+# A fitted column with more values is looked up in a table of labels; fewer are compared in the plan itself. The result is the same.
+LISTED = 200
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -121,27 +124,60 @@ class FittedEncoder:
             x = f"(({x}) - ({mean!r}D)) / {sd!r}D"
         return x
 
-    def expressions(self) -> list[str]:
-        """One SQL expression per encoded feature, in the order of the names."""
-        out = [self._numeric_sql(c) for c in self.numeric]
-        for c in self.categorical:
-            value = f"coalesce(cast(`{c}` as string), {_quoted(self.fills[c])})"
-            out += [f"cast({value} = {_quoted(v)} as double)" for v in self.kept[c]]
-            if self.rare[c]:
-                listed = ", ".join(_quoted(v) for v in self.rare[c])
-                out.append(f"cast({value} in ({listed}) as double)")
+    def _filled_sql(self, c: str) -> str:
+        return f"coalesce(cast(`{c}` as string), {_quoted(self.fills[c])})"
+
+    def _category_sql(self, c: str) -> list[str]:
+        value = self._filled_sql(c)
+        out = [f"cast({value} = {_quoted(v)} as double)" for v in self.kept[c]]
+        if self.rare[c]:
+            listed = ", ".join(_quoted(v) for v in self.rare[c])
+            out.append(f"cast({value} in ({listed}) as double)")
         return out
 
-    def stages(self, features: str = "features") -> list:
-        """SQLTransformer and VectorAssembler adding the feature vector."""
-        # The names travel with a saved pipeline; a dot or backtick in one would break its columns.
-        inner = [f"_f{i}:" + re.sub("[.`]", "_", n) for i, n in enumerate(self.feature_names())]
-        selected = ", ".join(f"{e} AS `{n}`" for e, n in zip(self.expressions(), inner))
+    def expressions(self) -> list[str]:
+        """One SQL expression per encoded feature, in the order of the names."""
+        return [self._numeric_sql(c) for c in self.numeric] + [e for c in self.categorical for e in self._category_sql(c)]
+
+    def is_wide(self, c: str) -> bool:
+        return len(self.kept[c]) + len(self.rare[c]) > LISTED
+
+    def _wide_stages(self, c: str, at: int, out: str) -> list:
+        """Label index (kept ones first), rare labels as one slot, and a sparse vector; an unknown value is the slot that is dropped."""
+        kept, rare = len(self.kept[c]), len(self.rare[c])
+        slots = kept + bool(rare)
+        index = StringIndexerModel.from_labels([*self.kept[c], *self.rare[c]], f"_w{at}", f"_x{at}", handleInvalid="keep")
+        slot = f"case when _x{at} < {kept} then _x{at} when _x{at} < {kept + rare} then {kept}D else {slots}D end"
+        # The encoder learns its size from one row, the largest slot.
+        largest = SparkSession.active().createDataFrame([(float(slots),)], f"_s{at} double")
+        vectors = OneHotEncoder(inputCols=[f"_s{at}"], outputCols=[out], dropLast=True).fit(largest)
         return [
-            SQLTransformer(statement=f"SELECT *, {selected} FROM __THIS__"),
-            VectorAssembler(inputCols=inner, outputCol=features),
+            SQLTransformer(statement=f"SELECT *, {self._filled_sql(c)} AS _w{at} FROM __THIS__"), index,
+            SQLTransformer(statement=f"SELECT *, {slot} AS _s{at} FROM __THIS__"), vectors,
         ]
 
+    def stages(self, features: str = "features") -> list:
+        """Stages adding the feature vector."""
+        inner, plain, wide, at = [], [], [], 0
+
+        def add(name: str, sql: str) -> None:
+            inner.append(f"_f{len(inner)}:{_safe(name)}")
+            plain.append(f"{sql} AS `{inner[-1]}`")
+
+        for c in self.numeric:
+            add(c, self._numeric_sql(c))
+        for c in self.categorical:
+            if self.is_wide(c):
+                inner.append(f"_v{at}{'r' if self.rare[c] else 'k'}:{_safe(c)}")
+                wide += self._wide_stages(c, at, inner[-1])
+                at += 1
+            else:
+                names = [f"{c}_{v}" for v in self.kept[c]] + [f"{c}_{INFREQUENT}"] * bool(self.rare[c])
+                for name, sql in zip(names, self._category_sql(c)):
+                    add(name, sql)
+        selected = "".join(f", {e}" for e in plain)
+        return [SQLTransformer(statement=f"SELECT *{selected} FROM __THIS__"), *wide, VectorAssembler(inputCols=inner, outputCol=features)]
+
     def unscaled(self) -> FittedEncoder:
         """The same fit without the scaling step."""
         return replace(self, centers={})
@@ -154,18 +190,38 @@ class FittedEncoder:
         return df.selectExpr(*ids, *[f"{e} AS `{n}`" for e, n in zip(self.expressions(), self.feature_names())])
 
 
+def _wide_labels(model: PipelineModel) -> dict[str, list[str]]:
+    """Names of the slots of each sparse column."""
+    labels = {s.getOutputCol(): s.labels for s in model.stages if isinstance(s, StringIndexerModel)}
+    found = {}
+    for s in model.stages:
+        if isinstance(s, OneHotEncoderModel):
+            out, size = s.getOutputCols()[0], s.categorySizes[0] - 1
+            place, column = out.split(":", 1)
+            names = labels["_x" + place[2:-1]]
+            found[out] = [_safe(f"{column}_{v}") for v in (names[: size - 1] + [INFREQUENT] if place.endswith("r") else names[:size])]
+    return found
+
+
 def encoded_names(model: PipelineModel) -> list[str]:
     """Names of the encoded features of a fitted or loaded pipeline, in the order of its feature vector."""
-    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    return [c.split(":", 1)[1] for c in assembler.getInputCols()]
+    assembler, wide = next(s for s in model.stages if isinstance(s, VectorAssembler)), _wide_labels(model)
+    return [n for c in assembler.getInputCols() for n in wide.get(c, [c.split(":", 1)[1]])]
 
 
 def encoded_columns(model: PipelineModel, df: DataFrame, ids: Sequence[str]) -> DataFrame:
     """The pipeline's encoded features as plain columns beside the ids, under positions ``_0``, ``_1``, ..."""
     at = next(i for i, s in enumerate(model.stages) if isinstance(s, VectorAssembler))
-    inner = model.stages[at].getInputCols()
+    wide, columns = _wide_labels(model), []
+    for c in model.stages[at].getInputCols():
+        columns += [vector_to_array(F.col(f"`{c}`"))[i] for i in range(len(wide[c]))] if c in wide else [F.col(f"`{c}`")]
     out = PipelineModel(model.stages[:at]).transform(df)
-    return out.select(*ids, *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(inner)])
+    return out.select(*ids, *[c.alias(f"_{i}") for i, c in enumerate(columns)])
+
+
+def _safe(name: str) -> str:
+    """Names travel with a saved pipeline; a dot or backtick in one would break its columns."""
+    return re.sub("[.`]", "_", name)
 
 
 def _quoted(text: str) -> str:
@@ -201,13 +257,11 @@ def fit_encoder(
 
 def _fit_categories(df: DataFrame, columns: Sequence[str], min_frequency: int, encoder: FittedEncoder) -> None:
     """Fill value, kept and pooled categories. Filled rows count towards the mode."""
-    counts = _value_counts(df, columns)
-    limit = MAX_CATEGORIES * len(columns)
-    rows = counts.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} categories in {list(columns)}")
+    found: dict[str, dict] = {c: {} for c in columns}
+    for r in _value_counts(df, columns).collect():
+        found[r["feature"]][r["value"]] = r["n"]
     for c in columns:
-        n = {r["value"]: r["n"] for r in rows if r["feature"] == c}
+        n = found[c]
         missing = n.pop(None, 0)
         if not n:
             continue

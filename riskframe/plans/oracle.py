@@ -511,7 +511,7 @@ def oracle() -> dict[str, str]:
     sql["one_hot_counts"] = select(
         "feature:s category:s n:i",
         "SELECT feature, category, sum(n) AS n FROM (" + " UNION ALL ".join(
-            f"SELECT '{c}' AS feature, CASE WHEN count(*) >= 60 THEN {c} ELSE 'infrequent' END AS category, count(*) AS n FROM store WHERE {c} IS NOT NULL GROUP BY {c}"
+            f"SELECT '{c}' AS feature, CASE WHEN count(*) >= 20 THEN {c} ELSE 'infrequent' END AS category, count(*) AS n FROM store WHERE {c} IS NOT NULL GROUP BY {c}"
             for c in ("group_name", "size_band")) + ") GROUP BY feature, category", "store",
     )
     for name, numeric in (("preprocess_matrix", scaled), ("preprocess_matrix_unscaled", unscaled)):

@@ -416,7 +416,7 @@ def standardize(spark, sf):
 
 @query
 def one_hot_counts(spark, sf):
-    return encode.one_hot_vocabulary(demo.features(spark, sf), ["group_name", "size_band"], 60)
+    return encode.one_hot_vocabulary(demo.features(spark, sf), ["group_name", "size_band"], 20)
 
 
 def _preprocessed(spark, sf, scale):
