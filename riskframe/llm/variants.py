@@ -235,7 +235,9 @@ def near_words(table: DataFrame, most: int = SUBTREE, askers: int = ASKERS) -> D
     columns = ["node", "chunk", "salt", "word", "n", "counts"]
     rows = asked.select(*columns, F.lit(True).alias("asks"), F.col("more").cast("int").alias("more"), F.col("less").cast("int").alias("less"))
     rows = rows.unionByName(told.select(*columns, F.lit(False).alias("asks"), F.lit(0).alias("more"), F.lit(0).alias("less")))
-    found = rows.groupBy("node", "chunk", "salt").applyInArrow(search, FOUND)
+    # Dealt anew: the join's own partitioning, by node, would bring the parts of a node back together.
+    parts_of = ["node", "chunk", "salt"]
+    found = rows.repartition(*parts_of).groupBy(*parts_of).applyInArrow(search, FOUND)
     best = F.min(F.struct((-F.col("form_n")).alias("k"), "form"))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b")).select("word", "n_near", (-F.col("b.k")).alias("form_n"), "b.form")
 
