@@ -146,11 +146,15 @@ def candidates(members: np.ndarray, asked: np.ndarray, more: np.ndarray, less: n
             some = max(1, PAIRS // (high - low))
             for i in range(0, len(ask), some):
                 part = slice(i, i + some)
-                apart = members[None, low:high, max(d, 1) :] - asked[ask[part], None, max(d, 1) :]
-                up, down = np.maximum(apart, 0).sum(axis=2), np.maximum(-apart, 0).sum(axis=2)
+                up = np.zeros((len(ask[part]), high - low), members.dtype)
+                down = np.zeros_like(up)
+                for k in range(max(d, 1), members.shape[1]):
+                    apart = members[None, low:high, k] - asked[ask[part], k][:, None]
+                    up += np.maximum(apart, 0)
+                    down -= np.minimum(apart, 0)
                 fits = (up <= more[part, None]) & (down <= less[part, None])
                 if d == 0:
-                    longer = members[None, low:high, 0] - asked[ask[part], None, 0]
+                    longer = members[None, low:high, 0] - asked[ask[part], 0][:, None]
                     fits &= (longer == 0) | ((longer == 1) & (down == 0))
                 a, m = np.nonzero(fits)
                 yield ask[part][a], m + low
@@ -176,6 +180,8 @@ def compared(table: pa.Table) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray,
         counts = rows["counts"].combine_chunks().flatten().to_numpy().reshape(-1, GROUPS + 1)
         sides.append((rows["word"].combine_chunks(), rows["n"].to_numpy(), counts, rows))
     (ask, ask_n, asked, rows), (word, word_n, members, _) = sides
+    if max(members[:, 0].max(initial=0), asked[:, 0].max(initial=0)) <= 100:  # no sum of counts exceeds the length
+        members, asked = members.astype(np.int8), asked.astype(np.int8)
     order = np.lexsort(members.T[::-1])
     word, word_n, members = word.take(pa.array(order)), word_n[order], members[order]
     a_pad, m_pad = padded(ask, WIDE + 2), padded(word, WIDE + 2)
