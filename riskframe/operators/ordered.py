@@ -3,17 +3,20 @@
 Everything that needs "how much lies below this value" (ranks, ROC, average precision,
 quantiles) is built on two operators here. Both cut the value axis into ranges of about
 equal row count, add up the ranges first, and then only order rows inside a range. The
-cut points come from a sketch; they decide how even the ranges are, never the result.
+cut points come from a sketch, of each group's own values where there are groups; they
+decide how even the ranges are, never the result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from riskframe.operators.joins import small_table
 
@@ -21,6 +24,9 @@ BUCKET = "_bucket"
 # Least number of ranges per quantile pass; only the ranges that contain a wanted rank are
 # ever sorted.
 QUANTILE_BUCKETS = 256
+# Most groups that have ranges of their own in a quantile pass; a smaller group holds less than
+# this share of the rows and is one range.
+QUANTILE_GROUPS = 4_096
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -45,6 +51,80 @@ def with_bucket(df: DataFrame, value: str, edges: Sequence[float], out: str = BU
     return binned.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(0)))
 
 
+@dataclass(frozen=True)
+class GroupCuts:
+    """Cut points of the large groups: rows (by, one ordered array for each value column).
+
+    The table is bounded by the number of ranges asked for, so it may be broadcast.
+    """
+
+    table: DataFrame
+    by: tuple[str, ...]
+    longest: int
+
+    def onto(self, df: DataFrame, value: str, out: str = BUCKET) -> DataFrame:
+        """``df`` with the number of its group's edges at or below ``value``, 0 in groups without edges."""
+        own = self.table.select(
+            *[F.col(k).alias(f"_c_{k}") for k in self.by], F.col(f"_e_{value}").alias("_edges")
+        )
+        met = F.lit(True)
+        for k in self.by:
+            met = met & df[k].eqNullSafe(own[f"_c_{k}"])
+        found = edge_position(F.col("_edges"), F.col(value).cast("double"), self.longest)
+        return (
+            df.join(F.broadcast(own), met, "left")
+            .withColumn(out, F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(found))
+            .drop(*[f"_c_{k}" for k in self.by])
+        )
+
+
+def edge_position(edges: Column, value: Column, longest: int) -> Column:
+    """Number of entries of the ordered array at or below ``value``, by halving steps."""
+    if longest < 1:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(longest.bit_length()))])
+    # Beyond the end there is no entry: the comparison is NULL and the place stays.
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) <= value, at + step).otherwise(at)
+    )
+
+
+def group_cuts(
+    rows: DataFrame, values: Sequence[str], by: Sequence[str], buckets: int, groups: int | None = None, least: int = 1
+) -> GroupCuts:
+    """Equal-count cut points of each value column inside each large group, from one aggregate.
+
+    A group is large with more than one part in ``groups`` (by default ``buckets``) of the rows,
+    so there are fewer than ``groups`` of them. One with a share s of the rows gets s * ``buckets``
+    ranges, at least ``least``, and at most twice that. The sketch is drawn once: every use of
+    the cuts sees the same ranges.
+    """
+    groups, finest = groups or buckets, max(2, buckets)
+    # Counted beside the sketch, in the same job.
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    probs = [i / finest for i in range(1, finest)]
+    sketched = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.percentile_approx(F.col(v).cast("double"), probs, 4 * finest).alias(f"_e_{v}") for v in values],
+    )
+    ranges = F.greatest(F.lit(least), F.ceil(F.col("_n") * buckets / total))
+    large = sketched.where(F.col("_n") * groups > total).withColumn(
+        "_step", F.greatest(F.lit(1), F.floor(F.lit(finest) / ranges)).cast("int")
+    )
+    thinned = large.select(
+        *by, *[F.filter(f"_e_{v}", lambda _, i: (i + 1) % F.col("_step") == 0).alias(f"_e_{v}") for v in values]
+    )
+    held = []
+    for r in thinned.collect():
+        cuts = [sorted({c for c in r[f"_e_{v}"] or [] if math.isfinite(c)}) for v in values]
+        held.append((*[r[k] for k in by], *cuts))
+    longest = max((len(c) for h in held for c in h[len(by):]), default=0)
+    schema = StructType(
+        [rows.schema[k] for k in by] + [StructField(f"_e_{v}", ArrayType(DoubleType())) for v in values]
+    )
+    return GroupCuts(rows.sparkSession.createDataFrame(held, schema), tuple(by), longest)
+
+
 def running_totals(
     df: DataFrame,
     value: str,
@@ -63,13 +143,16 @@ def running_totals(
     rows = df.where(F.col(value).isNotNull())
     # The sketch reads one column and moves nothing. Cut at equal row counts, a range holds
     # no more distinct values than its share of the rows.
-    edges = value_edges(rows, value, buckets or default_buckets(df))
+    buckets = buckets or default_buckets(df)
     cells = rows.groupBy(*by, value).agg(*[F.sum(m).alias(m) for m in measures])
-    cells = with_bucket(cells, value, edges)
+    if by:
+        cells = group_cuts(rows, [value], by, buckets).onto(cells, value).drop("_edges")
+    else:
+        cells = with_bucket(cells, value, value_edges(rows, value, buckets))
 
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    # At most len(edges) + 1 rows per group.
+    # At most one row more than edges per group.
     ranges = cells.groupBy(*by, BUCKET).agg(*[F.sum(m).alias(m) for m in measures])
     offsets = ranges.select(
         *[F.col(k).alias(f"_r_{k}") for k in [*by, BUCKET]],
@@ -109,6 +192,58 @@ def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), out: str =
     return totals.select(*by, value, rank.cast("double").alias(out), F.col("_n_all").alias(f"{out}_of"))
 
 
+def companion_ranks(
+    df: DataFrame, values: Sequence[str], by: Sequence[str], weight: str, cuts: GroupCuts | None = None
+) -> DataFrame:
+    """``df`` with ``<value>_rank`` for each value column and ``_of``, the weight of the group.
+
+    Ranks are 1-based and count a row ``weight`` times; ties share the mean of their places. The
+    other columns stay with their row, so nothing is joined on a value. Every cut point is a
+    range of its own: its rows all have the rank that the range totals give, and are dealt out
+    freely, so a value that fills a third of the table stays in many tasks. Only the rows
+    between two cut points are ordered. Values must not be NULL. ``cuts`` may come from rows
+    that are cheaper to read than ``df``.
+    """
+    by, buckets = list(by), default_buckets(df)
+    cuts = cuts or group_cuts(df, values, by, buckets)
+    out, group = df, Window.partitionBy(*by)
+    for v in values:
+        # Rows below the first cut are range 0; the k-th cut is 2k - 1, what follows it 2k.
+        def ranged(rows: DataFrame, v: str = v) -> DataFrame:
+            at = F.col(BUCKET)
+            alone = F.coalesce(F.get("_edges", at - 1) == F.col(v).cast("double"), F.lit(False))
+            return (
+                cuts.onto(rows, v).withColumn("_large", F.col("_edges").isNotNull()).withColumn("_alone", alone)
+                .withColumn(BUCKET, at * 2 - F.col("_alone").cast("int")).drop("_edges")
+            )
+
+        # Large groups only, so as bounded as the cuts; a small group is one range.
+        spans = ranged(df.select(*by, v, weight)).where("_large").groupBy(*by, BUCKET).agg(F.sum(weight).alias("_span"))
+        earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        spans = spans.select(
+            *[F.col(k).alias(f"_s_{k}") for k in by], F.col(BUCKET).alias("_s_at"), "_span",
+            F.coalesce(F.sum("_span").over(earlier), F.lit(0)).alias("_before"), F.sum("_span").over(group).alias("_all"),
+        )
+        rows = ranged(out)
+        met = rows[BUCKET] == spans["_s_at"]
+        for k in by:
+            met = met & rows[k].eqNullSafe(spans[f"_s_{k}"])
+        dealt = F.when(F.col("_alone"), F.pmod(F.xxhash64(*df.columns), F.lit(buckets))).otherwise(F.lit(0))
+        rows = rows.join(F.broadcast(spans), met, "left").withColumn("_dealt", dealt)
+        own = Window.partitionBy(*by, BUCKET, "_dealt")
+        upto = F.sum(weight).over(own.orderBy(v).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        tied = F.sum(weight).over(Window.partitionBy(*by, BUCKET, "_dealt", v))
+        # In a small group the one range is the group.
+        rows = rows.withColumns({"_upto": upto, "_tied": tied, "_held": F.sum(weight).over(own)})
+        before = F.coalesce("_before", F.lit(0))
+        last, ties = (F.when(F.col("_alone"), F.col("_span")).otherwise(F.col(c)) for c in ("_upto", "_tied"))
+        rank = (before + last - (ties - F.lit(1)) / F.lit(2)).cast("double")
+        out = rows.select(
+            *[c for c in out.columns if c != "_of"], rank.alias(f"{v}_rank"), F.coalesce("_all", "_held").alias("_of")
+        )
+    return out
+
+
 def quantiles(
     df: DataFrame,
     value: str,
@@ -130,7 +265,11 @@ def quantiles(
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
-    binned = with_bucket(rows, "_v", value_edges(rows, "_v", buckets))
+    if by:
+        cuts = group_cuts(rows, ["_v"], by, buckets, QUANTILE_GROUPS, QUANTILE_BUCKETS)
+        binned = cuts.onto(rows, "_v").drop("_edges")
+    else:
+        binned = with_bucket(rows, "_v", value_edges(rows, "_v", buckets))
 
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.joins import lookup_join, side_by_side
 from riskframe.operators.ordered import (
-    average_ranks, column_quantiles, quantiles, unpivot_numeric, with_bucket,
+    column_quantiles, companion_ranks, default_buckets, group_cuts, quantiles, unpivot_numeric,
 )
 
 
@@ -98,11 +98,10 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> Dat
 def spearman_pairs(long: DataFrame, by: Sequence[str], x: str = "x", y: str = "y") -> DataFrame:
     """Spearman correlation of x and y per group over complete pairs, mean ranks on ties.
 
-    Equal pairs are counted first. Ranks are computed on the distinct values of each side
-    and joined back. A value that fills much of one side makes a large join partition;
-    adaptive execution splits it, since each join is followed by an exchange of its own.
+    Equal pairs are counted first. Each pair carries its other side along while a side is
+    ranked, so no join on a value is needed and a hot value stays spread over many tasks.
     """
-    # One struct column, so that NULL groups meet in the joins below.
+    # One struct column, so that NULL groups are a group.
     group = ["_g"]
     base = long.withColumn("_g", F.struct(*by) if by else F.struct(F.lit(0)))
     pairs = (
@@ -110,15 +109,13 @@ def spearman_pairs(long: DataFrame, by: Sequence[str], x: str = "x", y: str = "y
         .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     )
     counted = pairs.groupBy(*group, "_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
-    x_ranks = average_ranks(pairs, "_x", group, "_rx")
-    y_ranks = average_ranks(pairs, "_y", group, "_ry").drop("_ry_of")
-    ranked = counted.join(x_ranks, [*group, "_x"]).join(y_ranks, [*group, "_y"])
+    ranked = companion_ranks(counted, ["_x", "_y"], group, "_n", group_cuts(pairs, ["_x", "_y"], group, default_buckets(pairs)))
     # The mean of n ranks is (n + 1) / 2 whatever the ties; centring by it keeps digits that
     # raw products of large ranks would lose.
-    middle = (F.col("_rx_of") + 1) / 2
-    dx, dy = F.col("_rx") - middle, F.col("_ry") - middle
+    middle = (F.col("_of") + 1) / 2
+    dx, dy = F.col("_x_rank") - middle, F.col("_y_rank") - middle
     out = ranked.groupBy(*group).agg(
-        F.first("_rx_of").alias("n"),
+        F.first("_of").alias("n"),
         F.try_divide(
             F.sum(F.col("_n") * dx * dy),
             F.sqrt(F.sum(F.col("_n") * dx * dx)) * F.sqrt(F.sum(F.col("_n") * dy * dy)),

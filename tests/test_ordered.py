@@ -4,6 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from riskframe.operators import ordered as O
 from riskframe.operators.profile import medians_by, spearman, spearman_pairs
 
@@ -92,3 +94,62 @@ def test_plans_have_no_python_and_no_bare_cross_join(spark, skewed):
     for out in (O.quantiles(df, "v", [0.5], ["g"]), O.running_totals(df, "v", ["w"]), O.average_ranks(df, "v")):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_ranges_follow_the_scale_of_each_column(spark):
+    """Columns of scales 1 and 1e9 in one pass: no range holds more than twice its share."""
+    rng = np.random.default_rng(3)
+    wide = pd.DataFrame({"small": rng.random(4000), "large": rng.random(4000) * 1e9})
+    long = O.unpivot_numeric(spark.createDataFrame(wide), ["small", "large"])
+    cuts = O.group_cuts(long, ["value"], ["feature"], 16)
+    held = cuts.onto(long, "value").groupBy("feature", O.BUCKET).count().collect()
+    assert {r["feature"] for r in held} == {"small", "large"} and len(held) >= 16
+    assert max(r["count"] for r in held) <= 2 * 8000 / 16
+    medians = {r["feature"]: r["quantile"] for r in O.column_quantiles(spark.createDataFrame(wide), ["small", "large"], [0.5]).collect()}
+    assert medians == pytest.approx(wide.median().to_dict(), rel=1e-12)
+
+
+def test_small_groups_have_no_cuts(spark):
+    rows = [("hot", float(i)) for i in range(900)] + [(f"g{i}", float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    cuts = O.group_cuts(df, ["v"], ["g"], 8)
+    assert [r["g"] for r in cuts.table.collect()] == ["hot"]
+    assert {r["_edges"] is None for r in cuts.onto(df, "v").where("g <> 'hot'").collect()} == {True}
+
+
+@pytest.mark.parametrize("edges", [[], [1.0], [1.0, 2.0, 5.0], [float(i) for i in range(9)]])
+def test_edge_position(spark, edges):
+    values = [-1.0, 0.0, 1.0, 1.5, 2.0, 4.9, 5.0, 8.0, 99.0]
+    df = spark.createDataFrame([(v, edges) for v in values], "v double, e array<double>")
+    got = df.select("v", O.edge_position(F.col("e"), F.col("v"), len(edges)).alias("at")).collect()
+    assert {r["v"]: r["at"] for r in got} == {v: sum(e <= v for e in edges) for v in values}
+
+
+def test_companion_ranks_of_groups(spark, skewed):
+    df = skewed.assign(u=(skewed["v"] * 3 + skewed["w"]).round(), id=range(len(skewed)))
+    df.loc[df.index[-3:], "g"] = "tiny"
+    got = O.companion_ranks(spark.createDataFrame(df.assign(n=1)), ["v", "u"], ["g"], "n").toPandas().set_index("id").sort_index()
+    for c in ("v", "u"):
+        assert (got[f"{c}_rank"].to_numpy() == df.groupby("g")[c].rank().to_numpy()).all()
+    assert (got["_of"].to_numpy() == df.groupby("g")["v"].transform("size").to_numpy()).all()
+
+
+def test_a_hot_value_is_ranked_in_many_tasks(spark):
+    """Two values on one side, all different on the other: no join on a value, no task with half the rows."""
+    n = 4000
+    df = spark.createDataFrame([(float(i % 2), float(i * 7919 % n)) for i in range(n)], "x double, y double")
+    counted = df.groupBy("x", "y").agg(F.count("*").alias("n")).withColumn("g", F.lit(1))
+    ranked = O.companion_ranks(counted, ["x"], ["g"], "n")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        sizes = [r["count"] for r in ranked.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset(merging)
+    assert len(sizes) >= 3 and max(sizes) <= 0.6 * n
+    assert {(r["x"], r["x_rank"]) for r in ranked.select("x", "x_rank").distinct().collect()} == {(0.0, 1000.5), (1.0, 3000.5)}
+    plan = spearman(df, "x", "y")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any(f"({c}#" in line or f" {c}#" in line for line in joins for c in ("_x", "_y"))
+    pandas = df.toPandas()
+    assert spearman(df, "x", "y").first()["rho"] == pytest.approx(pandas["x"].rank().corr(pandas["y"].rank()))
