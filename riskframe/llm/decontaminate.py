@@ -3,7 +3,8 @@
 Spaced seeds: each mask looks at some of the words of a short window and ignores the others, so that a
 replaced word in an ignored place does not hide the match. Hashes of the masked words of the benchmark are
 joined with those of every place of every document; along the diagonal of each hit, words are then compared
-one by one. The masks together hit every 13 words of which any two are replaced.
+one by one. The masks together hit every 13 words of which any two are replaced; items of fewer words have
+shorter masks besides.
 
 The benchmark's hashes are sent to the tasks in blocks of bounded size (``BLOCK_BYTES`` of text, measured
 first); a larger benchmark takes several passes over the documents, each against one block, and no
@@ -31,6 +32,9 @@ from pyspark.sql import functions as F
 from riskframe.llm import text as T
 
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 3, 5), (0, 1, 3, 4, 5))
+# Of items below MASKED words only: with them, every such item is hit of which at most a fifth of the words is replaced.
+SHORT_MASKS = ((0, 1, 2), (0, 1, 3))
+MASKED = 13
 BLOCK_BYTES = 8 << 20
 OVERLAPS = "doc_id long, item_id long, doc_start long, item_start long, n_words long, n_replaced long"
 
@@ -58,34 +62,39 @@ class Items:
     first: np.ndarray
     seeds: np.ndarray
     places: np.ndarray
+    used: list[bool]
 
     @staticmethod
     def of(rows: list[tuple[int | None, str | None]]) -> Items:
         data, offsets = T.binary_of(pa.array([t for _, t in rows], pa.string()))
         words, first = words_of(data, offsets)
         seeds, places = [], []
-        for number, mask in enumerate(MASKS):
-            at, _ = T.gram_starts(first, mask[-1] + 1)
+        for number, mask in enumerate(MASKS + SHORT_MASKS):
+            at, owner = T.gram_starts(first, mask[-1] + 1)
+            if number >= len(MASKS):
+                sizes = np.diff(first)[owner]
+                at = at[(sizes >= 5) & (sizes < MASKED)]
             seeds.append(seed_hashes(words, mask, number)[at] if len(at) else np.zeros(0, np.uint64))
             places.append(at)
+        used = [len(s) > 0 for s in seeds]
         seeds, places = np.concatenate(seeds), np.concatenate(places)
         order = np.argsort(seeds, kind="stable")
-        return Items([i for i, _ in rows], words, first, seeds[order], places[order])
+        return Items([i for i, _ in rows], words, first, seeds[order], places[order], used)
 
 
 def longest_overlap(same: np.ndarray, most_replaced: float) -> tuple[int, int, int]:
     """Start, end and number of differences of the longest run with a share of at most ``most_replaced``
     differences that begins and ends with equal words."""
+    if not same.any():
+        return 0, 0, 0
     cost = np.where(same, most_replaced, most_replaced - 1)
     total = np.r_[0, np.cumsum(cost)] + 1e-9 * np.arange(len(same) + 1)
-    lowest = np.minimum.accumulate(total)
-    start = np.searchsorted(-lowest, -total, side="left")
-    end = int(np.argmax(np.arange(len(total)) - start))
-    start = int(start[end])
-    inside = np.flatnonzero(same[start:end])
-    if not len(inside):
-        return 0, 0, 0
-    start, end = start + int(inside[0]), start + int(inside[-1]) + 1
+    # A run may open before an equal word only and close after one only: nothing is trimmed afterwards.
+    lowest = np.minimum.accumulate(np.where(np.r_[same, False], total, np.inf))
+    ends = np.flatnonzero(same) + 1
+    starts = np.searchsorted(-lowest, -total[ends], side="left")
+    best = int(np.argmax(ends - starts))
+    start, end = int(starts[best]), int(ends[best])
     return start, end, int((~same[start:end]).sum())
 
 
@@ -97,7 +106,9 @@ def overlaps_in(column: pa.Array, items: Items, window: int, most_replaced: floa
     for low, _, data, offsets in T.sliced(column):
         words, first = words_of(data, offsets)
         found = []
-        for number, mask in enumerate(MASKS):
+        for number, mask in enumerate(MASKS + SHORT_MASKS):
+            if not items.used[number]:
+                continue
             h = seed_hashes(words, mask, number)
             at, owner = T.gram_starts(first, mask[-1] + 1)
             if not len(at):
