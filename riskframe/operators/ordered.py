@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from riskframe.operators.joins import small_table
 
@@ -24,9 +24,6 @@ BUCKET = "_bucket"
 # Least number of ranges per quantile pass; only the ranges that contain a wanted rank are
 # ever sorted.
 QUANTILE_BUCKETS = 256
-# Most groups that have ranges of their own in a quantile pass; a smaller group holds less than
-# this share of the rows and is one range.
-QUANTILE_GROUPS = 4_096
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -53,53 +50,24 @@ def with_bucket(df: DataFrame, value: str, edges: Sequence[float], out: str = BU
 
 @dataclass(frozen=True)
 class GroupCuts:
-    """Cut points of the large groups: rows (by, one ordered array for each value column).
+    """Cut points of all large groups together, by value column, and a table of those groups.
 
-    The table is bounded by the number of ranges asked for, so it may be broadcast.
+    Both are bounded by the number of ranges asked for.
     """
 
-    table: DataFrame
-    by: tuple[str, ...]
-    longest: int
-
-    def onto(self, df: DataFrame, value: str, out: str = BUCKET) -> DataFrame:
-        """``df`` with the number of its group's edges at or below ``value``, 0 in groups without edges."""
-        own = self.table.select(
-            *[F.col(k).alias(f"_c_{k}") for k in self.by], F.col(f"_e_{value}").alias("_edges")
-        )
-        met = F.lit(True)
-        for k in self.by:
-            met = met & df[k].eqNullSafe(own[f"_c_{k}"])
-        found = edge_position(F.col("_edges"), F.col(value).cast("double"), self.longest)
-        return (
-            df.join(F.broadcast(own), met, "left")
-            .withColumn(out, F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(found))
-            .drop(*[f"_c_{k}" for k in self.by])
-        )
-
-
-def edge_position(edges: Column, value: Column, longest: int) -> Column:
-    """Number of entries of the ordered array at or below ``value``, by halving steps."""
-    if longest < 1:
-        return F.lit(0)
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(longest.bit_length()))])
-    # Beyond the end there is no entry: the comparison is NULL and the place stays.
-    return F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) <= value, at + step).otherwise(at)
-    )
+    edges: dict[str, list[float]]
+    large: DataFrame
 
 
-def group_cuts(
-    rows: DataFrame, values: Sequence[str], by: Sequence[str], buckets: int, groups: int | None = None, least: int = 1
-) -> GroupCuts:
-    """Equal-count cut points of each value column inside each large group, from one aggregate.
+def group_cuts(rows: DataFrame, values: Sequence[str], by: Sequence[str], buckets: int) -> GroupCuts:
+    """Cut points of each value column that cut every group evenly, from one aggregate by group.
 
-    A group is large with more than one part in ``groups`` (by default ``buckets``) of the rows,
-    so there are fewer than ``groups`` of them. One with a share s of the rows gets s * ``buckets``
-    ranges, at least ``least``, and at most twice that. The sketch is drawn once: every use of
-    the cuts sees the same ranges.
+    Groups with more than one part in ``buckets`` of the rows, fewer than ``buckets`` of them,
+    are cut at their own quantiles, one with a share s at s * ``buckets`` of them or up to twice
+    that. The cut points of all groups are used together, so that a range of any group holds no
+    more than about one part in ``buckets`` of all rows, whatever the scales of the groups.
     """
-    groups, finest = groups or buckets, max(2, buckets)
+    finest = max(2, buckets)
     # Counted beside the sketch, in the same job.
     total = rows.agg(F.count(F.lit(1))).scalar()
     probs = [i / finest for i in range(1, finest)]
@@ -107,22 +75,16 @@ def group_cuts(
         F.count(F.lit(1)).alias("_n"),
         *[F.percentile_approx(F.col(v).cast("double"), probs, 4 * finest).alias(f"_e_{v}") for v in values],
     )
-    ranges = F.greatest(F.lit(least), F.ceil(F.col("_n") * buckets / total))
-    large = sketched.where(F.col("_n") * groups > total).withColumn(
-        "_step", F.greatest(F.lit(1), F.floor(F.lit(finest) / ranges)).cast("int")
+    large = sketched.where(F.col("_n") * buckets > total).withColumn(
+        "_step", F.greatest(F.lit(1), F.floor(F.lit(finest) / F.ceil(F.col("_n") * buckets / total))).cast("int")
     )
-    thinned = large.select(
+    found = large.select(
         *by, *[F.filter(f"_e_{v}", lambda _, i: (i + 1) % F.col("_step") == 0).alias(f"_e_{v}") for v in values]
-    )
-    held = []
-    for r in thinned.collect():
-        cuts = [sorted({c for c in r[f"_e_{v}"] or [] if math.isfinite(c)}) for v in values]
-        held.append((*[r[k] for k in by], *cuts))
-    longest = max((len(c) for h in held for c in h[len(by):]), default=0)
-    schema = StructType(
-        [rows.schema[k] for k in by] + [StructField(f"_e_{v}", ArrayType(DoubleType())) for v in values]
-    )
-    return GroupCuts(rows.sparkSession.createDataFrame(held, schema), tuple(by), longest)
+    ).collect()
+    # Adding zero makes one of the two zeros.
+    edges = {v: sorted({c + 0.0 for r in found for c in r[f"_e_{v}"] or [] if math.isfinite(c)}) for v in values}
+    schema = StructType([rows.schema[k] for k in by])
+    return GroupCuts(edges, rows.sparkSession.createDataFrame([tuple(r[k] for k in by) for r in found], schema))
 
 
 def running_totals(
@@ -145,10 +107,8 @@ def running_totals(
     # no more distinct values than its share of the rows.
     buckets = buckets or default_buckets(df)
     cells = rows.groupBy(*by, value).agg(*[F.sum(m).alias(m) for m in measures])
-    if by:
-        cells = group_cuts(rows, [value], by, buckets).onto(cells, value).drop("_edges")
-    else:
-        cells = with_bucket(cells, value, value_edges(rows, value, buckets))
+    edges = group_cuts(rows, [value], by, buckets).edges[value] if by else value_edges(rows, value, buckets)
+    cells = with_bucket(cells, value, edges)
 
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -208,13 +168,23 @@ def companion_ranks(
     cuts = cuts or group_cuts(df, values, by, buckets)
     out, group = df, Window.partitionBy(*by)
     for v in values:
-        # Rows below the first cut are range 0; the k-th cut is 2k - 1, what follows it 2k.
-        def ranged(rows: DataFrame, v: str = v) -> DataFrame:
-            at = F.col(BUCKET)
-            alone = F.coalesce(F.get("_edges", at - 1) == F.col(v).cast("double"), F.lit(False))
+        # Between a cut point and the next double lies no other value: odd ranges hold one value each.
+        splits: list[float] = []
+        for e in cuts.edges[v]:
+            if not splits or e > splits[-1]:
+                splits += [c for c in (e, math.nextafter(e, math.inf)) if math.isfinite(c)]
+
+        def ranged(rows: DataFrame, v: str = v, splits: Sequence[float] = splits) -> DataFrame:
+            known = cuts.large.select(*[F.col(k).alias(f"_c_{k}") for k in by], F.lit(True).alias("_large"))
+            met = F.lit(True)
+            for k in by:
+                met = met & rows[k].eqNullSafe(known[f"_c_{k}"])
+            cut = with_bucket(rows.withColumn("_double", F.col(v).cast("double")), "_double", splits, "_at")
+            cut = cut.join(F.broadcast(known), met, "left").withColumn("_large", F.coalesce("_large", F.lit(False)))
+            at = F.when(F.col("_large"), F.col("_at")).otherwise(F.lit(0))
             return (
-                cuts.onto(rows, v).withColumn("_large", F.col("_edges").isNotNull()).withColumn("_alone", alone)
-                .withColumn(BUCKET, at * 2 - F.col("_alone").cast("int")).drop("_edges")
+                cut.withColumn(BUCKET, at).withColumn("_alone", F.col(BUCKET) % 2 == 1)
+                .drop("_double", "_at", *[f"_c_{k}" for k in by])
             )
 
         # Large groups only, so as bounded as the cuts; a small group is one range.
@@ -265,11 +235,8 @@ def quantiles(
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
-    if by:
-        cuts = group_cuts(rows, ["_v"], by, buckets, QUANTILE_GROUPS, QUANTILE_BUCKETS)
-        binned = cuts.onto(rows, "_v").drop("_edges")
-    else:
-        binned = with_bucket(rows, "_v", value_edges(rows, "_v", buckets))
+    edges = group_cuts(rows, ["_v"], by, buckets).edges["_v"] if by else value_edges(rows, "_v", buckets)
+    binned = with_bucket(rows, "_v", edges)
 
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

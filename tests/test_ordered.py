@@ -102,27 +102,18 @@ def test_ranges_follow_the_scale_of_each_column(spark):
     wide = pd.DataFrame({"small": rng.random(4000), "large": rng.random(4000) * 1e9})
     long = O.unpivot_numeric(spark.createDataFrame(wide), ["small", "large"])
     cuts = O.group_cuts(long, ["value"], ["feature"], 16)
-    held = cuts.onto(long, "value").groupBy("feature", O.BUCKET).count().collect()
+    held = O.with_bucket(long, "value", cuts.edges["value"]).groupBy("feature", O.BUCKET).count().collect()
     assert {r["feature"] for r in held} == {"small", "large"} and len(held) >= 16
     assert max(r["count"] for r in held) <= 2 * 8000 / 16
     medians = {r["feature"]: r["quantile"] for r in O.column_quantiles(spark.createDataFrame(wide), ["small", "large"], [0.5]).collect()}
     assert medians == pytest.approx(wide.median().to_dict(), rel=1e-12)
 
 
-def test_small_groups_have_no_cuts(spark):
-    rows = [("hot", float(i)) for i in range(900)] + [(f"g{i}", float(i)) for i in range(100)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    cuts = O.group_cuts(df, ["v"], ["g"], 8)
-    assert [r["g"] for r in cuts.table.collect()] == ["hot"]
-    assert {r["_edges"] is None for r in cuts.onto(df, "v").where("g <> 'hot'").collect()} == {True}
-
-
-@pytest.mark.parametrize("edges", [[], [1.0], [1.0, 2.0, 5.0], [float(i) for i in range(9)]])
-def test_edge_position(spark, edges):
-    values = [-1.0, 0.0, 1.0, 1.5, 2.0, 4.9, 5.0, 8.0, 99.0]
-    df = spark.createDataFrame([(v, edges) for v in values], "v double, e array<double>")
-    got = df.select("v", O.edge_position(F.col("e"), F.col("v"), len(edges)).alias("at")).collect()
-    assert {r["v"]: r["at"] for r in got} == {v: sum(e <= v for e in edges) for v in values}
+def test_only_large_groups_cut(spark):
+    rows = [("hot", float(i)) for i in range(900)] + [(f"g{i}", 5000.0 + i) for i in range(100)]
+    cuts = O.group_cuts(spark.createDataFrame(rows, "g string, v double"), ["v"], ["g"], 8)
+    assert [r["g"] for r in cuts.large.collect()] == ["hot"]
+    assert 7 <= len(cuts.edges["v"]) <= 16 and max(cuts.edges["v"]) < 900
 
 
 def test_companion_ranks_of_groups(spark, skewed):
