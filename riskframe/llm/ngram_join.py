@@ -17,7 +17,10 @@ What follows loses no link between different texts and yet never lists the pairs
 4. Elements whose classes are in different components are joined in full, across components only: pairs that share
    enough of them are compared. What two sets share lies in both prefixes or behind the prefix that ends first in the
    one order, so a pair must also share what a link needs beyond the elements there (see ``asked_of``). Pairs inside a
-   component are not needed to know the component.
+   component are not needed to know the component. Most pairs have been compared with the same class, their hub, and
+   share no more inside it than the smaller of their two overlaps with it. Where that is too little for a link, they must
+   share elements outside the hub: such pairs are found by those elements alone, all of them and not just a prefix. So a
+   group of near copies does not meet every text that just failed to be linked with its hub.
 5. Components of all links: stars are merged until nothing changes, each step a table in the shared folder.
 
 Texts are compared in blocks of documents; the hub of a pair is sent to the block of the other, so a hub with a
@@ -199,13 +202,18 @@ def indexed_sets(docs: DataFrame, n: int, least: float) -> DataFrame:
     return rows.groupBy("blk").cogroup(live.groupBy("blk")).applyInArrow(keep, SETS)
 
 
-def linked(pairs: DataFrame, classes: DataFrame, n: int, least: float) -> DataFrame:
-    """Of the pairs (x, y) of class ids those whose sets are similar enough; x is sent to the block of y."""
+def compared(pairs: DataFrame, classes: DataFrame, n: int, least: float) -> DataFrame:
+    """(x, y, link, inside, outside) for pairs (x, y) of class ids; x is sent to the block of y.
+
+    Rows: pairs similar enough, with link true; and for each y one x that holds half of it at least, with the number of
+    shared elements and y's elements outside x. Of several it is the x with most pairs, so that a group has few.
+    """
     blocks = max(4, repeats.block_count(pairs.sparkSession) // 2)
     percent = round(least * 100)
     pairs = scratch.written(pairs.select("x", "y", F.pmod(F.xxhash64("y"), F.lit(blocks)).cast("int").alias("blk")), "pairs")
     wanted = pairs.select(F.col("blk").alias("to"), F.explode(F.array("x", "y")).alias("id")).distinct()
     texts = wanted.join(classes.select(F.col("rep").alias("id"), "text"), "id").select("to", "id", "text")
+    pairs = pairs.join(pairs.groupBy("x").agg(F.count(F.lit(1)).alias("met")), "x")
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor()
@@ -213,9 +221,9 @@ def linked(pairs: DataFrame, classes: DataFrame, n: int, least: float) -> DataFr
         for i, raw in zip(right.column("id").to_pylist(), right.column("text").to_pylist()):
             data = np.frombuffer(unpack.decompress(raw), np.uint8)
             sets[i] = Sets(data, np.array([0, len(data)]), n).hashes
-        x, y = left.column("x").to_numpy(), left.column("y").to_numpy()
-        good_x, good_y = [], []
-        for hub, (others,) in repeats.split_by(x, y):
+        x, y, met = (left.column(c).to_numpy() for c in ("x", "y", "met"))
+        parts = []
+        for hub, (others, common) in repeats.split_by(x, y, met):
             own = sets[hub]
             for low in range(0, len(others), 256):
                 some = others[low : low + 256]
@@ -223,13 +231,26 @@ def linked(pairs: DataFrame, classes: DataFrame, n: int, least: float) -> DataFr
                 hits = np.r_[0, np.cumsum(T.member(np.concatenate([sets[o] for o in some.tolist()]), own))]
                 ends = np.cumsum(size)
                 both = hits[ends] - hits[ends - size]
-                good = some[100 * both >= percent * (size + len(own) - both)]
-                good_x.append(np.full(len(good), hub))
-                good_y.append(good)
-        join = lambda v: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64())
-        return pa.table({"x": join(good_x), "y": join(good_y)})
+                link = 100 * both >= percent * (size + len(own) - both)
+                parts.append(np.stack([np.full(len(some), hub), some, common[low : low + 256], both, size, link]).astype(np.int64))
+        x, y, met, both, size, link = np.concatenate(parts, axis=1) if parts else np.zeros((6, 0), np.int64)
+        order = np.lexsort((x, -met, y))
+        order = order[2 * both[order] >= size[order]]
+        nearest = np.zeros(len(y), bool)
+        nearest[order] = np.r_[True, y[order][1:] != y[order][:-1]][: len(order)]
+        kept = np.flatnonzero(nearest | (link > 0))
+        inside, outside = [], []
+        for i in kept.tolist():
+            inside.append(int(both[i]) if nearest[i] else None)
+            own = sets[int(y[i])]
+            outside.append(own[~T.member(own, sets[int(x[i])])].view(np.int64) if nearest[i] else None)
+        return pa.table({
+            "x": pa.array(x[kept], pa.int64()), "y": pa.array(y[kept], pa.int64()), "link": pa.array(link[kept] > 0, pa.bool_()),
+            "inside": pa.array(inside, pa.int64()), "outside": pa.array(outside, pa.list_(pa.int64())),
+        })
 
-    return pairs.groupBy("blk").cogroup(texts.groupBy("to")).applyInArrow(check, "x long, y long")
+    schema = "x long, y long, link boolean, inside long, outside array<long>"
+    return pairs.groupBy("blk").cogroup(texts.groupBy("to")).applyInArrow(check, schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -277,31 +298,40 @@ def asked_of(i: int, n: np.ndarray, matches: np.ndarray, behind: np.ndarray, las
 def across(entries: DataFrame, least: float) -> DataFrame:
     """Pairs of classes in different components that share the matches they ask for.
 
-    ``entries``: token, rep, n, matches, behind, last, live, component. In a token's list the largest component's classes
-    meet those of other components only, so a large group costs its length for each class outside it.
+    ``entries``: token, outer, rep, n, matches, behind, last, live, component, hub, inside. Tokens are prefix elements or
+    (``outer``) elements outside the hub; ``inside`` is -1 for classes without a hub. In a token's list the largest
+    component's classes meet those of other components only.
     """
     percent = round(least * 100)
     buckets = repeats.block_count(entries.sparkSession)
-    mixed = entries.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("token")
-    entries = entries.join(mixed, "token").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int"))
+    entries = entries.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int"))
+    names = ("token", "rep", "n", "matches", "behind", "last", "live", "component", "hub", "inside")
 
-    def pair(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).to_numpy() for c in ("token", "rep", "n", "matches", "behind", "last", "live", "component")]
-        found: list[np.ndarray] = []
-        for _, (r, n, m, behind, last, live, c) in repeats.split_by(*columns):
-            order = np.lexsort((r, c))
-            r, n, m, behind, last, live, c = (x[order] for x in (r, n, m.astype(np.int64), behind, last, live, c))
+    def found_by(columns: list[np.ndarray], outer: bool) -> Iterator[np.ndarray]:
+        for _, own in repeats.split_by(*columns):
+            own = np.stack([x.astype(np.int64) for x in own])
+            r, n, m, behind, last, live, c, hub, inside = own[:, np.lexsort((own[0], own[6]))]
             cuts = repeats.runs(c)
+            if len(cuts) < 3:
+                continue
             largest = int(np.diff(cuts).argmax())
             outside = np.r_[np.arange(cuts[largest]), np.arange(cuts[largest + 1], len(c))]
             for i in outside.tolist():
                 # Once for each pair: outside classes after this one, and all of the largest component.
-                asked = asked_of(i, n, m, behind, last, percent)
-                other = (c != c[i]) & (asked <= np.minimum(live, live[i]))
+                within = np.minimum(inside, inside[i])
+                needed = -(-percent * (n + n[i]) // (100 + percent))
+                by_outside = (hub == hub[i]) & (within >= 0) & (within < needed)
+                asked = needed - within if outer else asked_of(i, n, m, behind, last, percent)
+                other = (c != c[i]) & (asked <= np.minimum(live, live[i])) & (by_outside if outer else ~by_outside)
                 other[outside[outside <= i]] = False
                 j = np.flatnonzero(other)
                 if len(j):
-                    found.append(np.stack([np.minimum(r[i], r[j]), np.maximum(r[i], r[j]), asked[j]]))
+                    yield np.stack([np.minimum(r[i], r[j]), np.maximum(r[i], r[j]), asked[j]])
+
+    def pair(table: pa.Table) -> pa.Table:
+        columns = [table.column(c).to_numpy() for c in names]
+        kind = table.column("outer").to_numpy()
+        found = [f for outer in (False, True) for f in found_by([x[kind == outer] for x in columns], outer)]
         x = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
         return pa.table({"x": pa.array(x[0], pa.int64()), "y": pa.array(x[1], pa.int64()), "asked": pa.array(x[2], pa.int64())})
 
@@ -331,11 +361,24 @@ def join(docs: DataFrame, n: int = 5, least: float = 0.75) -> DataFrame:
     met = met.groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("k"))
     few = F.slice(F.sort_array(F.collect_list(F.struct("k", "hub")), asc=False), 1, HUBS)
     near = met.groupBy("rep").agg(few.alias("few")).select("rep", F.explode("few").alias("h")).select(F.col("h.hub").alias("x"), F.col("rep").alias("y"))
-    links = scratch.written(linked(near, classes, n, least), "near")
-    known = scratch.written(components(links), "components")
-
-    labelled = entries.join(known.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    far = linked(across(labelled, least), classes, n, least)
+    met = scratch.written(compared(near, classes, n, least), "near")
+    known = scratch.written(components(met.where("link").select("x", "y")), "components")
+
+    # A hub is its own hub, with nothing outside.
+    nearest = met.where(F.col("inside").isNotNull())
+    hubs = nearest.select(F.col("x").alias("rep")).distinct()
+    nearest = nearest.select(F.col("y").alias("rep"), F.col("x").alias("hub"), "inside", "outside").join(hubs, "rep", "left_anti")
+    own = hubs.select("rep", F.col("rep").alias("hub"), F.lit(None).cast("long").alias("inside"), F.lit(None).cast("array<long>").alias("outside"))
+    labelled = classes.drop("text").join(known.withColumnRenamed("id", "rep"), "rep", "left").join(nearest.unionAll(own), "rep", "left")
+    component = F.coalesce("component", "rep").alias("component")
+    inside = F.when(F.col("hub").isNull(), -1).otherwise(F.coalesce("inside", "n")).cast("long").alias("inside")
+    about = (component, F.coalesce("hub", "rep").alias("hub"), inside)
+    by_prefix = labelled.select(F.explode("tokens").alias("token"), F.lit(False).alias("outer"), "rep", "n", "matches", behind, "last", F.size("tokens").alias("live"), *about)
+    zero = lambda c, kind: F.lit(0).cast(kind).alias(c)
+    by_outside = labelled.where(F.col("outside").isNotNull()).select(
+        F.explode("outside").alias("token"), F.lit(True).alias("outer"), "rep", "n", zero("matches", "int"), zero("behind", "long"), zero("last", "long"), F.size("outside").alias("live"), *about
+    ).withColumn("token", F.xxhash64("hub", "token"))
+    far = compared(across(by_prefix.unionAll(by_outside), least), classes, n, least).where("link").select("x", "y")
     name = lambda side: known.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
     bridges = far.join(name("x"), "x", "left").join(name("y"), "y", "left").select(F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y"))
     merged = components(bridges).select(F.col("id").alias("component"), F.col("component").alias("merged"))

@@ -212,6 +212,51 @@ def test_ngram_join_of_documents_that_ask_for_different_numbers(spark):
     assert counted(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))) == linked_components(rows)
 
 
+@pytest.mark.parametrize("seed", [23, 29])
+def test_ngram_join_of_a_large_group(spark, seed):
+    """Copies on both sides of the threshold: replaced words, cut ends, and phrases that altered copies share."""
+    rng = random.Random(seed)
+    base, other = [f"w{i}" for i in range(80)], [f"x{i}" for i in range(80)]
+    rows = []
+    for i in range(900):
+        words = list(base if rng.random() < 0.8 else other)
+        for _ in range(rng.choice([0, 1, 2, 3, 3, 4, 4])):
+            words[rng.randrange(80)] = f"v{rng.randrange(100_000)}"
+        if rng.random() < 0.5:  # one of a few shared phrases in a fixed place
+            k = rng.randrange(6)
+            words[10 * k : 10 * k + 9] = [f"p{k}_{j}" for j in range(9)]
+        if rng.random() < 0.3:
+            words = words[: rng.randint(60, 79)]
+        if rng.random() < 0.1:
+            words += [f"y{j}" for j in range(rng.randint(5, 30))]
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert counted(ngram_join.join(df)) == linked_components(rows)
+
+
+def test_failed_links_with_a_hub_do_not_meet_its_members(spark, monkeypatch):
+    """Where the group holds the text that all others alter, pairs sent out of the token lists do not grow with their square."""
+    rng = random.Random(31)
+    sent = []
+    across = ngram_join.across
+
+    def counting(entries, least):
+        pairs = across(entries, least).cache()
+        sent.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "across", counting)
+    rows = []
+    for i in range(600):
+        words = [f"w{j}" for j in range(80)]
+        for _ in range(rng.choice([1, 2, 4, 5]) if i else 0):
+            words[rng.randrange(80)] = f"v{rng.randrange(1 << 40)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert counted(ngram_join.join(df)) == linked_components(rows)
+    assert sent[0] < 2 * len(rows)
+
+
 def test_ngram_join_of_texts_under_one_doc_id(spark):
     """Both texts of a repeated doc_id keep their links."""
     rng = random.Random(19)
