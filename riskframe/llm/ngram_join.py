@@ -307,31 +307,41 @@ def across(entries: DataFrame, least: float) -> DataFrame:
     entries = entries.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int"))
     names = ("token", "rep", "n", "matches", "behind", "last", "live", "component", "hub", "inside")
 
-    def found_by(columns: list[np.ndarray], outer: bool) -> Iterator[np.ndarray]:
-        for _, own in repeats.split_by(*columns):
-            own = np.stack([x.astype(np.int64) for x in own])
-            r, n, m, behind, last, live, c, hub, inside = own[:, np.lexsort((own[0], own[6]))]
-            cuts = repeats.runs(c)
-            if len(cuts) < 3:
-                continue
-            largest = int(np.diff(cuts).argmax())
-            outside = np.r_[np.arange(cuts[largest]), np.arange(cuts[largest + 1], len(c))]
-            for i in outside.tolist():
+    def found_by(table: np.ndarray, outer: bool) -> Iterator[np.ndarray]:
+        # Lists of one component, most of them, are left out at once.
+        table = table[:, np.argsort(table[0], kind="stable")]
+        cuts = repeats.runs(table[0])
+        if len(cuts) > 1:
+            mixed = np.minimum.reduceat(table[7], cuts[:-1]) < np.maximum.reduceat(table[7], cuts[:-1])
+            table = table[:, np.repeat(mixed, np.diff(cuts))]
+        table = table[:, np.lexsort((table[1], table[7], table[0]))]
+        cuts = repeats.runs(table[0])
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            _, r, n, m, behind, last, live, c, hub, inside = table[:, low:high]
+            parts = repeats.runs(c)
+            largest = int(np.diff(parts).argmax())
+            outside = np.r_[np.arange(parts[largest]), np.arange(parts[largest + 1], len(c))]
+            meets = outside
+            if not outer and (hub == hub[0]).all() and inside.min() >= 0:
+                # Below what the smallest class would need of it, the hub leaves all pairs to the elements outside.
+                meets = outside[inside[outside] >= -(-percent * (n.min() + n[outside]) // (100 + percent))]
+            for i in meets.tolist():
                 # Once for each pair: outside classes after this one, and all of the largest component.
                 within = np.minimum(inside, inside[i])
                 needed = -(-percent * (n + n[i]) // (100 + percent))
                 by_outside = (hub == hub[i]) & (within >= 0) & (within < needed)
                 asked = needed - within if outer else asked_of(i, n, m, behind, last, percent)
                 other = (c != c[i]) & (asked <= np.minimum(live, live[i])) & (by_outside if outer else ~by_outside)
-                other[outside[outside <= i]] = False
+                # Pairs of two that meet others are listed by the first; the rest do not list at all.
+                other[meets[meets <= i]] = False
                 j = np.flatnonzero(other)
                 if len(j):
                     yield np.stack([np.minimum(r[i], r[j]), np.maximum(r[i], r[j]), asked[j]])
 
     def pair(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).to_numpy() for c in names]
+        columns = np.stack([table.column(c).to_numpy().astype(np.int64) for c in names])
         kind = table.column("outer").to_numpy()
-        found = [f for outer in (False, True) for f in found_by([x[kind == outer] for x in columns], outer)]
+        found = [f for outer in (False, True) for f in found_by(columns[:, kind == outer], outer)]
         x = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
         return pa.table({"x": pa.array(x[0], pa.int64()), "y": pa.array(x[1], pa.int64()), "asked": pa.array(x[2], pa.int64())})
 
