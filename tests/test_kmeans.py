@@ -75,3 +75,17 @@ def test_wide_vectors_are_left_to_spark(df, monkeypatch):
 def test_first_nearest_centre_on_ties():
     far = np.array([[1.0, 2.0], [1.0, 1.0], [1.0, 1.0]])
     assert K.one_of(far, far.min(0)).tolist() == [[True, False], [False, True], [False, False]]
+
+
+def test_sums_of_placed_rows():
+    """Against a plain count, with two equal centres and a row between two others."""
+    random = np.random.default_rng(1)
+    x = np.concatenate([random.normal(size=(1300, 2)), [[0.0, 5.0]]])
+    centers, ends = np.array([[1.0, 0.0], [-1.0, 0.0], [0.5, 0.5], [0.5, 0.5], [0.0, -1.0]]), [2, 5]
+    sums, costs = K.placed_sums(x, centers, ends)
+    for i, (a, b) in enumerate(((0, 2), (2, 5))):
+        far = ((x[:, None] - centers[a:b]) ** 2).sum(2)
+        assert costs[i] == pytest.approx(far.min(1).sum())
+        for j in range(a, b):
+            own = x[far.argmin(1) == j - a]
+            assert sums[j] == pytest.approx([*own.sum(0), len(own)])
